@@ -221,10 +221,11 @@ class KeyedTable:
             named = named.withColumn(c, value)
         return named.filter(all_of(conjuncts)).select(*rows.columns)
 
-    def has_batch(self, query_id: str, batch_id: int) -> bool:
+    def state_before(self, batch: tuple[str, int]) -> State | None:
+        """The state a streaming batch starts from; None when the batch is committed already (T5)."""
         log = L.read_versions(self.spark, self.root)
-        done = (F.col("kind") == "batch") & (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
-        return not log.filter(done).isEmpty()
+        done = (F.col("kind") == "batch") & (F.col("query_id") == batch[0]) & (F.col("batch_id") == batch[1])
+        return None if not log.filter(done).isEmpty() else self.state()
 
     # -- pruning ------------------------------------------------------------------
 
@@ -567,19 +568,24 @@ class KeyedTable:
         if state.spec.append_only:
             raise TableError("the table is append-only")
 
-    def append(self, df: DataFrame, merge_schema: bool = False, batch: tuple[str, int] | None = None) -> None:
+    # ``batch`` tags a streaming batch; ``state`` saves reading the log twice in one step.
+
+    def append(
+        self, df: DataFrame, merge_schema: bool = False, batch: tuple[str, int] | None = None,
+        state: State | None = None,
+    ) -> None:
         """Add rows (S6); a keyed table takes an append only as its first commit."""
-        state = self.state()
+        state = state or self.state()
         if state.spec.keys and state.partitions:
             raise TableError("append to a keyed table with data; use upsert")
         self._write(state, [df], L.APPEND, merge_schema, batch=batch)
 
     def overwrite(
         self, df: DataFrame, merge_schema: bool = False, unique_keys: bool = False,
-        batch: tuple[str, int] | None = None,
+        batch: tuple[str, int] | None = None, state: State | None = None,
     ) -> None:
         """Replace all rows."""
-        state = self.state()
+        state = state or self.state()
         self._assert_removable(state)
         self._write(state, [df], L.UPDATE, merge_schema, clean=unique_keys, replaced=state.live(), batch=batch)
 
@@ -639,6 +645,7 @@ class KeyedTable:
         merge_schema: bool = False,
         full_scan: bool = False,
         batch: tuple[str, int] | None = None,
+        state: State | None = None,
     ) -> None:
         """Insert or change rows by key.
 
@@ -646,7 +653,7 @@ class KeyedTable:
         NULL overwrites. ``rewrite`` joins and replaces partitions now; a NULL
         keeps the old value, and ``where`` limits both sides.
         """
-        state = self.state()
+        state = state or self.state()
         self._require_keys(state)
         if mode == "delta":
             self._write(state, [source], L.MERGE, merge_schema, partial=True, batch=batch)

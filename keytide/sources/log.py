@@ -22,19 +22,27 @@ APPEND, MERGE, UPDATE, DELETE, COMPACTION, DROP, ROLLBACK = (
     "append", "merge", "update", "delete", "compaction", "drop", "rollback",
 )
 
-COMMIT_TYPE = T.StructType.fromDDL(
-    # clean: keys are unique; parts: partitions the commit wrote; skip: replaced files
-    "id string, dir string, cols array<string>, clean boolean, parts bigint,"
-    " files bigint, bytes bigint, rows bigint, skip array<string>"
+_STRING, _LONG, _STRINGS = T.StringType(), T.LongType(), T.ArrayType(T.StringType())
+_VALUES = T.MapType(T.StringType(), T.StringType())
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+# clean: keys are unique; parts: partitions the commit wrote; skip: replaced files
+COMMIT_TYPE = _struct(
+    id=_STRING, dir=_STRING, cols=_STRINGS, clean=T.BooleanType(), parts=_LONG, files=_LONG,
+    bytes=_LONG, rows=_LONG, skip=_STRINGS,
+)
+VERSION_SCHEMA = _struct(
+    log_version=_LONG, kind=_STRING, partition=_STRING, values=_VALUES, version=_LONG, op=_STRING,
+    spec=_STRING, query_id=_STRING, batch_id=_LONG, committed_at=T.TimestampType(),
+    commits=T.ArrayType(COMMIT_TYPE),
 )
-VERSION_SCHEMA = T.StructType.fromDDL(
-    "log_version bigint, kind string, partition string, `values` map<string,string>,"
-    " version bigint, op string, spec string, query_id string, batch_id bigint,"
-    " committed_at timestamp"
-).add("commits", T.ArrayType(COMMIT_TYPE))
-FILE_SCHEMA = T.StructType.fromDDL(
-    "log_version bigint, pos int, partition string, commit_id string, bucket int, path string,"
-    " file_op string, size bigint, rows bigint, `values` map<string,string>, cols array<string>"
+FILE_SCHEMA = _struct(
+    log_version=_LONG, pos=T.IntegerType(), partition=_STRING, commit_id=_STRING, bucket=T.IntegerType(),
+    path=_STRING, file_op=_STRING, size=_LONG, rows=_LONG, values=_VALUES, cols=_STRINGS,
 )
 
 
