@@ -67,60 +67,56 @@ def wire_type(spec: FieldSpec) -> T.DataType:
     return _PRIMITIVE[spec.kind]
 
 
-def unscaled_integer(data: Column) -> Column:
-    """Signed big-endian bytes as DECIMAL(38,0), for up to 16 bytes in 38 digits.
+def _extended(data: Column, digits: int) -> Column:
+    """Hex digits of signed big-endian bytes, sign-extended to a width."""
+    text = F.hex(data)
+    sign = F.when(F.left(text, F.lit(1)) >= "8", "F").otherwise("0")
+    # More bytes than the width can only repeat the sign.
+    return F.right(F.lpad(text, F.greatest(F.length(text), F.lit(digits)), sign), F.lit(digits))
 
-    The bytes are sign-extended to 16 and read as four unsigned 32-bit words;
-    the upper half is signed, so no intermediate exceeds 38 digits.
-    """
-    digits = F.hex(data)
-    negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
-    padded = F.when(negative, F.lpad(digits, 32, "F")).otherwise(F.lpad(digits, 32, "0"))
-    # Beyond 16 bytes only sign extension can still fit into 38 digits.
-    wide = F.when(F.length(digits) > 32, F.right(digits, F.lit(32))).otherwise(padded)
 
-    def word(i: int) -> Column:
-        return F.conv(F.substring(wide, 8 * i + 1, 8), 16, 10).cast("bigint")
+def unscaled_integer(data: Column, precision: int = 38) -> Column:
+    """Signed big-endian bytes as an exact integer.
 
-    # Shifting a signed 32-bit word up and or-ing the next gives the signed upper half.
-    top = F.when(negative, word(0) - F.lit(2**32)).otherwise(word(0))
-    high = F.shiftleft(top, 32).bitwiseOR(word(1)).cast("decimal(20,0)")
-    low = word(2).cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + word(3).cast("decimal(10,0)")
-    two64 = F.lit(Decimal(2**64)).cast("decimal(20,0)")
-    value = high.cast("decimal(19,0)") * two64 + low.cast("decimal(38,0)")
-    return F.when(F.length(data) > 0, value.cast("decimal(38,0)"))
+    Up to 18 digits fit into a long; wider values are put together from a signed
+    upper and an unsigned lower half.
+    """
+    if precision <= 18:
+        value = F.conv(_extended(data, 16), 16, -10).cast("bigint")
+    else:
+        wide = _extended(data, 32)
+        high = F.conv(F.left(wide, F.lit(16)), 16, -10).cast("decimal(19,0)")
+        low = F.conv(F.right(wide, F.lit(16)), 16, 10).cast("decimal(20,0)")
+        value = (high * F.lit(Decimal(2**64)) + low).cast("decimal(38,0)")
+    return F.when(F.length(data) > 0, value)
 
 
 def scaled_decimal(data: Column, precision: int, scale: int) -> Column:
-    """Bytes of an unscaled value to DECIMAL(precision, scale), exactly.
-
-    Whole and fractional digits are taken apart, as scaling by division would
-    round wide values.
-    """
-    digits = unscaled_integer(data).cast("string")
+    """Bytes of an unscaled value to DECIMAL(precision, scale), exactly."""
+    value = unscaled_integer(data, precision).cast(f"decimal({precision},0)")
+    target = f"decimal({precision},{scale})"
     if scale == 0:
-        return digits.cast(f"decimal({precision},0)")
-    sign = F.when(digits.startswith("-"), "-").otherwise("")
-    bare = F.regexp_replace(digits, "^-", "")
-    padded = F.when(F.length(bare) > scale, bare).otherwise(F.lpad(bare, scale + 1, "0"))
-    whole = F.left(padded, F.length(padded) - F.lit(scale))
-    return F.concat(sign, whole, F.lit("."), F.right(padded, F.lit(scale))).cast(f"decimal({precision},{scale})")
+        return value
+    if scale <= 6 or precision + scale < 38:
+        return (value * F.lit(Decimal(1).scaleb(-scale))).cast(target)
+    # A product of this width would round; an exponent in the text does not.
+    return F.concat(value.cast("string"), F.lit(f"E-{scale}")).cast(target)
 
 
 def _floor_div(value: Column, by: int) -> Column:
     """Division that rounds down, so times before 1970 keep their place."""
-    v = value.cast("bigint")
-    return F.floor(v.cast("decimal(20,0)") / F.lit(by).cast("decimal(10,0)")).cast("bigint")
+    v, n = value.cast("bigint"), F.lit(by).cast("bigint")
+    return F.call_function("div", v - F.pmod(v, n), n)
 
 
-def _wall_clock(instant: Column, zone: str) -> Column:
-    """Local date and time of an instant in the server's zone."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _utc(instant))
+def _moment(micros: Column) -> Column:
+    """UTC wall clock of microseconds since 1970, whatever the session's zone is."""
+    return F.timestamp_add("MICROSECOND", micros.cast("bigint"), F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
-def _utc(instant: Column) -> Column:
-    """An instant as its UTC wall clock, whatever the session's zone is."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+def _wall_clock(instant: Column, zone: str) -> Column:
+    """Local date and time of an instant in the server's zone."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _moment(F.unix_micros(instant)))
 
 
 def decode_value(value: Column, spec: FieldSpec, wire: T.DataType, zone: str = "UTC") -> Column:
@@ -137,11 +133,11 @@ def decode_value(value: Column, spec: FieldSpec, wire: T.DataType, zone: str = "
     if kind == TIME_NANOS:
         return _floor_div(value, 1000)
     if kind == TIMESTAMP_MILLIS:
-        return _utc(F.timestamp_millis(value.cast("bigint")))
+        return _moment(value.cast("bigint") * 1000)
     if kind == TIMESTAMP_MICROS:
-        return _utc(F.timestamp_micros(value.cast("bigint")))
+        return _moment(value)
     if kind == TIMESTAMP_NANOS:
-        return _utc(F.timestamp_micros(_floor_div(value, 1000)))
+        return _moment(_floor_div(value, 1000))
     if kind in (ZONED_TIMESTAMP, ZONED_TIME):
         return _wall_clock(value.cast("timestamp"), zone)
     if kind == DECIMAL:

@@ -23,8 +23,11 @@ from keytide.spec import COMMIT, TableError, TableSpec
 Where = Column | str | Sequence[Column | str] | None
 Ops = Mapping[str, MergeOp | str] | None
 
-#: changes up to this many rows may be broadcast onto a base
+#: changes up to this many rows may be broadcast onto a base of at least this many bytes
 OVERLAY_ROWS = 500_000
+OVERLAY_MIN_BASE = 256 * 2**20
+#: changed rows per shuffle partition that a hash table may hold
+HASH_ROWS = 200_000
 #: more replaced files than this and the whole partitions are rewritten instead
 MAX_SKIPPED_FILES = 10_000
 #: log versions reserve this many merge positions each
@@ -122,9 +125,9 @@ class KeyedTable:
         buckets: int | None = None,
         **props,
     ) -> KeyedTable:
-        """Create an empty table from a schema."""
+        """Create an empty table from a schema; primary key columns become NOT NULL."""
         fields = [
-            T.StructField(f.name, f.dataType, f.nullable and f.name not in range_cols, f.metadata)
+            T.StructField(f.name, f.dataType, f.nullable and f.name not in (*range_cols, *keys), f.metadata)
             for f in schema.fields
         ]
         spec = TableSpec(T.StructType(fields), tuple(range_cols), tuple(keys), buckets, **props)
@@ -264,6 +267,15 @@ class KeyedTable:
             live = [p for p in live if p.desc in kept]
         return live, chosen, rest
 
+    def _over_keys(self, spec: TableSpec, cond: Column) -> bool:
+        """Whether a condition uses primary key columns alone."""
+        keys = T.StructType([spec.field(c) for c in spec.primary_key])
+        try:
+            L.local_rows(self.spark, [], keys).filter(cond)
+        except AnalysisException:
+            return False
+        return bool(spec.keys)
+
     def _only_range(self, state: State, where: Where, what: str) -> list[Partition]:
         parts, chosen, rest = self._prune(state, where)
         if rest or not chosen:
@@ -302,15 +314,23 @@ class KeyedTable:
             ]
         )
 
-    def _small(self, commits: Iterable[Commit]) -> bool:
-        """Whether changes are proven small enough to broadcast: bytes and rows are in the log."""
-        changes = list(commits)
+    def _way(self, changes: Sequence[Commit], base_bytes: int) -> str:
+        """How to merge changes into a base; their bytes and rows are in the log."""
+        rows = sum(c.rows for c in changes)
+        if rows > HASH_ROWS * int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            return "fold"
+        if base_bytes < OVERLAY_MIN_BASE:
+            return "full"
         raw = str(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().rstrip("b")
         units = {"k": 2**10, "m": 2**20, "g": 2**30}
         limit = int(raw[:-1]) * units[raw[-1]] if raw[-1:] in units else int(raw)
-        return sum(c.bytes for c in changes) <= limit and sum(c.rows for c in changes) <= OVERLAY_ROWS
+        small = rows <= OVERLAY_ROWS and sum(c.bytes for c in changes) <= limit
+        return "broadcast" if small else "hash"
 
-    def _merged(self, spec: TableSpec, parts: Sequence[Partition], ops: dict[str, MergeOp]) -> DataFrame:
+    def _merged(
+        self, spec: TableSpec, parts: Sequence[Partition], ops: dict[str, MergeOp], on_keys: Sequence[Column] = ()
+    ) -> DataFrame:
+        """Rows of partitions, merged; ``on_keys`` conditions filter versions before the merge."""
         parts = [p for p in parts if p.commits]
         if not parts:
             return self._empty(spec)
@@ -323,21 +343,27 @@ class KeyedTable:
         if plain:
             out.append(self._complete(self._scan(spec, [(p, p.commits) for p in plain]).rows, spec))
         if mixed:
-            out.append(self._merge_deltas(spec, mixed, ops, fold_always))
+            out.append(self._merge_deltas(spec, mixed, ops, fold_always, on_keys))
         return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
     def _merge_deltas(
-        self, spec: TableSpec, parts: Sequence[Partition], ops: dict[str, MergeOp], fold_always: bool
+        self, spec: TableSpec, parts: Sequence[Partition], ops: dict[str, MergeOp], fold_always: bool,
+        on_keys: Sequence[Column],
     ) -> DataFrame:
         keys = spec.primary_key
         based = all(p.commits[0].clean for p in parts) and not fold_always
         deltas = [c for p in parts for c in p.commits[1:]]
-        base_bytes = sum(p.commits[0].bytes for p in parts)
-        if based and self._small(deltas) and 2 * sum(c.bytes for c in deltas) <= base_bytes:
+        way = self._way(deltas, sum(p.commits[0].bytes for p in parts)) if based else "fold"
+        if way != "fold":
             base = self._complete(self._scan(spec, [(p, p.commits[:1]) for p in parts]).rows, spec)
             changes = self._scan(spec, [(p, p.commits[1:]) for p in parts])
-            return self._complete(overlay(base, _filled(changes, spec), keys, spec.columns, ops), spec)
+            for c in on_keys:
+                base, changes = base.filter(c), replace(changes, rows=changes.rows.filter(c))
+            rows = overlay(base, _filled(changes, spec), keys, spec.columns, ops, way, null_keys=False)
+            return self._complete(rows, spec)
         versions = self._scan(spec, [(p, p.commits) for p in parts])
+        for c in on_keys:
+            versions = replace(versions, rows=versions.rows.filter(c))
         present = [c for c in spec.columns if c in versions.rows.columns]
         known = {c: op for c, op in ops.items() if c in present}
         return self._complete(fold_versions(versions, keys, present, known), spec)
@@ -345,13 +371,14 @@ class KeyedTable:
     def read(self, where: Where = None, ops: Ops = None) -> DataFrame:
         """Current rows, merged per key.
 
-        Conjuncts over range columns prune partitions; the others are applied to
-        merged rows. Filters on the result work alike: Catalyst moves those on
-        key columns below the merge and keeps those on values above it.
+        Conjuncts over range columns prune partitions, those over the primary key
+        also filter versions before the merge, the others filter merged rows.
         """
         state = self.state()
         parts, chosen, rest = self._prune(state, where)
-        df = self._merged(state.spec, parts, resolve_ops(ops, state.spec.schema, state.spec.primary_key))
+        on_keys = [*chosen, *[c for c in rest if self._over_keys(state.spec, c)]]
+        found = resolve_ops(ops, state.spec.schema, state.spec.primary_key)
+        df = self._merged(state.spec, parts, found, on_keys)
         for c in [*chosen, *rest]:
             df = df.filter(c)
         return df

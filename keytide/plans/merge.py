@@ -5,8 +5,8 @@ Three plans give the same rows and differ in what they move:
 * `fold_versions` - one shuffle on the key, partial aggregates before it;
 * `fold_in_chunks` - for operators whose state grows with the versions of a key:
   versions are range-split by (key, order) first, so a hot key spans many tasks;
-* `overlay` - a small, size-checked set of changes is broadcast onto a unique
-  base, which is then neither sorted nor shuffled.
+* `overlay` - changes are folded alone and joined onto a base that is unique on
+  the key; when they are few, by a checked size, the base is not even shuffled.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keytide.functions.columns import quoted, same_key
+from keytide.functions.columns import quoted
 from keytide.functions.merge_ops import NULL_TEXT, Custom, Latest, MergeOp, resolve_ops
 
 SEQ = "__seq"
@@ -187,31 +187,49 @@ def overlay(
     keys: Sequence[str],
     columns: Sequence[str],
     ops: dict[str, MergeOp] | None = None,
+    how: str = "full",
+    null_keys: bool = True,
 ) -> DataFrame:
     """Fold changes and put them on a base that is unique on the key.
 
-    The changes are broadcast, so the caller must have checked their size. The
-    base is streamed once for its rows and once, keys only, to find new keys.
+    ``full`` is one full join. ``hash`` and ``broadcast`` join the changes to the
+    left of nothing but the base and add the keys the base lacks: the base is
+    read once for its rows and once for its keys, and filters on key columns
+    reach both scans, which a full join would stop. ``broadcast`` leaves the base
+    where it is. All build hash tables from the changes, so the base is never
+    sorted; the caller must have checked how many changes there are. Without
+    ``null_keys`` the folded changes keep their place for the join.
     """
+    if how not in ("full", "hash", "broadcast"):
+        raise ValueError(f"no way to join changes called {how}")
     columns = [c for c in columns if c not in keys]
     units = _units(versions, columns, ops or {})
+    types = _types(versions.rows)
     states = _states(versions, keys, units).withColumn(_HIT, F.lit(True))
-    small = F.broadcast(states.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)}))
+
+    def built(df: DataFrame) -> DataFrame:
+        return df.hint("broadcast" if how == "broadcast" else "shuffle_hash")
+
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+
     match = None
     for i, k in enumerate(keys):
-        term = F.col(quoted(k)).eqNullSafe(F.col(f"__k{i}"))
+        old, new = F.col(quoted(k)), F.col(f"__k{i}")
+        term = old.eqNullSafe(new) if null_keys else old == new
         match = term if match is None else match & term
-    onto_base = _finish(units, _types(versions.rows), base=True)
-    changed = base.join(small, match, "left").select(
-        *_key_cols(keys), *[onto_base[c].alias(c) for c in columns]
-    )
-    delta_keys = states.select(*_key_cols(keys))
-    base_keys = base.select(*_key_cols(keys))
-    known = base_keys.join(
-        F.broadcast(delta_keys), same_key(base_keys, delta_keys, keys), "left_semi"
-    )
-    alone = _finish(units, _types(versions.rows))
-    fresh = states.join(F.broadcast(known), same_key(states, known, keys), "left_anti").select(
+    merged = _finish(units, types, base=True)
+    values = [merged[c].alias(c) for c in columns]
+    if how == "full":
+        key = [
+            F.when(F.col(_HIT), F.col(f"__k{i}")).otherwise(F.col(quoted(k))).alias(k) for i, k in enumerate(keys)
+        ]
+        return base.join(built(renamed(states)), match, "full").select(*key, *values)
+    changed = base.join(built(renamed(states)), match, "left").select(*_key_cols(keys), *values)
+    changed_keys = renamed(states.select(*_key_cols(keys)))
+    known = base.select(*_key_cols(keys)).join(built(changed_keys), match, "left_semi")
+    alone = _finish(units, types)
+    fresh = states.join(built(renamed(known)), match, "left_anti").select(
         *_key_cols(keys), *[alone[c].alias(c) for c in columns]
     )
     return changed.unionByName(fresh)

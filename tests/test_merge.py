@@ -137,5 +137,6 @@ def test_overlay_and_fold_agree_with_a_row_by_row_model(frame, rows, base, delta
     versions = stack(frames[1:])
     if "v" not in versions.rows.columns:
         versions = M.Versions(versions.rows.withColumn("v", F.lit(None).cast("int")), versions.carried)
-    over = M.overlay(frames[0], versions, ["k"], ["k", *names], found)
-    assert rows(over, "k", *names) == want
+    for how, null_keys in (("full", True), ("hash", False), ("broadcast", True)):
+        over = M.overlay(frames[0], versions, ["k"], ["k", *names], found, how, null_keys)
+        assert rows(over, "k", *names) == want
