@@ -823,7 +823,7 @@ class KeyedTable:
         schema = T.StructType([state.spec.field(c) for c in state.spec.columns])
         dirs = list(dict.fromkeys(f"{base}/{c.dir}" for p in parts for c in p.commits))
         skip = [s for p in parts for c in p.commits for s in c.skip]
-        path = F.concat(F.lit(f"{COMMIT}="), F.substring_index("_metadata.file_path", f"/{COMMIT}=", -1))
+        path = storage.relative_path(F.col("_metadata.file_path"))
         df = self.spark.read.schema(schema).option("basePath", base).parquet(*dirs)
         if skip:
             df = df.filter(~path.isin(skip))

@@ -78,6 +78,11 @@ def write_commits(df: DataFrame, root: str, spec: TableSpec) -> None:
     writer.parquet(data_path(root))
 
 
+def relative_path(file_path: Column) -> Column:
+    """Path below the data folder from `_metadata.file_path`, which is a URI."""
+    return unescape_path(F.concat(F.lit(f"{COMMIT}="), F.substring_index(file_path, f"/{COMMIT}=", -1)))
+
+
 def _listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     """Path, size and row count of files; no column is read, rows come from the footers."""
     try:
@@ -85,9 +90,10 @@ def _listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     except AnalysisException:
         return None
     meta = F.col("_metadata")
-    return files.groupBy(meta["file_path"].alias("path"), meta["file_size"].alias("length")).agg(
+    listed = files.groupBy(meta["file_path"].alias("path"), meta["file_size"].alias("length")).agg(
         F.count(F.lit(1)).alias("rows")
     )
+    return listed.withColumn("path", relative_path(F.col("path")))
 
 
 def _dir_value(path: Column, column: str) -> Column:
@@ -102,8 +108,7 @@ def commit_files(spark: SparkSession, root: str, spec: TableSpec, commits: Seque
     found = _listed(spark, [f"{data_path(root)}/{COMMIT}={c}" for c in commits])
     if found is None:
         return None
-    path = F.concat(F.lit(f"{COMMIT}="), F.substring_index("path", f"/{COMMIT}=", -1))
-    rows = found.filter(F.col("path").endswith(".parquet")).select(path.alias("path"), F.col("length").alias("size"), "rows")
+    rows = found.filter(F.col("path").endswith(".parquet")).select("path", F.col("length").alias("size"), "rows")
     rows = rows.withColumn("commit_id", F.regexp_extract("path", f"^{COMMIT}=([^/]*)/", 1))
     for c in spec.range_cols:
         rows = rows.withColumn(c, _dir_value(F.col("path"), _escaped_name(c)))
@@ -173,10 +178,7 @@ def scan(
             schema.add(BUCKET, T.IntegerType())
         df = spark.read.schema(schema).option("basePath", data_path(root)).parquet(*g["paths"])
         if g["skip"]:
-            relative = F.concat(
-                F.lit(f"{COMMIT}="), F.substring_index("_metadata.file_path", f"/{COMMIT}=", -1)
-            )
-            df = df.filter(~relative.isin(g["skip"]))
+            df = df.filter(~relative_path(F.col("_metadata.file_path")).isin(g["skip"]))
         seq = F.substring(COMMIT, 1, _ORDER_DIGITS).cast("bigint").alias(SEQ)
         df = df.select(*[F.col(quoted(f.name)) for f in fields], seq)
         carried[cols] = tuple(sorted(g["seqs"]))

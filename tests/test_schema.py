@@ -54,7 +54,7 @@ def test_altered_table_reads_null_for_new_columns(spark, frame, root, rows):
 
 
 def test_drift_report(spark, frame):
-    expected = T.StructType.fromDDL("a int, b string, c struct<d: int>, e array<int>").add("n", "int", False)
+    expected = T.StructType.fromDDL("a int, b string, c struct<d: int>, e array<int>").add("n", T.IntegerType(), False)
     actual = T.StructType.fromDDL("A int, b bigint, c struct<d: int, x: int>, n int")
     got = {r["path"]: (r["differences"], r["read_compatible"]) for r in S.drift_report(spark, expected, actual).collect()}
     assert got == {

@@ -32,6 +32,9 @@ def feed(spark, tmp_path):
     return Feed()
 
 
+INT, TEXT = T.IntegerType(), T.StringType()
+
+
 def finish(writer):
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -81,12 +84,12 @@ def test_guards(spark, feed, frame, root):
     t = KeyedTable.define(spark, root, frame([], "id int, v string").schema, ["id"])
     spec = t.spec()
     for schema, kw, message in (
-        (T.StructType().add("id", "int").add("v", T.NullType()), {}, "untyped"),
-        (T.StructType().add("id", "int").add("v", "int"), {}, "cannot merge"),
-        (T.StructType().add("id", "int").add("v", "string").add("w", "int"), {}, "another schema"),
-        (T.StructType().add("id", "int"), {}, "partition columns"),
-        (T.StructType().add("id", "int").add("v", "string"), {"range_cols": ["v"]}, "partitioned by"),
-        (T.StructType().add("id", "int").add("v", "string"), {"mode": "other"}, "mode"),
+        (T.StructType().add("id", INT).add("v", T.NullType()), {}, "untyped"),
+        (T.StructType().add("id", INT).add("v", INT), {}, "cannot merge"),
+        (T.StructType().add("id", INT).add("v", TEXT).add("w", INT), {}, "another schema"),
+        (T.StructType().add("id", INT), {}, "partition columns"),
+        (T.StructType().add("id", INT).add("v", TEXT), {"range_cols": ["v"]}, "partitioned by"),
+        (T.StructType().add("id", INT).add("v", TEXT), {"mode": "other"}, "mode"),
     ):
         with pytest.raises(TableError, match=message):
             sinks.check_stream(spec, schema, **{"mode": "append", **kw})
