@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import checks.cdc as C
-from checks.inputs import ACCESS_COLUMNS, BUCKETS, access_batches, change_events, order_deltas, scratch, table
+from checks.inputs import ACCESS_COLUMNS, access_batches, change_events, order_deltas, scratch, table
 from checks.joins import _ON, _sides
 from keytide import KeyedTable
 from keytide.operators.bucketed import store_bucketed
@@ -28,6 +28,7 @@ from keytide.streaming import cdc
 SF = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+BUCKETS = 8
 OPS = {"requests": "sum", "name": "non_null"}
 
 

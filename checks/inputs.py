@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from keytide import KeyedTable
 from keytide.sources.scratch import scratch_dir
 
-BUCKETS = 8
+BUCKETS = 4
+YEARLY_BUCKETS = 2
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -99,7 +100,7 @@ def yearly_table(spark: SparkSession, sf: str, label: str, keys: bool = True) ->
     if not keys:
         return KeyedTable.create(spark, scratch(spark, label), df, range_cols=["o_year"])
     return KeyedTable.create(spark, scratch(spark, label), df, range_cols=["o_year"], keys=["o_orderkey"],
-                             buckets=BUCKETS, unique_keys=True)
+                             buckets=YEARLY_BUCKETS, unique_keys=True)
 
 
 # -- eleven ordered batches -----------------------------------------------------

@@ -87,14 +87,11 @@ def unscaled_integer(data: Column, precision: int = 38) -> Column:
         wide = _extended(data, 32)
         high = F.conv(F.left(wide, F.lit(16)), 16, -10).cast("decimal(19,0)")
         low = F.conv(F.right(wide, F.lit(16)), 16, 10).cast("decimal(20,0)")
-        two64 = F.lit(Decimal(2**64))
-        # A negative number goes through its complement, whose size never exceeds its own.
-        # Minus one minus that, as negating a decimal would round it to 34 digits.
-        value = (
-            F.when(high >= 0, high * two64 + low)
-            .otherwise(F.lit(Decimal(-1)) - ((F.lit(Decimal(-1)) - high) * two64 + (two64 - 1 - low)))
-            .cast("decimal(38,0)")
-        )
+        # A negative number borrows one upper unit, so that no step leaves 38 digits.
+        negative = F.left(wide, F.lit(1)) >= "8"
+        borrow = F.when(negative, F.lit(Decimal(1))).otherwise(F.lit(Decimal(0)))
+        lent = F.when(negative, F.lit(Decimal(2**64))).otherwise(F.lit(Decimal(0)))
+        value = ((high + borrow) * F.lit(Decimal(2**64)) + (low - lent)).cast("decimal(38,0)")
     return F.when(F.length(data) > 0, value)
 
 

@@ -72,6 +72,7 @@ class State:
     spec: TableSpec
     log_version: int
     partitions: dict[str, Partition] = field(default_factory=dict)
+    new: bool = False
 
     def live(self) -> list[Partition]:
         return [p for p in self.partitions.values() if p.commits]
@@ -114,6 +115,17 @@ class KeyedTable:
         L.read_versions(spark, table.root)
         return table
 
+    @staticmethod
+    def _spec_of(
+        schema: T.StructType, range_cols: Sequence[str], keys: Sequence[str], buckets: int | None, props: dict
+    ) -> TableSpec:
+        """Table description; primary key columns become NOT NULL."""
+        fields = [
+            T.StructField(f.name, f.dataType, f.nullable and f.name not in (*range_cols, *keys), f.metadata)
+            for f in schema.fields
+        ]
+        return TableSpec(T.StructType(fields), tuple(range_cols), tuple(keys), buckets, **props)
+
     @classmethod
     def define(
         cls,
@@ -126,12 +138,8 @@ class KeyedTable:
         **props,
     ) -> KeyedTable:
         """Create an empty table from a schema; primary key columns become NOT NULL."""
-        fields = [
-            T.StructField(f.name, f.dataType, f.nullable and f.name not in (*range_cols, *keys), f.metadata)
-            for f in schema.fields
-        ]
-        spec = TableSpec(T.StructType(fields), tuple(range_cols), tuple(keys), buckets, **props)
         table = cls(spark, root)
+        spec = cls._spec_of(schema, range_cols, keys, buckets, props)
         L.publish(spark, table.root, 0, [{"kind": "spec", "spec": spec.to_json()}])
         return table
 
@@ -151,7 +159,8 @@ class KeyedTable:
         """Create a table from a query (S12); ``mode`` error or ignore when it exists.
 
         ``unique_keys`` promises that no key repeats in the data; reads then
-        need no merge until the first upsert.
+        need no merge until the first upsert. Description and data become
+        visible together, as version 0.
         """
         if mode not in ("error", "ignore"):
             raise TableError(f"mode must be error or ignore, not {mode}")
@@ -160,8 +169,9 @@ class KeyedTable:
                 return cls(spark, root)
             raise TableError(f"{root} exists")
         df = S.drop_null_type(df)
-        table = cls.define(spark, root, df.schema, range_cols, keys, buckets, **props)
-        table._write(table.state(), [df], L.APPEND, clean=unique_keys)
+        table = cls(spark, root)
+        spec = cls._spec_of(df.schema, range_cols, keys, buckets, props)
+        table._write(State(spec, -1, new=True), [df], L.APPEND, clean=unique_keys)
         return table
 
     # -- log ----------------------------------------------------------------------
@@ -543,7 +553,7 @@ class KeyedTable:
                 "values": values.get(desc, old.values if old else {}),
                 "version": old.version + 1 if old else 0, "op": op, "commits": [c.row() for c in commits],
             })
-        if spec != state.spec:
+        if state.new or spec != state.spec:
             rows.append({"kind": "spec", "spec": spec.to_json()})
         if batch is not None:
             rows.append({"kind": "batch", "query_id": batch[0], "batch_id": batch[1]})
