@@ -50,6 +50,12 @@ def drain(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def exchanges(df) -> int:
+    """Shuffles and broadcasts that the plan starts with."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum(line.lstrip(" :+-*()0123456789").startswith(("Exchange", "BroadcastExchange")) for line in plan.splitlines())
+
+
 def timed(run, runs: int = RUNS) -> float:
     best = None
     for i in range(runs + 1):
@@ -82,6 +88,13 @@ def chained_joins(batches):
 def main() -> None:
     spark = session()
     q: dict[str, float] = {}
+    plans: dict[str, int] = {}
+
+    def read(name, make, runs=RUNS):
+        """Time a query to its end and note how many exchanges its plan has."""
+        plans[name] = exchanges(make())
+        q[name] = timed(lambda: drain(make()), runs)
+
     deltas = order_deltas(spark, SF)
     batches = access_batches(spark, SF)
 
@@ -91,26 +104,26 @@ def main() -> None:
             t.bulk_upsert(parts[1:])
         return t
 
-    q["b0_merge_in_memory"] = timed(lambda: drain(merge_deltas(deltas, ["o_orderkey"])))
+    read("b0_merge_in_memory", lambda: merge_deltas(deltas, ["o_orderkey"]))
     one = table_of(deltas[:2], "o_orderkey")
-    q["b1_merge_read_1_delta"] = timed(lambda: drain(one.read()))
+    read("b1_merge_read_1_delta", lambda: one.read())
     four = table_of(deltas, "o_orderkey")
-    q["b1_merge_read_4_deltas"] = timed(lambda: drain(four.read()))
+    read("b1_merge_read_4_deltas", lambda: four.read())
     eleven = table_of(batches, "uuid")
-    q["b1_merge_read_11_deltas"] = timed(lambda: drain(eleven.read()))
-    q["b2_contest_read"] = timed(lambda: drain(eleven.read(ops=OPS)))
-    q["b2_contest_write"] = timed(lambda: table_of(batches, "uuid"), 1)
-    q["b3_premerge"] = timed(lambda: drain(premerge(batches, ["uuid"], ["requests"], ["name"])))
-    q["b3_chained_full_joins"] = timed(lambda: drain(chained_joins(batches)), 1)
+    read("b1_merge_read_11_deltas", lambda: eleven.read())
+    read("b2_operator_read", lambda: eleven.read(ops=OPS))
+    q["b2_bulk_write"] = timed(lambda: table_of(batches, "uuid"), 1)
+    read("b3_premerge", lambda: premerge(batches, ["uuid"], ["requests"], ["name"]))
+    read("b3_chained_full_joins", lambda: chained_joins(batches), 1)
     eleven.compact(ops=OPS)
-    q["b4_read_after_compaction"] = timed(lambda: drain(eleven.read(ops=OPS)))
+    read("b4_read_after_compaction", lambda: eleven.read(ops=OPS))
     o, li = _sides(spark, SF)
     tag = str(os.getpid())
     bo = store_bucketed(o, f"bench_o_{tag}", ["o_orderkey"], BUCKETS, scratch(spark, "bench-o"))
     bl = store_bucketed(li, f"bench_l_{tag}", ["l_orderkey"], BUCKETS, scratch(spark, "bench-l"))
-    q["b5_join_cobucketed"] = timed(lambda: drain(equi_join(bo.hint("merge"), bl, _ON)))
-    q["b5_join_shuffled"] = timed(lambda: drain(equi_join(o.hint("merge"), li, _ON)))
-    q["b5_join_full_split"] = timed(lambda: drain(equi_join(o, li, _ON, "full")))
+    read("b5_join_cobucketed", lambda: equi_join(bo.hint("merge"), bl, _ON))
+    read("b5_join_shuffled", lambda: equi_join(o.hint("merge"), li, _ON))
+    read("b5_join_full_split", lambda: equi_join(o, li, _ON, "full"))
     row = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string, value double")
     records = change_events(spark, SF)
 
@@ -123,14 +136,15 @@ def main() -> None:
 
     q["b6_change_apply"] = timed(apply, 1)
     q["b7_delete_rewrite"] = timed(lambda: table_of(deltas[:1], "o_orderkey").delete("o_orderpriority > '3'"), 1)
-    q["b8_concat_long_chains"] = timed(
-        lambda: drain(merge_deltas([table(spark, SF, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")],
-                                   ["o_custkey"], {"o_orderstatus": "concat"}, ["o_orderdate", "o_orderkey"])))
-    q["b9_decode_envelope"] = timed(lambda: drain(C.decode(spark, SF)))
-    q["b9_order_changes"] = timed(lambda: drain(C.order(spark, SF)))
+    chains = table(spark, SF, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
+    read("b8_concat_long_chains", lambda: merge_deltas([chains], ["o_custkey"], {"o_orderstatus": "concat"},
+                                                       ["o_orderdate", "o_orderkey"]))
+    read("b9_decode_envelope", lambda: C.decode(spark, SF))
+    read("b9_order_changes", lambda: C.order(spark, SF))
     total = round(sum(q.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": q,
-                      "sf": os.path.basename(SF.rstrip("/")), "cpus": int(CPUS)}))
+                      "sf": os.path.basename(SF.rstrip("/")), "cpus": int(CPUS), "exchanges": plans,
+                      "rows": {n: table(spark, SF, n).count() for n in ("orders", "lineitem", "events")}}))
     spark.stop()
     sys.stdout.flush()
 

@@ -117,7 +117,7 @@ def premerged(spark, sf):
 
 
 def premerged_table(spark, sf):
-    """The contest write: batches collapsed in four groups, then upserted and read back."""
+    """Batches collapsed in four groups, then upserted as one version and read back."""
     b = access_batches(spark, sf)
 
     def group(part):

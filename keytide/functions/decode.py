@@ -54,6 +54,22 @@ _PRIMITIVE: dict[str, T.DataType] = {
 }
 
 
+def field_spec(wire: str, name: str | None = None, parameters: Mapping[str, str] | None = None) -> FieldSpec:
+    """Encoding of a field from the schema block of a change event.
+
+    Connectors may put a package of their own before the name of a logical type.
+    """
+    if name is None:
+        return FieldSpec(wire)
+    logical = (DATE, YEAR, TIME_MILLIS, TIME_MICROS, TIME_NANOS, TIMESTAMP_MILLIS, TIMESTAMP_MICROS,
+               TIMESTAMP_NANOS, ZONED_TIMESTAMP, ZONED_TIME, DECIMAL)
+    for known in logical:
+        if name == known or name.endswith(f".{known}"):
+            given = parameters or {}
+            return FieldSpec(known, int(given.get("connect.decimal.precision", 10)), int(given.get("scale", 0)))
+    return FieldSpec(wire)
+
+
 def wire_type(spec: FieldSpec) -> T.DataType:
     """Type to give `from_json` for a field before it is decoded."""
     if spec.kind in (DATE, YEAR):
@@ -67,37 +83,39 @@ def wire_type(spec: FieldSpec) -> T.DataType:
     return _PRIMITIVE[spec.kind]
 
 
-def _extended(data: Column, digits: int) -> Column:
-    """Hex digits of signed big-endian bytes, sign-extended to a width."""
+def _width(precision: int) -> int:
+    """Hex digits that hold an unscaled value: a long, or twice that."""
+    return 16 if precision <= 18 else 32
+
+
+def hex_digits(data: Column, precision: int) -> Column:
+    """Signed big-endian bytes as sign-extended hex digits; NULL for no bytes."""
+    width = F.lit(_width(precision))
     text = F.hex(data)
-    sign = F.when(F.left(text, F.lit(1)) >= "8", "F").otherwise("0")
+    sign = F.when(text >= "8", "F").otherwise("0")
     # More bytes than the width can only repeat the sign.
-    return F.right(F.lpad(text, F.greatest(F.length(text), F.lit(digits)), sign), F.lit(digits))
+    return F.right(F.lpad(F.nullif(text, F.lit("")), F.greatest(F.length(text), width), sign), width)
 
 
-def unscaled_integer(data: Column, precision: int = 38) -> Column:
-    """Signed big-endian bytes as an exact integer.
+def unscaled_integer(digits: Column, precision: int = 38) -> Column:
+    """Exact integer of `hex_digits`.
 
     Up to 18 digits fit into a long; wider values are put together from a signed
     upper and an unsigned lower half.
     """
     if precision <= 18:
-        value = F.conv(_extended(data, 16), 16, -10).cast("bigint")
-    else:
-        wide = _extended(data, 32)
-        high = F.conv(F.left(wide, F.lit(16)), 16, -10).cast("decimal(19,0)")
-        low = F.conv(F.right(wide, F.lit(16)), 16, 10).cast("decimal(20,0)")
-        # A negative number borrows one upper unit, so that no step leaves 38 digits.
-        negative = F.left(wide, F.lit(1)) >= "8"
-        borrow = F.when(negative, F.lit(Decimal(1))).otherwise(F.lit(Decimal(0)))
-        lent = F.when(negative, F.lit(Decimal(2**64))).otherwise(F.lit(Decimal(0)))
-        value = ((high + borrow) * F.lit(Decimal(2**64)) + (low - lent)).cast("decimal(38,0)")
-    return F.when(F.length(data) > 0, value)
-
-
-def scaled_decimal(data: Column, precision: int, scale: int) -> Column:
-    """Bytes of an unscaled value to DECIMAL(precision, scale), exactly."""
-    value = unscaled_integer(data, precision).cast(f"decimal({precision},0)")
+        return F.conv(digits, 16, -10).cast("bigint")
+    high = F.conv(F.left(digits, F.lit(16)), 16, -10).cast("decimal(19,0)")
+    low = F.conv(F.right(digits, F.lit(16)), 16, 10).cast("decimal(20,0)")
+    # A negative number borrows one upper unit, so that no step leaves 38 digits.
+    borrow = F.when(digits >= "8", F.lit(Decimal(1))).otherwise(F.lit(Decimal(0)))
+    lent = F.when(digits >= "8", F.lit(Decimal(2**64))).otherwise(F.lit(Decimal(0)))
+    return ((high + borrow) * F.lit(Decimal(2**64)) + (low - lent)).cast("decimal(38,0)")
+
+
+def scaled_decimal(digits: Column, precision: int, scale: int) -> Column:
+    """`hex_digits` of an unscaled value to DECIMAL(precision, scale), exactly."""
+    value = unscaled_integer(digits, precision).cast(f"decimal({precision},0)")
     target = f"decimal({precision},{scale})"
     if scale == 0:
         return value
@@ -124,7 +142,10 @@ def _wall_clock(instant: Column, zone: str) -> Column:
 
 
 def decode_value(value: Column, spec: FieldSpec, wire: T.DataType, zone: str = "UTC") -> Column:
-    """One field to its table type; times of day become microseconds."""
+    """One field to its table type; times of day become microseconds.
+
+    A decimal is given as its `hex_digits`.
+    """
     kind = spec.kind
     if kind == DATE:
         return F.date_add(F.lit("1970-01-01").cast("date"), value.cast("int"))
@@ -145,9 +166,7 @@ def decode_value(value: Column, spec: FieldSpec, wire: T.DataType, zone: str = "
     if kind in (ZONED_TIMESTAMP, ZONED_TIME):
         return _wall_clock(value.cast("timestamp"), zone)
     if kind == DECIMAL:
-        if isinstance(wire, T.BinaryType):
-            return scaled_decimal(value, spec.precision, spec.scale)
-        return scaled_decimal(F.unbase64(value), spec.precision, spec.scale)
+        return scaled_decimal(value, spec.precision, spec.scale)
     if kind in (DECIMAL_TEXT, DECIMAL_DOUBLE):
         return value.cast(f"decimal({spec.precision},{spec.scale})")
     if kind == "bytes":
@@ -158,14 +177,22 @@ def decode_value(value: Column, spec: FieldSpec, wire: T.DataType, zone: str = "
 
 
 def decode_envelope(df: DataFrame, specs: Mapping[str, FieldSpec], zone: str = "UTC") -> DataFrame:
-    """Decode the named columns; others pass through."""
-    out = []
+    """Decode the named columns; others pass through.
+
+    Decimal bytes become hex digits in a projection of their own, because the
+    steps above it read the digits more than once.
+    """
+    first, out = [], []
     for f in df.schema.fields:
         value = F.col(quoted(f.name))
-        if f.name in specs:
-            value = decode_value(value, specs[f.name], f.dataType, zone).alias(f.name)
-        out.append(value)
-    return df.select(*out)
+        spec = specs.get(f.name)
+        if spec is not None and spec.kind == DECIMAL:
+            data = value if isinstance(f.dataType, T.BinaryType) else F.unbase64(value)
+            first.append(hex_digits(data, spec.precision).alias(f.name))
+        else:
+            first.append(value)
+        out.append(value if spec is None else decode_value(value, spec, f.dataType, zone).alias(f.name))
+    return df.select(*first).select(*out)
 
 
 # -- D10 ------------------------------------------------------------------------

@@ -566,7 +566,8 @@ class KeyedTable:
         if not pairs:
             return None
         frame = L.local_rows(self.spark, pairs, "partition string, commit_id string")
-        return self.live_files().join(frame, ["partition", "commit_id"], "left_semi")
+        ops = L.read_files(self.spark, self.root).join(frame, ["partition", "commit_id"], "left_semi")
+        return L.live_files(ops.withColumn("seq", F.col("log_version")))
 
     def _write(
         self,
@@ -964,7 +965,10 @@ class KeyedTable:
         )
 
     def find_orphans(self, retention: timedelta = timedelta(days=7)) -> DataFrame:
-        """Data files older than the retention that no log entry mentions."""
+        """Data files older than the retention that no log entry mentions.
+
+        Deleting them is left to the tools of the storage.
+        """
         cutoff = datetime.now(UTC) - retention
         base = L.data_path(self.root)
         try:

@@ -24,6 +24,7 @@ from keytide.functions.merge_ops import NULL_TEXT, Custom, Latest, MergeOp, reso
 SEQ = "__seq"
 _CHUNK = "__chunk"
 _HIT = "__hit"
+_TIE = "__tie"
 
 
 @dataclass(frozen=True)
@@ -119,20 +120,29 @@ def _states(versions: Versions, keys: Sequence[str], units: Sequence[_Unit]) ->
     )
 
 
+def _hashable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_hashable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _hashable(data_type.elementType)
+    return not isinstance(data_type, T.MapType)
+
+
 def fold_in_chunks(versions: Versions, keys: Sequence[str], units: Sequence[_Unit]) -> DataFrame:
     """States per key, built from states per (key, range chunk).
 
-    Rows are range-partitioned by (key, order, position), so the chunks of a key
-    are consecutive and no task or group holds more than one range partition,
-    however many versions one key has.
+    Rows are range-partitioned by (key, order, content hash), so the chunks of a
+    key are consecutive and its versions spread over many tasks, however many it
+    has. The hash also orders versions that tie; it depends on values alone, so a
+    task that runs again places its rows as before.
     """
-    spot = "__spot"
+    tie = F.xxhash64(*[F.col(quoted(f.name)) for f in versions.rows.schema.fields if _hashable(f.dataType)])
     ordered = (
-        versions.rows.withColumn(spot, F.monotonically_increasing_id())
-        .repartitionByRange(*_key_cols(keys), *versions.order_parts(), F.col(spot))
+        versions.rows.withColumn(_TIE, tie)
+        .repartitionByRange(*_key_cols(keys), *versions.order_parts(), F.col(_TIE))
         .withColumn(_CHUNK, F.spark_partition_id())
     )
-    order = F.struct(*versions.order_parts(), F.col(spot))
+    order = F.struct(*versions.order_parts(), F.col(_TIE))
     chunks = ordered.groupBy(*_key_cols(keys), F.col(_CHUNK)).agg(
         *[u.op.fold(u.value(), versions.has(u.carriers), order).alias(u.state) for u in units]
     )

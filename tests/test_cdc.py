@@ -109,6 +109,15 @@ def test_times_before_1970_round_down_in_any_session_zone(spark, frame):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_field_specs_from_a_schema_block():
+    shaded = "com.example.shaded." + D.DECIMAL
+    assert D.field_spec("bytes", shaded, {"scale": "4", "connect.decimal.precision": "9"}) == D.FieldSpec(D.DECIMAL, 9, 4)
+    assert D.field_spec("int32", D.DATE).kind == D.DATE
+    assert D.field_spec("int16") == D.FieldSpec("int16")
+    assert D.field_spec("string", "io.debezium.data.Enum") == D.FieldSpec("string")
+    assert cdc.wire_schema({"a": D.FieldSpec(D.DATE), "b": D.FieldSpec("bytes")}).simpleString() == "struct<a:int,b:string>"
+
+
 def test_source_types(frame, rows):
     kinds = ["int", "BIGINT", "varchar(255)", "decimal(10, 2)", "numeric", "geometry", "json", "char(1)", "tinyblob", "bit(2)"]
     df = frame([("t", f"c{i}", i, k) for i, k in enumerate(kinds)], "table_name string, column_name string, position int, source_type string")

@@ -312,3 +312,33 @@ def test_spec_rules(spark, frame, root):
             KeyedTable.create(spark, root, df, **bad)
     with pytest.raises(TableError, match="more than case"):
         KeyedTable.define(spark, root, df.selectExpr("a", "b as A").schema)
+
+
+def test_empty_sources(spark, frame, root, rows):
+    t = KeyedTable.create(spark, root, frame([], F1), ["range"], ["hash"], 2)
+    assert rows(t.read()) == [] and t.read().columns == ["hash", "value", "range"]
+    t.upsert(frame([], F1))
+    t.delete("value = 1")
+    assert t.compact() == [] and t.state().live() == []
+    t.upsert(frame([(1, 1, 1)], F1))
+    assert rows(t.read()) == [(1, 1, 1)]
+
+
+def test_a_hot_bucket_is_written_as_several_files(spark, root):
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        n = 60_000
+        hot = spark.range(0, n, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+        )
+        t = KeyedTable.create(spark, root, hot, keys=["k"], buckets=4)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = {r["bucket"]: r["files"] for r in t.layout_report().collect()}
+    assert len(files) == 4 and max(files.values()) > 1
+    assert t.read().count() == n - n // 3 + 1
+    assert t.size_report().first()["rows"] == n
