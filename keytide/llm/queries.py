@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import mixing, quality, sharding
+from keytide.llm import mixing, quality, sharding, simhash
 from keytide.llm.text import cut, documents, n_bytes
 from keytide.sources.scratch import scratch_dir
 
@@ -29,6 +29,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(documents(spark, sf_dir))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.queue(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -44,6 +49,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_simhash": op2_simhash,
     "op7_mixing": op7_mixing,
     "op9_quality": op9_quality,
 }
