@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from keytide.llm import mixing, quality
-from keytide.llm.text import cut
+from keytide.llm.text import cut, documents
 
 ORACLE_SQL = None  # fingerprints and suffix orders are not for SQL; tests hold the stages against brute force
 
@@ -27,7 +27,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import mixing, quality, sharding, simhash
+from keytide.llm import mixing, nbest, quality, sharding, simhash, suffix, tokens
 from keytide.llm.text import cut, documents, n_bytes
 from keytide.sources.scratch import scratch_dir
 
 SHARDS = 8
+MAX_TOKENS = 4096
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,10 +48,26 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.counts(documents(spark, sf_dir))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
+
+
+def op8_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.digests(documents(spark, sf_dir))
+
+
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removed(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
+    "op5_tokens": op5_tokens,
     "op7_mixing": op7_mixing,
+    "op8_nbest": op8_nbest,
     "op9_quality": op9_quality,
+    "op10_suffix": op10_suffix,
 }
 SQL: dict[str, str] = {}

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +17,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for clusters
+    (and working folders) where it is not installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        home = tempfile.mkdtemp(prefix="keytide-code-")  # the driver serves the archive from here
+        atexit.register(shutil.rmtree, home, ignore_errors=True)
+        package = Path(__file__).resolve().parents[1]
+        if package.is_dir():  # already inside an archive: it came with the job
+            context.addPyFile(shutil.make_archive(f"{home}/keytide", "zip", package.parent, package.name))
+
+
 def words(text: Column) -> Column:
     """Words of a text in order; none for NULL. Splitting at one literal character
     is several times faster than at a pattern, so the pattern is for texts that need it."""
@@ -46,4 +67,5 @@ def cut(df: DataFrame, label: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
