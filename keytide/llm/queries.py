@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import mixing, nbest, quality, sharding, simhash, suffix, tokens
+from keytide.llm import mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity
 from keytide.llm.text import cut, documents, n_bytes
 from keytide.sources.scratch import scratch_dir
 
@@ -53,6 +53,13 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.scores(documents(spark, sf_dir), labels, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest.digests(documents(spark, sf_dir))
 
@@ -65,6 +72,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
     "op5_tokens": op5_tokens,
+    "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
     "op8_nbest": op8_nbest,
     "op9_quality": op9_quality,
