@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity
-from keytide.llm.text import cut, documents, n_bytes
+from keytide.llm import embedding, mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity
+from keytide.llm.text import cut, documents, n_bytes, ship
 from keytide.sources.scratch import scratch_dir
 
 SHARDS = 8
@@ -48,6 +48,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return embedding.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.counts(documents(spark, sf_dir))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
@@ -71,6 +76,7 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
+    "op3_embedding": op3_embedding,
     "op5_tokens": op5_tokens,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
