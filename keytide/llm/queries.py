@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import embedding, mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity
+from keytide.llm import chat, embedding, mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity
 from keytide.llm.text import cut, documents, n_bytes, ship
 from keytide.sources.scratch import scratch_dir
 
@@ -53,6 +53,37 @@ def op3_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def _marked() -> Column:
+    """A turn of `conversations` as a raw transcript shows it: markers of several styles, often none."""
+    style = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(8)).cast("int")
+    marks = {
+        "user": ("User: ", "Human: ", "USER - ", "<user> ", "Q: ", "", "", ""),
+        "assistant": ("Assistant: ", "AI: ", "ASSISTANT - ", "<assistant> ", "A: ", "", "", ""),
+        "system": ("System: ", "SYSTEM: ", "[system] ", "<system> ", "Instruction: ", "", "", ""),
+    }
+    mark = F.lit("")
+    for role, forms in marks.items():
+        mark = F.when(F.col("role") == role, F.element_at(F.array(*map(F.lit, forms)), style + 1)).otherwise(mark)
+    gap = F.when(style % 2 == 1, F.lit("\n")).otherwise(F.lit(""))
+    return F.concat(gap, mark, F.coalesce("text", F.lit("")))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles of transcripts made of `conversations`; four conversations of five teach the model."""
+    ship(spark)
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows = cut(chat.parts(turns, _marked()), "transcripts")
+    held_out = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit(""))) % 5 == 0
+    found = chat.parsed(rows, chat.learned(rows.filter(~held_out)))
+    role = F.array(*map(F.lit, chat.ROLES))
+    right = F.zip_with("states", "roles", lambda s, r: F.element_at(role, F.floor(s / 2).cast("int") + 1) == r)
+    return found.select(
+        "conv_id", "part", held_out.alias("held_out"), F.size("states").cast("long").alias("n_lines"),
+        F.size("turns").cast("long").alias("n_turns"), F.size(F.filter(right, lambda x: x)).cast("long").alias("n_right"),
+        F.sha2("chat", 256).alias("chat_sha256"),
+    )
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.counts(documents(spark, sf_dir))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
@@ -77,6 +108,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
     "op3_embedding": op3_embedding,
+    "op4_chat": op4_chat,
     "op5_tokens": op5_tokens,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,

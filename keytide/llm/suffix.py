@@ -351,6 +351,7 @@ def without(text: str | None, ranges: list[dict] | None) -> str | None:
 def deduplicated(df: DataFrame, **options) -> DataFrame:
     """``df`` with repeated passages taken out of ``text`` (``n_chars`` follows)."""
     joined = _with_spans(df, "text", **options)
+    kept = df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +359,7 @@ def deduplicated(df: DataFrame, **options) -> DataFrame:
             text = [without(t.as_py(), r.as_py()) for t, r in zip(batch.column("text"), batch.column("ranges"))]
             cols = {c: batch.column(c) for c in names if c != "ranges"}
             cols["text"] = pa.array(text, pa.string())
-            yield pa.RecordBatch.from_arrays([cols[c] for c in df.columns], names=df.columns)
+            yield pa.RecordBatch.from_arrays([cols[c] for c in kept], names=kept)
 
     out = joined.mapInArrow(run, df.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in df.columns else out
