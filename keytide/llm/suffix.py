@@ -117,7 +117,7 @@ def pieces_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: in
 
 
 def _anchors(length: int, gram: int):
-    names = ["key", "piece", "text_hash", "n", "doc", "copies", "first", "last", "anchor"]
+    names = ["key", "piece", "text_hash", "n", "doc", "copies", "first", "last", "anchor", "reach"]
 
     def emit(texts: list[tuple[int, int, int, bytes, int, int]]) -> pa.RecordBatch:
         data = np.frombuffer(b"".join(t[3] for t in texts), np.uint8)
@@ -128,12 +128,20 @@ def _anchors(length: int, gram: int):
         whole = data.tobytes()
         piece = np.array([xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())],
                          dtype=np.uint64)
+        # a text that repeats itself names one piece again and again: a run of them is one row,
+        # ``reach`` bytes from its first piece to its last
+        same = (key[1:] == key[:-1]) & (piece[1:] == piece[:-1]) & (of[1:] == of[:-1]) & (first[1:] == last[:-1] + 1)
+        begin = np.flatnonzero(np.concatenate([[True], ~same]))[: len(key)]
+        end = np.concatenate([begin[1:], [len(key)]]) - 1
+        reach, times = first[end] - first[begin], end - begin + 1
+        key, piece, of, at, first, last = (v[begin] for v in (key, piece, of, at, first, last))
         shift = np.array([t[4] for t in texts], np.int64)[of] - starts[of]
         col = lambda i: np.array([t[i] for t in texts], dtype=object)[of]
         return pa.RecordBatch.from_arrays([
             pa.array(key.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(col(0), pa.int64()),
-            pa.array(col(1), pa.int64()), pa.array(col(2), pa.int64()), pa.array(col(5), pa.int64()),
+            pa.array(col(1), pa.int64()), pa.array(col(2), pa.int64()), pa.array(np.array([t[5] for t in texts], np.int64)[of] * times),
             pa.array(first + shift, pa.int64()), pa.array(last + shift, pa.int64()), pa.array(at + shift, pa.int64()),
+            pa.array(reach, pa.int64()),
         ], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +165,7 @@ def _anchors(length: int, gram: int):
     return run
 
 
-_ANCHOR_ROW = "key long, piece long, text_hash long, n long, doc long, copies long, first long, last long, anchor long"
+_ANCHOR_ROW = "key long, piece long, text_hash long, n long, doc long, copies long, first long, last long, anchor long, reach long"
 
 
 def repeated_windows(pieces: list[bytes], before: np.ndarray, length: int) -> list[tuple[int, int, int]]:
@@ -285,10 +293,13 @@ def spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int
     copied = kinds.filter("copies > 1").select(
         "key", "piece", F.lit(0).cast("long").alias("lo"), (F.col("at.last") - F.col("at.first")).alias("hi")
     )
-    where = found.select("key", "piece", "text_hash", "n", "first")
+    where = found.select("key", "piece", "text_hash", "n", "first", "reach")
     marked = where.join(shared.unionByName(copied), ["key", "piece"]).select(
-        "text_hash", "n", (F.col("first") + F.col("lo")).alias("from"), (F.col("first") + F.col("hi") + length).alias("to")
+        "text_hash", "n", (F.col("first") + F.col("lo")).alias("from"), (F.col("first") + F.col("hi") + length).alias("to"),
+        "reach",
     )
+    # the pieces of a run equal each other, so all their windows are marked: the run is one range
+    marked = marked.withColumn("to", F.col("to") + F.col("reach")).drop("reach")
     return marked.groupBy("text_hash", "n").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
 
 
