@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,46 +21,89 @@ _INT_RANK = {T.ByteType: 0, T.ShortType: 1, T.IntegerType: 2}
 # -- E1 -------------------------------------------------------------------------
 
 
-def merged_type(current: T.DataType, new: T.DataType, path: str = "") -> T.DataType:
-    """Additive merge of two types; the current side names and orders the fields."""
-    if isinstance(current, T.StructType) and isinstance(new, T.StructType):
-        lowered = [n.lower() for n in new.fieldNames()]
-        if len(set(lowered)) != len(lowered):
-            raise TableError(f"duplicate columns in the data: {new.fieldNames()}")
-        incoming = {f.name.lower(): f for f in new.fields}
-        fields = []
-        for f in current.fields:
-            other = incoming.pop(f.name.lower(), None)
-            if other is None:
-                fields.append(f)
-            else:
-                data_type = merged_type(f.dataType, other.dataType, f"{path}.{f.name}".lstrip("."))
-                fields.append(T.StructField(f.name, data_type, f.nullable, f.metadata))
-        return T.StructType([*fields, *incoming.values()])
-    if isinstance(current, T.ArrayType) and isinstance(new, T.ArrayType):
-        element = merged_type(current.elementType, new.elementType, f"{path}.element")
-        return T.ArrayType(element, current.containsNull)
-    if isinstance(current, T.MapType) and isinstance(new, T.MapType):
-        return T.MapType(
-            merged_type(current.keyType, new.keyType, f"{path}.key"),
-            merged_type(current.valueType, new.valueType, f"{path}.value"),
-            current.valueContainsNull,
-        )
-    if current == new:
-        return current
-    if type(current) in _INT_RANK and type(new) in _INT_RANK:
-        return max(current, new, key=lambda t: _INT_RANK[type(t)])
-    if isinstance(current, T.NullType):
-        return new
-    if isinstance(new, T.NullType):
-        return current
-    raise TableError(
-        f"cannot merge {path or 'schema'}: {current.simpleString()} and {new.simpleString()}"
-    )
+class _Node(NamedTuple):
+    """One place of a schema: a field, an element, a key or a value."""
+
+    name: str
+    shape: str  # struct, array, map or leaf
+    leaf: T.DataType | None
+    nullable: bool
+    metadata: dict
+
+
+_Path = tuple[str, ...]
+
+
+def _flat(schema: T.StructType) -> dict[_Path, _Node]:
+    """All places of a schema in order, by their path in lower case. Schemas are compared
+    as such tables: what one side has and the other lacks is a difference of keys."""
+    out: dict[_Path, _Node] = {}
+    todo: list[tuple[_Path, T.StructField]] = [((f.name,), f) for f in reversed(schema.fields)]
+    while todo:
+        path, f = todo.pop()
+        t = f.dataType
+        shape = {T.StructType: "struct", T.ArrayType: "array", T.MapType: "map"}.get(type(t), "leaf")
+        key = tuple(p.lower() for p in path)
+        if key in out:
+            raise TableError(f"duplicate columns: {'.'.join(path)}")
+        out[key] = _Node(f.name, shape, t if shape == "leaf" else None, f.nullable, f.metadata)
+        inner: list[T.StructField] = []
+        if shape == "struct":
+            inner = list(t.fields)
+        elif shape == "array":
+            inner = [T.StructField("[]", t.elementType, t.containsNull)]
+        elif shape == "map":
+            inner = [T.StructField("[key]", t.keyType, False), T.StructField("[value]", t.valueType, t.valueContainsNull)]
+        todo += [((*path, g.name), g) for g in reversed(inner)]
+    return out
+
+
+def _built(places: Mapping[_Path, _Node]) -> T.StructType:
+    """The schema that a table of places describes."""
+    below: dict[_Path, list[_Path]] = {}
+    for path in places:
+        below.setdefault(path[:-1], []).append(path)
+
+    def field(path: _Path) -> T.StructField:
+        node, inner = places[path], [field(p) for p in below.get(path, ())]
+        if node.shape == "struct":
+            data_type: T.DataType = T.StructType(inner)
+        elif node.shape == "array":
+            data_type = T.ArrayType(inner[0].dataType, inner[0].nullable)
+        elif node.shape == "map":
+            data_type = T.MapType(inner[0].dataType, inner[1].dataType, inner[1].nullable)
+        else:
+            data_type = node.leaf
+        return T.StructField(node.name, data_type, node.nullable, node.metadata)
+
+    return T.StructType([field(p) for p in below.get((), ())])
+
+
+def _void(node: _Node) -> bool:
+    return isinstance(node.leaf, T.NullType)
+
+
+def _described(node: _Node) -> str:
+    return node.leaf.simpleString() if node.leaf is not None else node.shape
+
+
+def _widened(path: _Path, mine: _Node, theirs: _Node) -> _Node:
+    """The place that holds the values of both sides, named as on the first."""
+    if _void(theirs) or (mine.shape, mine.leaf) == (theirs.shape, theirs.leaf):
+        return mine
+    if _void(mine):
+        return mine._replace(shape=theirs.shape, leaf=theirs.leaf)
+    ranks = [_INT_RANK.get(type(n.leaf)) for n in (mine, theirs)]
+    if None in ranks:
+        raise TableError(f"cannot merge {'.'.join(path)}: {_described(mine)} and {_described(theirs)}")
+    return mine if ranks[0] >= ranks[1] else mine._replace(leaf=theirs.leaf)
 
 
 def merge_schemas(current: T.StructType, new: T.StructType) -> T.StructType:
-    return merged_type(current, new)
+    """Additive merge: places of both sides, those of the current one first."""
+    mine, theirs = _flat(current), _flat(new)
+    both = {p: _widened(p, mine[p], theirs[p]) for p in mine.keys() & theirs.keys()}
+    return _built({**mine, **both, **{p: node for p, node in theirs.items() if p not in mine}})
 
 
 def conformed(value: Column, have: T.DataType, want: T.DataType) -> Column:
@@ -112,30 +156,17 @@ def union_evolve(dfs: Sequence[DataFrame]) -> DataFrame:
 # -- P4, P5 ---------------------------------------------------------------------
 
 
-def _paths(schema: T.StructType, prefix: str = "") -> set[str]:
-    """Dotted paths of all fields, through structs."""
-    out: set[str] = set()
-    for f in schema.fields:
-        out.add(prefix + f.name)
-        if isinstance(f.dataType, T.StructType):
-            out |= _paths(f.dataType, f"{prefix}{f.name}.")
-    return out
-
-
 def normalize_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rename columns to the table's case."""
-    have, want = _paths(df.schema), _paths(schema)
-    if have <= want:
-        return df
-    if set(df.columns) <= want:
-        raise TableError(f"nested fields would need renaming: {sorted(have - want)}")
-    canonical = {f.name.lower(): f.name for f in schema.fields}
-    out = []
-    for c in df.columns:
-        if c.lower() not in canonical:
-            raise TableError(f"column {c} is not in the table {schema.fieldNames()}")
-        out.append(F.col(quoted(c)).alias(canonical[c.lower()]))
-    return df.select(*out)
+    """Columns under the table's spelling (P4). Only whole columns are renamed: nested
+    fields spelled differently, at any depth of structs, are refused together."""
+    table = _flat(schema)
+    places = {p: n for p, n in _flat(df.schema).items() if not any(part.startswith("[") for part in p)}
+    if unknown := [n.name for p, n in places.items() if len(p) == 1 and p not in table]:
+        raise TableError(f"columns {unknown} are not in the table {schema.fieldNames()}")
+    other = [".".join(p) for p, n in places.items() if len(p) > 1 and p in table and n.name != table[p].name]
+    if other:
+        raise TableError(f"nested fields would need renaming: {other}")
+    return df.select(*[F.col(quoted(c)).alias(table[(c.lower(),)].name) for c in df.columns])
 
 
 def has_null_type(data_type: T.DataType) -> bool:
@@ -251,30 +282,18 @@ def _changed_fields(fields: list[T.StructField], name: str, change: dict) -> lis
 
 
 def _check_retype(have: T.DataType, want: T.DataType, path: str) -> None:
-    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
-        left = {f.name.lower(): f for f in have.fields}
-        for f in want.fields:
-            old = left.pop(f.name.lower(), None)
-            if old is None:
-                if not f.nullable:
-                    raise TableError(f"adding NOT NULL field {path}.{f.name}")
-            else:
-                if old.nullable and not f.nullable:
-                    raise TableError(f"tightening nullability of {path}.{f.name}")
-                _check_retype(old.dataType, f.dataType, f"{path}.{f.name}")
-        if left:
-            raise TableError(f"dropping fields of {path}: {[f.name for f in left.values()]}")
-    elif isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
-        if have.containsNull and not want.containsNull:
-            raise TableError(f"tightening nullability of {path}")
-        _check_retype(have.elementType, want.elementType, f"{path}.element")
-    elif isinstance(have, T.MapType) and isinstance(want, T.MapType):
-        if have.valueContainsNull and not want.valueContainsNull:
-            raise TableError(f"tightening nullability of {path}")
-        _check_retype(have.keyType, want.keyType, f"{path}.key")
-        _check_retype(have.valueType, want.valueType, f"{path}.value")
-    elif have != want:
-        raise TableError(f"changing {path} from {have.simpleString()} to {want.simpleString()}")
+    """A new type must hold all old values: places may be added if they can be NULL,
+    and nothing may go, change its kind or stop being nullable."""
+    old, new = (_flat(T.StructType([T.StructField(path, t)])) for t in (have, want))
+    faults = [f"{'.'.join(p)} is lost" for p in old.keys() - new.keys()]
+    faults += [f"{'.'.join(p)} is new and NOT NULL" for p in new.keys() - old.keys() if not new[p].nullable and p[-1] != "[key]"]
+    for p in old.keys() & new.keys():
+        if (old[p].shape, old[p].leaf) != (new[p].shape, new[p].leaf):
+            faults.append(f"{'.'.join(p)} turns from {_described(old[p])} to {_described(new[p])}")
+        elif old[p].nullable and not new[p].nullable:
+            faults.append(f"{'.'.join(p)} becomes NOT NULL")
+    if faults:
+        raise TableError(f"type of {path}: {'; '.join(sorted(faults))}")
 
 
 def _change_at(data_type: T.DataType, path: list[str], change: dict) -> T.DataType:

@@ -94,6 +94,9 @@ def test_normalize_and_drop_null_type(spark, frame):
         S.normalize_columns(frame([], "other int"), schema)
     with pytest.raises(TableError, match="nested"):
         S.normalize_columns(frame([], "Key int, s struct<a: int>"), schema)
+    deep = frame([], "Key int, s struct<A: int, B: struct<C: int>>").schema
+    with pytest.raises(TableError, match=r"s\.a.*s\.b\.c"):  # mixed depths, all reported
+        S.normalize_columns(frame([], "KEY int, s struct<a: int, B: struct<c: int>>"), deep)
     df = spark.sql("select 1 a, null n, named_struct('x', 1, 'y', null) s")
     assert S.drop_null_type(df).schema.simpleString() == "struct<a:int,s:struct<x:int>>"
     with pytest.raises(TableError, match="untyped NULL"):
