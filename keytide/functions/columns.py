@@ -37,27 +37,30 @@ def route_by_key(df: DataFrame, keys: Sequence[str], buckets: int, name: str = "
     return df.withColumn(name, bucket_id(keys, buckets))
 
 
+def _escaped(text: str) -> str:
+    return text.replace("%", "%25").replace(",", "%2C").replace("=", "%3D")
+
+
 def partition_desc(cols: Sequence[str]) -> Column:
-    """``a=1,b=2`` over the sorted column names; ``-5`` without any."""
+    """``a=1,b=2`` over the sorted column names; ``-5`` without any (E6). Commas, equal
+    and percent signs inside names and values are escaped, so no two value lists agree."""
     if not cols:
         return F.lit(UNPARTITIONED)
-    return F.concat_ws(
-        ",",
-        *[
-            F.concat(
-                F.lit(f"{c}="),
-                F.coalesce(F.col(quoted(c)).cast("string"), F.lit(NULL_PARTITION)),
-            )
-            for c in sorted(cols)
-        ],
-    )
+
+    def value(c: str) -> Column:
+        text = F.col(quoted(c)).cast("string")
+        for mark, code in (("%", "%25"), (",", "%2C"), ("=", "%3D")):
+            text = F.replace(text, F.lit(mark), F.lit(code))
+        return F.concat(F.lit(f"{_escaped(c)}="), F.coalesce(text, F.lit(NULL_PARTITION)))
+
+    return F.concat_ws(",", *[value(c) for c in sorted(cols)])
 
 
 def parse_partition_desc(desc: Column) -> Column:
     """Descriptor back to ``map<string,string>``; the unpartitioned one is empty."""
-    return F.when(
-        desc == UNPARTITIONED, F.create_map().cast("map<string,string>")
-    ).otherwise(F.str_to_map(desc, F.lit(","), F.lit("=")))
+    pairs = F.str_to_map(desc, F.lit(","), F.lit("="))
+    plain = F.transform_values(F.transform_keys(pairs, lambda k, v: unescape_path(k)), lambda k, v: unescape_path(v))
+    return F.when(desc == UNPARTITIONED, F.create_map().cast("map<string,string>")).otherwise(plain)
 
 
 def unescape_path(value: Column) -> Column:

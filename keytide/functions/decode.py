@@ -93,8 +93,14 @@ def hex_digits(data: Column, precision: int) -> Column:
     width = F.lit(_width(precision))
     text = F.hex(data)
     sign = F.when(text >= "8", "F").otherwise("0")
-    # More bytes than the width can only repeat the sign.
-    return F.right(F.lpad(F.nullif(text, F.lit("")), F.greatest(F.length(text), width), sign), width)
+    padded = F.lpad(F.nullif(text, F.lit("")), F.greatest(F.length(text), width), sign)
+    kept = F.right(padded, width)
+    # bytes above the width may only repeat the sign; anything else is a wider value than declared
+    above = F.left(padded, F.length(padded) - width)
+    fits = (F.length(F.replace(above, sign, F.lit(""))) == 0) & ((kept >= "8") == (text >= "8"))
+    return F.when(fits, kept).when(
+        padded.isNotNull(), F.raise_error(F.concat(F.lit(f"decimal wider than its precision {precision}: "), text))
+    )
 
 
 def unscaled_integer(digits: Column, precision: int = 38) -> Column:

@@ -30,8 +30,8 @@ OVERLAY_MIN_BASE = 256 * 2**20
 HASH_ROWS = 200_000
 #: more replaced files than this and the whole partitions are rewritten instead
 MAX_SKIPPED_FILES = 10_000
-#: log versions reserve this many merge positions each
-_ORDERS = 10_000
+#: merge positions of one log version; ids have digits for as many versions again
+_ORDERS = 10**9
 #: deltas a partition must exceed before an unforced compaction touches it
 MIN_DELTAS = 5
 
@@ -73,6 +73,7 @@ class State:
     log_version: int
     partitions: dict[str, Partition] = field(default_factory=dict)
     new: bool = False
+    attempt: str = field(default_factory=L.new_attempt)
 
     def live(self) -> list[Partition]:
         return [p for p in self.partitions.values() if p.commits]
@@ -140,7 +141,7 @@ class KeyedTable:
         """Create an empty table from a schema; primary key columns become NOT NULL."""
         table = cls(spark, root)
         spec = cls._spec_of(schema, range_cols, keys, buckets, props)
-        L.publish(spark, table.root, 0, [{"kind": "spec", "spec": spec.to_json()}])
+        L.publish(spark, table.root, 0, [{"kind": "spec", "spec": spec.to_json()}], L.new_attempt())
         return table
 
     @classmethod
@@ -158,9 +159,9 @@ class KeyedTable:
     ) -> KeyedTable:
         """Create a table from a query (S12); ``mode`` error or ignore when it exists.
 
-        ``unique_keys`` promises that no key repeats in the data; reads then
-        need no merge until the first upsert. Description and data become
-        visible together, as version 0.
+        ``unique_keys`` promises that no key repeats in the data, which is
+        checked; reads then need no merge until the first upsert. Description
+        and data become visible together, as version 0.
         """
         if mode not in ("error", "ignore"):
             raise TableError(f"mode must be error or ignore, not {mode}")
@@ -171,9 +172,17 @@ class KeyedTable:
         df = S.drop_null_type(df)
         table = cls(spark, root)
         spec = cls._spec_of(df.schema, range_cols, keys, buckets, props)
+        if unique_keys:
+            table._assert_unique(spec, df)
         table._write(State(spec, -1, new=True), [df], L.APPEND, clean=unique_keys)
         return table
 
+    def _assert_unique(self, spec: TableSpec, df: DataFrame) -> None:
+        """A promise of unique keys decides how reads merge, so it is not taken on trust."""
+        keys = spec.primary_key
+        if keys and not df.groupBy(*[F.col(quoted(k)) for k in keys]).count().filter("count > 1").isEmpty():
+            raise TableError(f"keys {keys} repeat in the data")
+
     # -- log ----------------------------------------------------------------------
 
     def state(self) -> State:
@@ -223,7 +232,7 @@ class KeyedTable:
 
     def _in_partitions(self, rows: DataFrame, where: Where) -> DataFrame:
         """Rows of matching partitions, judged on their descriptors inside Spark."""
-        conjuncts = _as_list(where)
+        conjuncts = self._conjuncts(where)
         if not conjuncts:
             return rows
         spec = self.spec()
@@ -256,10 +265,30 @@ class KeyedTable:
             *[F.col(quoted(c)).cast(spec.field(c).dataType).alias(c) for c in spec.range_cols],
         )
 
+    def _conjuncts(self, where: Where) -> list[Column]:
+        """Conditions taken apart at their outer ANDs, which Spark's own parser finds in texts."""
+        parser = self.spark._jsparkSession.sessionState().sqlParser()
+        out: list[Column] = []
+        for c in _as_list(where):
+            if not isinstance(c, str):
+                out.append(c)
+                continue
+            todo = [parser.parseExpression(c)]
+            if todo[0].getClass().getSimpleName() != "And":
+                out.append(as_column(c))
+                continue
+            while todo:
+                tree = todo.pop()
+                if tree.getClass().getSimpleName() == "And":
+                    todo += [tree.right(), tree.left()]
+                else:
+                    out.append(as_column(tree.sql()))
+        return out
+
     def _prune(self, state: State, where: Where) -> tuple[list[Partition], list[Column], list[Column]]:
         """Live partitions that match, the conjuncts that chose them, and the rest."""
         live = state.live()
-        conjuncts = [as_column(c) for c in _as_list(where)]
+        conjuncts = self._conjuncts(where)
         if not conjuncts:
             return live, [], []
         if not state.spec.range_cols:
@@ -471,6 +500,11 @@ class KeyedTable:
         rules = {
             n: c for n, c in S.not_null_rules(spec.schema).items() if n.split(".")[0] in present
         }
+        # an empty text cannot be told from NULL in a folder name
+        rules |= {
+            f"{c} is an empty text": F.coalesce(F.col(quoted(c)) == "", F.lit(False))
+            for c in spec.range_cols if isinstance(spec.field(c).dataType, T.StringType)
+        }
         if present == set(spec.schema.fieldNames()):
             rules |= S.expr_rules(S.stored_checks(spec.schema))
         return S.enforce(df, rules), spec
@@ -525,14 +559,14 @@ class KeyedTable:
 
     def _log_files(self, state: State, added: DataFrame | None, dropped: DataFrame | None) -> list[storage.Part]:
         """Log file operations of the coming version; totals of the added files."""
-        names = [f.name for f in L.FILE_SCHEMA.fields if f.name != "log_version"]
+        names = [f.name for f in L.FILE_SCHEMA.fields if f.name not in ("log_version", "attempt")]
         ops = None if added is None else added.select(*names)
         if dropped is not None:
             dels = dropped.withColumns({"pos": F.lit(0), "file_op": F.lit("del")}).select(*names)
             ops = dels if ops is None else ops.unionByName(dels)
         if ops is None:
             return []
-        stored = L.write_files(self.spark, self.root, state.log_version + 1, ops)
+        stored = L.write_files(self.spark, self.root, state.log_version + 1, ops, state.attempt)
         return [] if added is None else storage.commit_parts(stored.filter(F.col("file_op") == "add"))
 
     def _publish(
@@ -558,7 +592,7 @@ class KeyedTable:
         if batch is not None:
             rows.append({"kind": "batch", "query_id": batch[0], "batch_id": batch[1]})
         if rows:
-            L.publish(self.spark, self.root, state.log_version + 1, rows)
+            L.publish(self.spark, self.root, state.log_version + 1, rows, state.attempt)
 
     def _files_of(self, parts: Iterable[Partition]) -> DataFrame | None:
         """Live file rows of the commits that partitions list now."""
@@ -625,6 +659,8 @@ class KeyedTable:
         """Replace all rows."""
         state = state or self.state()
         self._assert_removable(state)
+        if unique_keys:
+            self._assert_unique(state.spec, df)
         self._write(state, [df], L.UPDATE, merge_schema, clean=unique_keys, replaced=state.live(), batch=batch)
 
     def replace_where(self, df: DataFrame, where: Where, merge_schema: bool = False) -> None:
@@ -751,6 +787,7 @@ class KeyedTable:
         """
         state = self.state()
         self._assert_removable(state)
+        self._refuse_odd(state, where)
         parts, chosen, rest = self._prune(state, where)
         if not parts:
             return
@@ -759,38 +796,46 @@ class KeyedTable:
             self._publish(state, state.spec, L.DELETE, {p.desc: () for p in parts}, {})
             return
         cond = all_of([*chosen, *rest])
-        self._refuse_odd(state, parts, cond)
         self._rewrite(state, parts, cond, L.DELETE, lambda df: dml.keep_undeleted(df, cond))
 
     def update(self, changes: Mapping[str, Column | str], where: Where = None) -> None:
         """Assign columns or nested fields where the condition is true."""
         state = self.state()
         self._assert_removable(state)
+        self._refuse_odd(state, where)
         parts, chosen, rest = self._prune(state, where)
         dml.assignments(self._empty(state.spec).schema, changes)
         if not parts:
             return
         cond = all_of([*chosen, *rest])
-        if cond is not None:
-            self._refuse_odd(state, parts, cond)
-        self._rewrite(state, parts, cond, L.UPDATE, lambda df: dml.updated(df, changes, cond))
-
-    def _refuse_odd(self, state: State, parts: Sequence[Partition], cond: Column) -> None:
-        """Aggregates and non-deterministic conditions have no row-wise meaning."""
-        text = str(cond).lower()
-        for name in ("rand(", "randn(", "uuid(", "exists(", "scalarsubquery", "monotonically_increasing_id("):
-            if name in text:
-                raise TableError(f"the condition may not use {name.rstrip('(')}")
-        try:
-            self._empty(state.spec).filter(cond)
-        except AnalysisException as e:
-            raise TableError(f"the condition cannot be used: {e}") from e
-
-    def _rewrite(self, state: State, parts: Sequence[Partition], cond: Column | None, op: str, change) -> None:
+        # rows that are given the key of another one are merged with it by readers
+        moved = {c.split(".")[0].strip("`").lower() for c in changes} & {k.lower() for k in state.spec.primary_key}
+        self._rewrite(state, parts, cond, L.UPDATE, lambda df: dml.updated(df, changes, cond), not moved)
+
+    def _refuse_odd(self, state: State, where: Where) -> None:
+        """Aggregates, subqueries and non-deterministic conditions have no row-wise meaning.
+        The analysed plan tells, so the spelling of a function does not matter."""
+        for c in _as_list(where):
+            try:
+                plan = self._empty(state.spec).filter(as_column(c))._jdf.queryExecution().analyzed()
+            except AnalysisException as e:
+                raise TableError(f"the condition cannot be used: {e}") from e
+            if plan.getClass().getSimpleName() != "Filter":
+                raise TableError("the condition is not a condition on one row")
+            condition = plan.condition()
+            subquery = self.spark._jvm.org.apache.spark.sql.catalyst.expressions.SubqueryExpression
+            if subquery.hasSubquery(condition):
+                raise TableError("the condition may not use a subquery")
+            if not condition.deterministic():
+                raise TableError("the condition must be deterministic")
+
+    def _rewrite(
+        self, state: State, parts: Sequence[Partition], cond: Column | None, op: str, change, keys_stay: bool = True
+    ) -> None:
         """Replace partitions by their changed rows; without keys only files with matches."""
         if state.spec.keys or cond is None:
             merged = self._merged(state.spec, parts, {})
-            self._write(state, [change(merged)], op, clean=bool(state.spec.keys), replaced=parts)
+            self._write(state, [change(merged)], op, clean=bool(state.spec.keys) and keys_stay, replaced=parts)
             return
         touched = [
             r["path"] for r in self._touched(state, parts, cond).select("path").limit(MAX_SKIPPED_FILES + 1).collect()

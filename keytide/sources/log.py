@@ -2,12 +2,16 @@
 
 Two row sets describe a table. *Versions*: one row per (partition, version) with
 the ordered commits a reader must merge. *Files*: one row per file operation of
-a commit. Both are written by Spark, versions last, so a crash before that
-leaves only files that no version mentions.
+a commit. Both are written by Spark into folders of the write attempt, which its
+version rows name. A version appears by one rename that fails if its place is
+taken, so a writer that loses or dies leaves only folders that no version names.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +41,12 @@ COMMIT_TYPE = _struct(
 )
 VERSION_SCHEMA = _struct(
     log_version=_LONG, kind=_STRING, partition=_STRING, values=_VALUES, version=_LONG, op=_STRING,
-    spec=_STRING, query_id=_STRING, batch_id=_LONG, committed_at=T.TimestampType(),
+    spec=_STRING, query_id=_STRING, batch_id=_LONG, committed_at=T.TimestampType(), attempt=_STRING,
     commits=T.ArrayType(COMMIT_TYPE),
 )
 FILE_SCHEMA = _struct(
     log_version=_LONG, pos=T.IntegerType(), partition=_STRING, commit_id=_STRING, bucket=T.IntegerType(),
-    path=_STRING, file_op=_STRING, size=_LONG, rows=_LONG, values=_VALUES, cols=_STRINGS,
+    path=_STRING, file_op=_STRING, size=_LONG, rows=_LONG, values=_VALUES, cols=_STRINGS, attempt=_STRING,
 )
 
 
@@ -75,8 +79,8 @@ def read_files(spark: SparkSession, root: str) -> DataFrame:
         files = spark.read.schema(FILE_SCHEMA).option("recursiveFileLookup", True).parquet(files_path(root))
     except AnalysisException:
         return local_rows(spark, [], FILE_SCHEMA)
-    published = read_versions(spark, root).select("log_version").distinct()
-    return files.join(published, "log_version", "left_semi")
+    published = read_versions(spark, root).select("attempt").distinct()
+    return files.join(published, "attempt", "left_semi")
 
 
 def exists(spark: SparkSession, root: str) -> bool:
@@ -87,21 +91,44 @@ def exists(spark: SparkSession, root: str) -> bool:
     return True
 
 
-def publish(spark: SparkSession, root: str, log_version: int, rows: list[dict]) -> None:
+def new_attempt() -> str:
+    """Name of one attempt to write a version."""
+    return uuid.uuid4().hex
+
+
+def publish(spark: SparkSession, root: str, log_version: int, rows: list[dict], attempt: str) -> None:
     """Write the rows of one log version; fails when another writer was first."""
-    frame = local_rows(spark, [{**r, "log_version": log_version} for r in rows], VERSION_SCHEMA)
-    frame = frame.withColumn("committed_at", F.current_timestamp())
+    frame = local_rows(spark, [{**r, "log_version": log_version, "attempt": attempt} for r in rows], VERSION_SCHEMA)
+    written = f"{root}/log/attempts/{attempt}"
+    frame.withColumn("committed_at", F.current_timestamp()).write.mode("error").parquet(written)
+    if not _renamed(spark, written, _entry(versions_path(root), log_version)):
+        raise TableError(f"log version {log_version} was taken by another writer")
+
+
+def _renamed(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a folder its final name unless the name is taken; the file system decides who is first."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs
+    old, new = fs.Path(source), fs.Path(target)
+    files = fs.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration()) if new.toUri().getScheme() else (
+        fs.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
+    )
+    files.mkdir(new.getParent(), fs.permission.FsPermission.getDirDefault(), True)
+    no_options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
     try:
-        frame.write.mode("error").parquet(_entry(versions_path(root), log_version))
-    except AnalysisException as e:
-        raise TableError(f"log version {log_version} was taken by another writer") from e
+        files.rename(old, new, no_options)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName() or "not empty" in str(e.java_exception):
+            return False
+        raise
+    return True
 
 
-def write_files(spark: SparkSession, root: str, log_version: int, files: DataFrame) -> DataFrame:
+def write_files(spark: SparkSession, root: str, log_version: int, files: DataFrame, attempt: str) -> DataFrame:
     """Write the file operations of a coming version and return them as stored."""
-    target = _entry(files_path(root), log_version)
-    rows = files.withColumn("log_version", F.lit(log_version))
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in FILE_SCHEMA.fields]).write.mode("overwrite").parquet(target)
+    target = f"{files_path(root)}/{attempt}"
+    rows = files.withColumn("log_version", F.lit(log_version)).withColumn("attempt", F.lit(attempt))
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in FILE_SCHEMA.fields]).write.mode("error").parquet(target)
     return spark.read.schema(FILE_SCHEMA).parquet(target)
 
 
@@ -201,6 +228,6 @@ def bucket_of(path: Column) -> Column:
 __all__ = [
     "APPEND", "COMPACTION", "DELETE", "DROP", "MERGE", "ROLLBACK", "UNPARTITIONED", "UPDATE",
     "as_of", "bucket_of", "data_path", "exists", "explode_file_ops", "files_path", "history",
-    "local_rows",    "latest_versions", "layout_report", "live_files", "next_versions", "publish", "read_files",
+    "local_rows",    "latest_versions", "layout_report", "live_files", "new_attempt", "next_versions", "publish", "read_files",
     "read_versions", "rolled_back", "size_report", "versions_path", "write_files",
 ]

@@ -24,7 +24,7 @@ from keytide.sources.log import bucket_of, data_path
 from keytide.spec import BUCKET, COMMIT, TableSpec
 
 # Fixed value: digits of the merge position that leads a commit id.
-_ORDER_DIGITS = 12
+_ORDER_DIGITS = 18
 
 
 def commit_id(order: int) -> str:

@@ -17,6 +17,8 @@ from keytide.spec import TableError, TableSpec
 from keytide.streaming import cdc
 
 MODES = ("append", "complete", "update")
+# Operations of change events that carry a row.
+ROW_OPS = ("c", "r", "u", "d")
 
 
 def check_stream(spec: TableSpec, schema: T.StructType, mode: str, range_cols: Sequence[str] | None = None,
@@ -86,7 +88,8 @@ def change_applier(
     """`foreachBatch` function that upserts change events.
 
     Batches hold raw JSON records. Per key only the newest change by ``order``
-    (over source, ts_ms and the row's columns) is written.
+    (over source, ts_ms and the row's columns) is written. Events whose operation is
+    none of ``ROW_OPS`` change no row and are passed over.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -103,6 +106,8 @@ def _apply_events(
     if state is None:
         return
     spec = state.spec
+    # truncate, heartbeat and other events have no row image
+    events = events.filter(F.col("op").isin(list(ROW_OPS)))
     rows = cdc.flatten_envelope(events, spec.cdc_col or "op", keep=("source", "ts_ms"))
     newest = cdc.latest_changes(rows, spec.primary_key, order).drop("source", "ts_ms")
     if spec.cdc_col is None:
