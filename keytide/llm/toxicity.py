@@ -231,7 +231,9 @@ def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text
         labels.filter("toxic IN (0, 1)").filter(learn).groupBy(id_col).agg(F.max("toxic").cast("int").alias("__toxic"))
         .withColumn("__half", (F.crc32(F.col(id_col).cast("string")) % 5 % 2).cast("int"))
     )
-    train = df.select(id_col, F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).join(known, id_col)
+    train = df.select(id_col, F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).join(
+        known.hint("shuffle_hash"), id_col  # one way at every size: labels grow with the documents
+    )
     train = cut(train.select("__text", "__half", "__toxic"), "labelled-texts")
     sums = np.zeros((4, 1 << _BITS * ORDER), np.int64)
     grams_seen = train.mapInArrow(_gram_counts, "kind int, code int, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
