@@ -1,8 +1,9 @@
 """Token counts by distinct pre-token.
 
-A SentencePiece BPE model merges inside stretches that no piece crosses: a run of
-spaces with the characters after it, and a line feed, which only exists as a byte
-piece. These pre-tokens are counted in the whole corpus, each distinct one is
+A SentencePiece BPE model merges inside stretches that no piece crosses: spaces with
+the letters after them, spaces with the other characters after them, and a line feed,
+which only exists as a byte piece (:func:`processor` makes sure that no piece of
+the model mixes them). These pre-tokens are counted in the whole corpus, each distinct one is
 encoded once, and a document's count is the sum of its frequencies times their
 piece counts. Ids are never kept.
 
@@ -33,13 +34,18 @@ from keytide.llm.text import cut
 
 MODEL = "piece_bpe_32k.model"
 HEAD = 1 << 18
-_PRETOKEN = re.compile(r"\n| +[^ \n]*|[^ \n]+")
+_DIGITS = r"\d_\u00b2\u00b3\u00b9\u00bc-\u00be"  # with raised ones and fractions, which \w takes for letters
+_PRETOKEN = re.compile(rf"\n| *[^\W{_DIGITS}]+| *(?:[^\w \n]|[{_DIGITS}])+| +")
 _FLUSH = 200_000  # distinct pre-tokens held while counting
 
 
 @functools.lru_cache(maxsize=2)
 def processor(model: str = MODEL) -> sentencepiece.SentencePieceProcessor:
-    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
+    p = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
+    usual = (p.id_to_piece(i) for i in range(p.get_piece_size()) if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i)))
+    if crossing := [x for x in usual if len(_PRETOKEN.findall(x.replace("▁", " "))) > 1]:
+        raise ValueError(f"{model} has pieces across pre-tokens: {crossing[:5]}")
+    return p
 
 
 def pretokens(text: str | None) -> list[str]:
