@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from checks import cdc, joins, logs, merge, schemas, streams, tables
+from checks import cdc, guards, joins, logs, merge, schemas, streams, tables
 
-_MODULES = (merge, tables, logs, schemas, joins, cdc, streams)
+_MODULES = (merge, tables, logs, schemas, joins, cdc, streams, guards)
 
 
 def all_queries():
