@@ -26,6 +26,8 @@ Ops = Mapping[str, MergeOp | str] | None
 #: changes up to this many rows may be broadcast onto a base of at least this many bytes
 OVERLAY_ROWS = 500_000
 OVERLAY_MIN_BASE = 256 * 2**20
+#: how many times its compressed size a Parquet file may take in memory
+INFLATED = 10
 #: changed rows per shuffle partition that a hash table may hold
 HASH_ROWS = 200_000
 #: more replaced files than this and the whole partitions are rewritten instead
@@ -363,7 +365,7 @@ class KeyedTable:
         raw = str(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().rstrip("b")
         units = {"k": 2**10, "m": 2**20, "g": 2**30}
         limit = int(raw[:-1]) * units[raw[-1]] if raw[-1:] in units else int(raw)
-        small = rows <= OVERLAY_ROWS and sum(c.bytes for c in changes) <= limit
+        small = rows <= OVERLAY_ROWS and sum(c.bytes for c in changes) * INFLATED <= limit
         return "broadcast" if small else "hash"
 
     def _merged(

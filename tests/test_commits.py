@@ -97,3 +97,16 @@ def test_decimals_wider_than_declared_fail(spark):
     for n, size, precision in ((2**64 + 5, 9, 18), (-(2**64) - 5, 9, 18), (2**130, 20, 38)):
         with pytest.raises(Exception, match="wider than its precision"):
             value(n, size, precision)
+
+
+@pytest.mark.parametrize("way", ["fold", "full", "hash", "broadcast"])
+def test_every_way_to_merge_gives_the_same_rows(spark, frame, root, rows, monkeypatch, way):
+    base = frame([(p, k, k * 10, "x") for p in ("a", "b,=%") for k in range(30)], "p string, k int, v int, w string")
+    t = KeyedTable.create(spark, root, base, range_cols=["p"], keys=["k"], buckets=2, unique_keys=True)
+    t.upsert(frame([("a", 1, None), ("a", 99, 5), ("b,=%", 2, 7)], "p string, k int, v int"))
+    t.upsert(frame([("a", 1, "y"), ("c", 1, "z")], "p string, k int, w string"))
+    monkeypatch.setattr(KeyedTable, "_way", lambda *a: way)
+    got = rows(t.read(), "p", "k", "v", "w")
+    assert len(got) == 62
+    assert {r for r in got if r[1] in (99, 2) or r[:2] in (("a", 1), ("c", 1))} == {
+        ("a", 1, None, "y"), ("a", 99, 5, None), ("a", 2, 20, "x"), ("b,=%", 2, 7, "x"), ("c", 1, None, "z")}
