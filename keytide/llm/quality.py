@@ -30,12 +30,12 @@ MAX_LOSS = 0.5
 WINDOW = 8
 
 # The patterns of the line rules (no look-around, so that SQL engines agree on them).
-SENTENCE_END = r"[.!?…][\"'”»)\]]*([\x20\x09-\x0D]|$)"
-SHOUT = r"!!+([\x20\x09-\x0D]|$)"
+SENTENCE_END = r"[.!?…][\"'”»)\]]*([\x20\x09-\x0D]|\z)"
+SHOUT = r"!!+([\x20\x09-\x0D]|\z)"
 SEPARATOR = r"(^|[\x20\x09-\x0D])[|»›>•·]+"
 MENU = (
     r"(?i)^[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|register|next|previous|back|share|print|search"
-    r"|contact us|about us|site ?map|read more|click here|skip to content)[\x20\x09-\x0D.!:»›>]*$"
+    r"|contact us|about us|site ?map|read more|click here|skip to content)[\x20\x09-\x0D.!:»›>]*\z"
 )
 # without the first letter, which may be a capital
 BOILERPLATE = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import chat, embedding, mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity
+from keytide.llm import chat, embedding, mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity, twins
 from keytide.llm.text import cut, documents, n_bytes, ship
 from keytide.sources.scratch import scratch_dir
 
@@ -116,4 +116,4 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_suffix": op10_suffix,
 }
-SQL: dict[str, str] = {}
+SQL = {"op7_mixing": twins.MIXING, "op9_quality": twins.QUALITY}
