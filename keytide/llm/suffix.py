@@ -44,7 +44,7 @@ from keytide.llm.text import cut
 LENGTH = 400
 GRAM = 100
 MAX_PIECES = 50_000
-_CHUNK = 1 << 21  # bytes hashed at once
+_CHUNK = 1 << 20  # bytes hashed at once
 _FLUSH = 4096  # pieces ordered at once
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
