@@ -58,11 +58,11 @@ def step(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: later jobs and lost
     executors start from the written table instead of from its lineage."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

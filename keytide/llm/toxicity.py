@@ -4,21 +4,23 @@ Two character models, one of toxic and one of ordinary labelled texts, give ever
 character its probability after the characters before it. A class discounts its own
 counts and gives the freed mass to one lower model that both classes share, built from
 continuation counts of all labelled texts, so that a rare expression differs between
-the classes only by what its class has seen. The evidence of a word is the sum of
-the log ratios of its characters, and the score follows from the length-normalised evidence
+the classes only by what its class has seen. Words as wholes have a model of the same kind
+above their characters. The evidence of a word is the sum of the log ratios of its
+characters and of the word, and the score follows from the length-normalised evidence
 of the text and of its strongest words, which a long harmless text must not dilute.
 
-Characters are folded to 32 symbols (letters without case and accents, digit, mark,
-other, gap), so tables have at most 32^order entries whatever the size of the
-corpus; that bound is what makes them fit for collecting and broadcasting. Counts cover
-all labelled training texts. The two weights and the offset of the score are fitted on the
+Characters are code points in lower case, of any script, and all grams and words of all
+labelled texts are counted: the model is a Spark table that grows with the texts and is never
+gathered. Texts are packed into blocks of a few megabytes; a block's distinct grams and words are
+joined to the model, and what is found goes back to the block; the units of most blocks, up
+to a fixed number, are broadcast instead. The driver sees these, totals and the grid of the fit. The two weights and the offset of the score are fitted on the
 labelled texts themselves: the models for that are built without the half of the texts
 that they rate, and texts enter as counts per cell of a fixed grid of the two features.
 
 Edge cases: NULL and empty texts have no evidence and get the score of no evidence;
 labels other than 0 and 1, NULL labels and labels without a text are left out; of
-repeated labels of one id the largest counts; without both classes to learn from,
-every score is the toxic share (0.5 if nothing is labelled).
+repeated labels of one id the largest counts; without both classes to learn from in both
+halves, every score is the toxic share (0.5 if nothing is labelled).
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keytide.llm.text import cut
@@ -38,51 +42,18 @@ DISCOUNT = 0.75
 TOP_WORDS = 3
 # The grid of the fit: steps of the two features and how many lie on either side of zero.
 STEPS, REACH = (0.01, 0.05), (200, 200)
-_BITS = 5
-_GAP, _DIGIT, _MARK, _OTHER = 0, 27, 28, 29
-_PART = 1 << 21  # characters handled at once
-
-
-def _fold() -> np.ndarray:
-    table = np.full(0x250, _MARK, np.uint8)
-    for i in range(0x250):
-        c = unicodedata.normalize("NFD", chr(i).lower())[0]
-        if "a" <= c <= "z":
-            table[i] = ord(c) - 96
-        elif c.isdigit():
-            table[i] = _DIGIT
-        elif c.isalpha():
-            table[i] = _OTHER
-        elif c.isspace():
-            table[i] = _GAP
-    return table
-
-
-_TABLE = _fold()
-
-
-def symbols(texts: list[str | None], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of texts laid end to end with gaps between, where each begins and ends."""
-    pad = " " * (order - 1)
-    sizes = np.array([len(t or "") for t in texts], np.int64)
-    ends = np.cumsum(sizes + order - 1)
-    points = np.frombuffer("".join(pad + (t or "") for t in texts).encode("utf-32-le"), np.uint32)
-    out = np.full(len(points), _OTHER, np.uint8)
-    low = points < 0x250
-    out[low] = _TABLE[points[low]]
-    return out, ends - sizes, ends
-
-
-def grams(sym: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Code of the ``order`` symbols that end at each place."""
-    code = np.zeros(len(sym), np.int32)
-    for k in range(order):
-        code[k:] |= sym[: len(sym) - k].astype(np.int32) << (_BITS * k)
-    return code
+# What is learned from: all labelled texts, or those of one half.
+MODELS = ("whole", "first", "second")
+_KINDS = ("n0", "n1", "n2", "n3")  # counts by 2 * half + toxic
+_GAPS = np.array([i for i in range(0x3001) if chr(i).isspace()], np.uint32)
+_BITS = 5  # of a symbol in the codes of Models
+_PART = 1 << 22  # bytes of a block
+HEAD = 1 << 17  # most frequent units that are broadcast
 
 
 class Models:
-    """Log ratios of all grams from the counts of both classes.
+    """Log ratios of all grams over 32 symbols from the counts of both classes, in one dense
+    table: what ``log_ratios`` is held against.
 
     ``code``: grams seen; ``counts``: rows ordinary, toxic."""
 
@@ -123,43 +94,6 @@ class Models:
         return table
 
 
-def evidence(texts: list[str | None], table: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Two features per text: log ratio per character of the text, and of its strongest words."""
-    out = np.zeros((len(texts), 2))
-    at, batches, size = 0, [], 0
-    for i, t in enumerate(texts):
-        size += len(t or "") + order
-        if size >= _PART:
-            batches.append((at, i + 1))
-            at, size = i + 1, 0
-    batches.append((at, len(texts)))
-    for lo, hi in batches:
-        if lo == hi:
-            continue
-        sym, starts, ends = symbols(texts[lo:hi], order)
-        ratio = table[grams(sym, order)].astype(np.float64)
-        running = np.concatenate([[0.0], np.cumsum(ratio)])
-        length = np.maximum(ends - starts, 1)
-        out[lo:hi, 0] = np.where(ends > starts, (running[ends] - running[starts]) / length, 0)
-        # words with the gap after them; words never cross texts, for gaps stand between
-        word = (sym != _GAP).astype(np.int8)
-        edge = np.diff(np.concatenate([[0], word, [0]]))
-        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        if not len(first):
-            continue
-        value = running[np.minimum(last + 1, len(sym))] - running[first]
-        value = value / np.sqrt(last - first + 1)
-        of = np.searchsorted(ends, first, side="right")
-        by = np.lexsort((-value, of))
-        of, value = of[by], value[by]
-        begin = np.searchsorted(of, np.arange(hi - lo))
-        count = np.searchsorted(of, np.arange(hi - lo), side="right") - begin
-        for k in range(TOP_WORDS):
-            has = count > k
-            out[lo:hi, 1][has] += value[begin[has] + k] / TOP_WORDS
-    return out
-
-
 def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Weights of a logistic model (two features, offset) of counted rows; classes count alike."""
     a = np.column_stack([x, np.ones(len(x))])
@@ -176,89 +110,291 @@ def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     return w
 
 
-def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grams of labelled texts by half and class: kind = 2 * half + toxic, code, n."""
-    size = 1 << _BITS * ORDER
-    sums = np.zeros((4, size), np.int64)
+def laid(texts: list[str | None]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case texts end to end with gaps around each, their code points, where each begins and ends."""
+    pad = " " * (ORDER - 1)
+    low = [(t or "").lower() for t in texts]
+    sizes = np.array([len(t) for t in low], np.int64)
+    ends = np.cumsum(sizes + len(pad))
+    joined = "".join(pad + t for t in low) + pad
+    return joined, np.frombuffer(joined.encode("utf-32-le"), np.uint32), ends - sizes, ends
+
+
+def distinct(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of every distinct gram of ORDER code points, and the number of the gram that ends at each place."""
+    present = np.zeros(0x110000, bool)
+    present[points] = True
+    ids = (np.cumsum(present) - 1).astype(np.uint64)
+    if ids[-1] < 1 << 64 // ORDER:
+        bits, of, n = max(1, int(ids[-1]).bit_length()), ids[points], len(points) - ORDER + 1
+        code = np.zeros(n, np.uint64)
+        for k in range(ORDER):
+            code = (code << np.uint64(bits)) | of[k : k + n]
+    else:  # more characters than fit: pairs are numbered first
+        wide = points.astype(np.uint64)
+        pair = np.unique((wide[:-1] << np.uint64(21)) | wide[1:], return_inverse=True)[1].astype(np.uint64)
+        code = (pair[:-2] << np.uint64(32)) | pair[2:]
+    by = np.argsort(code)
+    code = code[by]
+    new = np.concatenate([[True], code[1:] != code[:-1]])
+    number = np.zeros(len(points), np.int64)
+    number[by + ORDER - 1] = np.cumsum(new) - 1
+    return by[new] + ORDER - 1, number
+
+
+def _bare(word: str) -> str:
+    """A word without the marks around it; a word of marks only stays."""
+    a, b = 0, len(word)
+    while a < b and unicodedata.category(word[a])[0] in "PSC":
+        a += 1
+    while b > a and unicodedata.category(word[b - 1])[0] in "PSC":
+        b -= 1
+    return word[a:b] or word
+
+
+def _words(joined: str, points: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct bare words; number, first and last place of every word in order."""
+    raw: dict[str, int] = {}
+    of = np.fromiter((raw.setdefault(w, len(raw)) for w in joined.split()), np.int64)
+    bare: dict[str, int] = {}
+    number = np.fromiter((bare.setdefault(_bare(w), len(bare)) for w in raw), np.int64, len(raw))
+    inside = np.ones(len(points), np.int8)
+    inside[np.isin(points, _GAPS)] = 0
+    edge = np.diff(np.concatenate([[0], inside, [0]]))
+    return list(bare), number[of], np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+
+
+def _features(ratio: np.ndarray, whole: np.ndarray, starts, ends, first, last) -> np.ndarray:
+    """Two features per text: log ratio per character of the text, and of its strongest words.
+    ``ratio``: of the gram that ends at each place, ``whole``: of every word as a whole."""
+    out = np.zeros((len(starts), 2))
+    running = np.concatenate([[0.0], np.cumsum(ratio)])
+    length = np.maximum(ends - starts, 1)
+    of = np.searchsorted(ends, first, side="right")
+    out[:, 0] = (running[ends] - running[starts] + np.bincount(of, whole, len(starts))) / length
+    # words with the gap after them; words never cross texts, for gaps stand between
+    value = (running[last + 2] - running[first] + whole) / np.sqrt(last - first + 2)
+    by = np.lexsort((-value, of))
+    of, value = of[by], value[by]
+    begin = np.searchsorted(of, np.arange(len(starts)))
+    count = np.searchsorted(of, np.arange(len(starts)), side="right") - begin
+    for k in range(TOP_WORDS):
+        has = count > k
+        out[has, 1] += value[begin[has] + k] / TOP_WORDS
+    return out
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as blocks of about _PART bytes, so that what a block asks of the model is bounded by its size."""
+    number, held, size = TaskContext.get().partitionId() << 40, [], 0
+
+    def packed() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].select([1]).schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for part in held:
+                out.write_batch(part.select([1]))
+        ids = pa.concat_arrays([part.column(0) for part in held])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+             pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "ids", "rows"])
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+        begin = 0
+        for i, n in enumerate(sizes):
+            size += n + ORDER
+            if size >= _PART:
+                held.append(batch.slice(begin, i + 1 - begin))
+                yield packed()
+                number, held, size, begin = number + 1, [], 0, i + 1
+        if begin < batch.num_rows:
+            held.append(batch.slice(begin))
+    if held:
+        yield packed()
+
+
+def _unpacked(blob: bytes, kinds: list[dict] | None) -> tuple[list[str | None], np.ndarray]:
+    """Texts of a block and their kinds: 2 * half + toxic, or -1 without a label or a text."""
+    texts = pa.ipc.open_stream(blob).read_all().column(0).to_pylist()
+    kind = np.full(len(texts), -1)
+    for x in kinds or []:
+        if texts[x["pos"]] is not None:
+            kind[x["pos"]] = x["kind"]
+    return texts, kind
+
+
+def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct grams and words of every block with their counts in labelled texts, by 2 * half + toxic."""
     for batch in batches:
-        kinds = batch.column(1).to_numpy() * 2 + batch.column(2).to_numpy()
-        for kind in np.unique(kinds):
-            held, chars = [], 0
-            for i in [*np.flatnonzero(kinds == kind).tolist(), None]:
-                if i is not None:
-                    held.append(batch.column(0)[i].as_py())
-                    chars += len(held[-1] or "")
-                if held and (i is None or chars >= _PART):
-                    sym, starts, ends = symbols(held)
-                    inside = np.zeros(len(sym) + 1, np.int8)
-                    np.add.at(inside, starts, 1)
-                    np.add.at(inside, ends, -1)
-                    code = grams(sym)[np.cumsum(inside[:-1]) > 0]
-                    sums[kind] += np.bincount(code, minlength=size)
-                    held, chars = [], 0
-    kind, code = np.nonzero(sums)
-    yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(code.astype(np.int32)), pa.array(sums[kind, code])],
-                                     names=["kind", "code", "n"])
-
-
-def _model(sums: np.ndarray) -> np.ndarray | None:
-    """Log ratios from counts of the classes (two rows); None if one class is missing."""
-    if not sums.sum(axis=1).all():
-        return None
-    code = np.flatnonzero(sums.sum(axis=0)).astype(np.int32)
-    return Models(code, sums[:, code].astype(np.float64), ORDER).dense()
-
-
-def _cells(tables: list[np.ndarray]):
+        for block, blob, kinds in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            texts, kind = _unpacked(blob.as_py(), kinds)
+            joined, points, starts, ends = laid(texts)
+            at, number = distinct(points)
+            names, word, first, _ = _words(joined, points)
+            places = np.full(len(points), -1)
+            sizes = ends - starts
+            places[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = np.repeat(kind, sizes)
+            of = kind[np.searchsorted(ends, first, side="right")]
+            for is_word, units, number, of, begin in (
+                (False, [joined[i - ORDER + 1 : i + 1] for i in at.tolist()], number, places, 0), (True, names, word, of, len(at)),
+            ):
+                counts = [np.bincount(number[of == k], minlength=len(units)) for k in range(4)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(units), block)), pa.array(np.full(len(units), is_word)), pa.array(units, pa.string()),
+                     pa.array(np.arange(begin, begin + len(units), dtype=np.int32)), *(pa.array(c.astype(np.int64)) for c in counts)], names=["block", "word", "unit", "at", *_KINDS])
+
+
+def _rated(common):
+    """Features of every row of a block by the whole model, and the cell of those by the model of the other half."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, values = common.value
         for batch in batches:
-            half, toxic = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            text = batch.column(0).to_pylist()
-            for h in (0, 1):
-                of = np.flatnonzero(half == h)
-                cell = np.rint(evidence([text[i] for i in of], tables[1 - h]) / STEPS)
-                cell = np.clip(cell, [-r for r in REACH], REACH).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(cell[:, 0]), pa.array(cell[:, 1]), pa.array(toxic[of])],
-                                                 names=["a", "b", "toxic"])
+            for i in range(batch.num_rows):
+                texts, kind = _unpacked(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
+                joined, points, starts, ends = laid(texts)
+                at, number = distinct(points)
+                names, word, first, last = _words(joined, points)
+                # units of the head, then the others by their place in the block; words never heard are in neither
+                units = [*((False, joined[j - ORDER + 1 : j + 1]) for j in at.tolist()), *((True, w) for w in names)]
+                place = np.fromiter((head.get(u, -1) for u in units), np.int64, len(units))
+                known = batch.column(3)[i].values
+                asked = known.field("at").to_numpy() if known is not None else np.zeros(0, np.int64)
+                x = []
+                for k, model in enumerate(MODELS):
+                    value = np.where(place >= 0, values[k][place], 0.0)
+                    if len(asked):
+                        value[asked] = known.field(model).to_numpy()
+                    x.append(_features(value[: len(at)][number], value[len(at) :][word], starts, ends, first, last))
+                other = np.where((kind >= 2)[:, None], x[1], x[2])
+                cell = np.clip(np.rint(other / STEPS), [-r for r in REACH], REACH).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[i].values, pa.array(kind.astype(np.int32)), pa.array(x[0][:, 0]), pa.array(x[0][:, 1]),
+                     pa.array(cell[:, 0]), pa.array(cell[:, 1])], names=["id", "kind", "x", "y", "a", "b"])
 
     return run
 
 
+def _head(units: DataFrame, ratios: DataFrame, most: int) -> tuple[int, dict[tuple[bool, str], int], list[np.ndarray]]:
+    """In how many blocks a unit must be (a power of two) so that such units are at most ``most``; these with their ratios."""
+    steps = units.groupBy(F.length(F.bin("blocks")).alias("bits")).count().collect()  # 64 rows at most
+    total, least = 0, 65
+    for bits, n in sorted(((r["bits"], r["count"]) for r in steps), reverse=True):
+        if total + n > most:
+            break
+        total, least = total + n, bits
+    table = ratios.filter(F.length(F.bin("blocks")) >= least).select("word", "unit", *MODELS).toArrow()
+    names = zip(table["word"].to_pylist(), table["unit"].to_pylist())
+    return least, {u: i for i, u in enumerate(names)}, [np.append(table[m].to_numpy(), 0.0) for m in MODELS]
+
+
+def _sides(model: str) -> tuple[Column, Column]:
+    """Counts of a unit in ordinary and toxic texts that a model learns from."""
+    n = {k: F.col(k) for k in _KINDS}
+    return {"whole": (n["n0"] + n["n2"], n["n1"] + n["n3"]), "first": (n["n0"], n["n1"]), "second": (n["n2"], n["n3"])}[model]
+
+
+def _share(cont: Column, total: Column, kinds: Column, back: Column) -> Column:
+    """Discounted share of a count and, from what is left, of the lower model; the lower model alone if nothing was counted."""
+    part = F.greatest(cont - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * kinds / total * back
+    return F.when(total > 0, part).otherwise(back)
+
+
+def lower_model(seen: DataFrame, size: int = 0x110000) -> DataFrame:
+    """Shared probabilities of the last of ORDER - 1 symbols after the others, from grams seen by
+    each model (unit and a flag per model): the continuation counts of all orders below."""
+    levels = []
+    for k in range(ORDER - 1, 0, -1):
+        seen = seen.groupBy(F.substring("unit", 2, k).alias("unit")).agg(*(F.sum(F.col(m).cast("long")).alias(m) for m in MODELS))
+        levels.append(seen)
+        seen = seen.select("unit", *((F.col(m) > 0).alias(m) for m in MODELS))
+    total = levels[-1].agg(*(f(m).alias(f"{n}_{m}") for m in MODELS for n, f in (("t", F.sum), ("k", lambda m: F.sum((F.col(m) > 0).cast("long")))))).first()
+    p = None
+    for k, level in enumerate(reversed(levels), 1):
+        if p is None:
+            parts = {m: (F.lit(total[f"t_{m}"] or 0), F.lit(total[f"k_{m}"] or 0), F.lit(1.0 / size)) for m in MODELS}
+        else:
+            same = Window.partitionBy(F.substring("unit", 1, k - 1))
+            level = level.select("*", *(F.sum(m).over(same).alias(f"t_{m}") for m in MODELS),
+                                 *(F.sum((F.col(m) > 0).cast("long")).over(same).alias(f"k_{m}") for m in MODELS))
+            level = level.withColumn("back", F.substring("unit", 2, k - 1)).join(p, "back")
+            parts = {m: (F.col(f"t_{m}"), F.col(f"k_{m}"), F.col(f"p_{m}")) for m in MODELS}
+        p = level.select(F.col("unit").alias("back"), *(_share(F.col(m), *parts[m]).alias(f"p_{m}") for m in MODELS))
+    return p
+
+
+def log_ratios(units: DataFrame, size: int = 0x110000) -> DataFrame:
+    """``units``: distinct (word, unit, n0..n3), seen in labelled texts or not. Adds the log ratio of
+    every unit under every model; the table has as many rows as there are units."""
+    passed = [c for c in units.columns if c not in _KINDS]
+    grams_of, words_of = units.filter(~F.col("word")), units.filter("word")
+    seen = grams_of.filter("n0 + n1 + n2 + n3 > 0").select("unit", *((_sides(m)[0] + _sides(m)[1] > 0).alias(m) for m in MODELS))
+    after = Window.partitionBy(F.substring("unit", 1, ORDER - 1))
+
+    def ratio(sides, totals, kinds, low) -> Column:
+        shares = []
+        for n, total, kind in zip(sides, totals, kinds):
+            left = F.when(total > 0, DISCOUNT * kind / total).otherwise(F.lit(1.0))
+            shares.append(F.greatest(n - DISCOUNT, F.lit(0.0)) / F.greatest(total, F.lit(1)) + left * low)
+        return F.log(shares[1]) - F.log(shares[0])
+
+    held = grams_of.select("*", *(F.sum(n).over(after).alias(f"t{c}_{m}") for m in MODELS for c, n in enumerate(_sides(m))),
+                           *(F.sum((n > 0).cast("long")).over(after).alias(f"k{c}_{m}") for m in MODELS for c, n in enumerate(_sides(m))))
+    held = held.withColumn("back", F.substring("unit", 2, ORDER - 1)).join(lower_model(seen, size), "back", "left")
+    # a unit that a model has not seen has the ratio of what is left in its context, whatever the lower model says
+    rated = held.select(*passed, *(
+        ratio(_sides(m), [F.col(f"t{c}_{m}") for c in (0, 1)], [F.col(f"k{c}_{m}") for c in (0, 1)],
+              F.when(_sides(m)[0] + _sides(m)[1] > 0, F.col(f"p_{m}")).otherwise(F.lit(1.0))).cast("float").alias(m) for m in MODELS))
+    all_words = words_of.agg(*(f(n).alias(f"{x}{c}_{m}") for m in MODELS for c, n in enumerate(_sides(m))
+                               for x, f in (("t", F.sum), ("k", lambda n: F.sum((n > 0).cast("long")))))).first()
+    number = {k: F.lit(v or 0) for k, v in all_words.asDict().items()}
+    heard = []
+    for m in MODELS:  # a word never heard is left to its characters
+        n = _sides(m)
+        share = (n[0] + n[1]) / F.greatest(number[f"t0_{m}"] + number[f"t1_{m}"], F.lit(1))
+        value = ratio(n, [number[f"t{c}_{m}"] for c in (0, 1)], [number[f"k{c}_{m}"] for c in (0, 1)], share)
+        heard.append(F.when(n[0] + n[1] > 0, value).otherwise(F.lit(0.0)).cast("float").alias(m))
+    return rated.unionAll(words_of.select(*passed, *heard))
+
+
 def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id and score of every row of ``df``. ``labels``: id, toxic. ``learn`` is a condition
     on the id that says whose labels may be used."""
     known = (
         labels.filter("toxic IN (0, 1)").filter(learn).groupBy(id_col).agg(F.max("toxic").cast("int").alias("__toxic"))
-        .withColumn("__half", (F.crc32(F.col(id_col).cast("string")) % 5 % 2).cast("int"))
+        .select(F.col(id_col).alias("id"), (F.crc32(F.col(id_col).cast("string")) % 5 % 2 * 2 + F.col("__toxic")).cast("int").alias("kind"))
     )
-    train = df.select(id_col, F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).join(
-        known.hint("shuffle_hash"), id_col  # one way at every size: labels grow with the documents
+    rows = df.select(F.col(id_col).cast("long").alias("id"), text)
+    blocks = cut(rows.mapInArrow(_blocks, "block long, ids array<long>, rows binary"), "text-blocks", "zstd")
+    # ids alone meet the labels; one way at every size: labels grow with the documents
+    kinds = blocks.select("block", F.posexplode("ids").alias("pos", "id")).join(known.hint("shuffle_hash"), "id")
+    kinds = cut(kinds.groupBy("block").agg(F.collect_list(F.struct("pos", "kind")).alias("kinds")), "block-labels")
+    counted = ", ".join(f"{k} long" for k in _KINDS)
+    held = blocks.join(kinds, "block", "left").select("block", "rows", "kinds").mapInArrow(
+        _units, f"block long, word boolean, unit string, at int, {counted}"
     )
-    train = cut(train.select("__text", "__half", "__toxic"), "labelled-texts")
-    sums = np.zeros((4, 1 << _BITS * ORDER), np.int64)
-    grams_seen = train.mapInArrow(_gram_counts, "kind int, code int, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
-    for part in grams_seen.toArrow().to_batches():  # at most 4 * 32^ORDER rows
-        sums[part.column(0).to_numpy(), part.column(1).to_numpy()] = part.column(2).to_numpy()
-    whole = _model(sums[:2] + sums[2:])
-    halves = [_model(sums[:2]), _model(sums[2:])]
-    weights, share = None, 0.5
-    if whole is not None and all(h is not None for h in halves):
-        cells = train.mapInArrow(_cells(halves), "a int, b int, toxic int").groupBy("a", "b", "toxic").count().toArrow()
-        x = np.column_stack([cells["a"].to_numpy(), cells["b"].to_numpy()]) * STEPS
-        weights = _fit(x, cells["toxic"].to_numpy(), cells["count"].to_numpy().astype(np.float64))
-    elif sums.any():
-        share = float(sums[[1, 3]].sum() / sums.sum())
-    shared = df.sparkSession.sparkContext.broadcast((whole, weights))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, w = shared.value
-        for batch in batches:
-            if w is None:
-                score = np.full(batch.num_rows, share)
-            else:
-                x = np.column_stack([evidence(batch.column(1).to_pylist(), table), np.ones(batch.num_rows)])
-                score = 1 / (1 + np.exp(-np.clip(x @ w, -700, 700)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["id", "score"])
-
-    out = df.select(F.col(id_col).cast("long").alias("id"), text).mapInArrow(run, "id long, score double")
-    return out.withColumnRenamed("id", id_col)
+    held = cut(held, "block-units", "zstd")
+    units = held.groupBy("word", "unit").agg(*(F.sum(k).alias(k) for k in _KINDS), F.count("*").alias("blocks"))
+    # a word never heard has nothing to say as a whole
+    units = cut(units.filter("NOT word OR n0 + n1 + n2 + n3 > 0"), "units", "zstd")
+    sums = units.filter("NOT word").agg(*(F.sum(k).alias(k) for k in _KINDS)).first()
+    sums = np.array([x or 0 for x in sums]).reshape(2, 2)
+    share = float(sums[:, 1].sum() / sums.sum()) if sums.sum() else 0.5
+    if not sums.all():
+        return df.select(F.col(id_col).cast("long").alias(id_col), F.lit(share).alias("score"))
+    ratios = cut(log_ratios(units), "log-ratios", "zstd")
+    least, *head = _head(units, ratios, HEAD)
+    common = df.sparkSession.sparkContext.broadcast(tuple(head))
+    tail = ratios.filter(F.length(F.bin("blocks")) < least)
+    asked = held.select("block", "word", "unit", "at")
+    if head[0]:
+        asked = asked.join(F.broadcast(ratios.filter(F.length(F.bin("blocks")) >= least).select("word", "unit")), ["word", "unit"], "left_anti")
+    asked = asked.join(tail.drop("blocks"), ["word", "unit"]).groupBy("block").agg(F.collect_list(F.struct("at", *MODELS)).alias("known"))
+    rated = blocks.join(kinds, "block", "left").join(asked, "block", "left").select("ids", "rows", "kinds", "known")
+    rated = cut(rated.mapInArrow(_rated(common), "id long, kind int, x double, y double, a int, b int"), "features", "zstd")
+    cells = rated.filter("kind >= 0").groupBy("a", "b", (F.col("kind") % 2).alias("toxic")).count().toArrow()
+    x = np.column_stack([cells["a"].to_numpy(), cells["b"].to_numpy()]) * STEPS
+    w = [float(v) for v in _fit(x, cells["toxic"].to_numpy(), cells["count"].to_numpy().astype(np.float64))]
+    # within what a double can raise
+    value = F.least(F.greatest(F.col("x") * w[0] + F.col("y") * w[1] + w[2], F.lit(-700.0)), F.lit(700.0))
+    return rated.select(F.col("id").alias(id_col), (1 / (1 + F.exp(-value))).alias("score"))

@@ -342,6 +342,50 @@ def test_models_are_distributions():
     assert m.dense().shape == (1 << 20,)
 
 
+def test_toxicity_in_other_scripts_and_of_long_words(spark):
+    """A toxic word differs from harmless ones of its length by its letters only, in any script;
+    long words of the same grams differ as wholes."""
+    rnd = random.Random(3)
+    text.ship(spark)
+    for plain, bad in (
+        (["дом", "лес", "мир", "сад"], "гад"), (["猫在", "天气", "今日", "山水"], "坏蛋"),
+        (["abababab", "abababababab"], "ababababab"),
+    ):
+        rows, labels = [], []
+        for i in range(300):
+            w = [rnd.choice(plain) for _ in range(30)]
+            if i % 5 == 0:
+                w[3] = w[17] = bad
+            rows.append((i, " ".join(w)))
+            labels.append((i, int(i % 5 == 0)))
+        df, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+        got = toxicity.scores(df, known, F.col("doc_id") % 3 != 0).filter("doc_id % 3 = 0").collect()
+        assert sum((r["score"] >= 0.5) == (r["doc_id"] % 5 == 0) for r in got) >= 0.97 * len(got)
+
+
+def test_log_ratios_match_the_dense_models(spark):
+    rnd = random.Random(5)
+    grams = sorted({"".join(rnd.choice("abcde") for _ in range(4)) for _ in range(300)})
+    counts = [[rnd.choice([0, 0, 1, 3]) for _ in range(4)] for _ in grams]
+    table = spark.createDataFrame([(False, g, *c) for g, c in zip(grams, counts)] + [(True, "abc", 1, 2, 0, 0), (True, "abd", 3, 0, 0, 0), (True, "new", 0, 0, 0, 0)],
+                                  "word boolean, unit string, n0 long, n1 long, n2 long, n3 long")
+    code = np.array([sum((ord(x) - 96) << 5 * (3 - k) for k, x in enumerate(g)) for g in grams], np.int32)
+    got = {r["unit"]: r for r in toxicity.log_ratios(table, 32).collect()}
+    assert got["new"]["whole"] == 0 and got["abc"]["whole"] > 0
+    n = np.array(counts, float).T
+    for model, sides in (("whole", n[:2] + n[2:]), ("first", n[:2]), ("second", n[2:])):
+        seen = sides.sum(axis=0) > 0
+        dense = toxicity.Models(code[seen], sides[:, seen]).dense()
+        assert np.allclose([got[g][model] for g in grams], dense[code], atol=1e-4)
+
+
+def test_grams_of_many_characters_are_exact():
+    points = np.concatenate([np.arange(1, 70000), [5, 6, 7, 8, 9]]).astype(np.uint32)
+    at, number = toxicity.distinct(points)
+    # three grams stand over the seam, the last two are those of places 7 and 8
+    assert len(at) == 69999 and number[-1] == number[8] and number[-2] == number[7]
+
+
 # -- 7 ----------------------------------------------------------------------------
 
 
