@@ -16,11 +16,12 @@ joined to the model, and what is found goes back to the block; the units of most
 to a fixed number, are broadcast instead. The driver sees these, totals and the grid of the fit. The two weights and the offset of the score are fitted on the
 labelled texts themselves: the models for that are built without the half of the texts
 that they rate, and texts enter as counts per cell of a fixed grid of the two features.
+If a half lacks a class, the whole model rates the texts that it learned from.
 
 Edge cases: NULL and empty texts have no evidence and get the score of no evidence;
 labels other than 0 and 1, NULL labels and labels without a text are left out; of
-repeated labels of one id the largest counts; without both classes to learn from in both
-halves, every score is the toxic share (0.5 if nothing is labelled).
+repeated labels of one id the largest counts; without both classes to learn from,
+every score is the toxic share (0.5 if nothing is labelled).
 """
 
 from __future__ import annotations
@@ -244,8 +245,9 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array(np.arange(begin, begin + len(units), dtype=np.int32)), *(pa.array(c.astype(np.int64)) for c in counts)], names=["block", "word", "unit", "at", *_KINDS])
 
 
-def _rated(common):
-    """Features of every row of a block by the whole model, and the cell of those by the model of the other half."""
+def _rated(common, halves: bool):
+    """Features of every row of a block by the whole model, and the cell of those by the model
+    of the other half, or by the whole one unless both ``halves`` have both classes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, values = common.value
@@ -266,7 +268,7 @@ def _rated(common):
                     if len(asked):
                         value[asked] = known.field(model).to_numpy()
                     x.append(_features(value[: len(at)][number], value[len(at) :][word], starts, ends, first, last))
-                other = np.where((kind >= 2)[:, None], x[1], x[2])
+                other = np.where((kind >= 2)[:, None], x[1], x[2]) if halves else x[0]
                 cell = np.clip(np.rint(other / STEPS), [-r for r in REACH], REACH).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[i].values, pa.array(kind.astype(np.int32)), pa.array(x[0][:, 0]), pa.array(x[0][:, 1]),
@@ -380,7 +382,7 @@ def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text
     sums = units.filter("NOT word").agg(*(F.sum(k).alias(k) for k in _KINDS)).first()
     sums = np.array([x or 0 for x in sums]).reshape(2, 2)
     share = float(sums[:, 1].sum() / sums.sum()) if sums.sum() else 0.5
-    if not sums.all():
+    if not sums.sum(axis=0).all():
         return df.select(F.col(id_col).cast("long").alias(id_col), F.lit(share).alias("score"))
     ratios = cut(log_ratios(units), "log-ratios", "zstd")
     least, *head = _head(units, ratios, HEAD)
@@ -391,7 +393,7 @@ def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text
         asked = asked.join(F.broadcast(ratios.filter(F.length(F.bin("blocks")) >= least).select("word", "unit")), ["word", "unit"], "left_anti")
     asked = asked.join(tail.drop("blocks"), ["word", "unit"]).groupBy("block").agg(F.collect_list(F.struct("at", *MODELS)).alias("known"))
     rated = blocks.join(kinds, "block", "left").join(asked, "block", "left").select("ids", "rows", "kinds", "known")
-    rated = cut(rated.mapInArrow(_rated(common), "id long, kind int, x double, y double, a int, b int"), "features", "zstd")
+    rated = cut(rated.mapInArrow(_rated(common, bool(sums.all())), "id long, kind int, x double, y double, a int, b int"), "features", "zstd")
     cells = rated.filter("kind >= 0").groupBy("a", "b", (F.col("kind") % 2).alias("toxic")).count().toArrow()
     x = np.column_stack([cells["a"].to_numpy(), cells["b"].to_numpy()]) * STEPS
     w = [float(v) for v in _fit(x, cells["toxic"].to_numpy(), cells["count"].to_numpy().astype(np.float64))]

@@ -363,6 +363,24 @@ def test_toxicity_in_other_scripts_and_of_long_words(spark):
         assert sum((r["score"] >= 0.5) == (r["doc_id"] % 5 == 0) for r in got) >= 0.97 * len(got)
 
 
+def test_toxicity_when_a_half_lacks_a_class(spark):
+    """All toxic labels fall into one half of the calibration."""
+    rnd = random.Random(9)
+    text.ship(spark)
+    half = lambda i: zlib.crc32(str(i).encode()) % 5
+    rows, labels = [], []
+    for i in range(400):
+        toxic = int(i % 4 == 0 and half(i) not in (0, 2, 4))
+        words_of = [rnd.choice(["ther", "oner", "anth", "reon"]) for _ in range(30)] + ["vequmo"] * 3 * toxic
+        rows.append((i, " ".join(words_of)))
+        labels.append((i, toxic))
+    rows += [(i, "ther oner vequmo anth vequmo reon vequmo") for i in range(1000, 1004)]
+    df, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(df, known, F.lit(True)).collect()}
+    assert all(got[i] >= 0.5 for i in range(1000, 1004))
+    assert sum((got[i] >= 0.5) == t for i, t in labels) >= 0.97 * len(labels)
+
+
 def test_log_ratios_match_the_dense_models(spark):
     rnd = random.Random(5)
     grams = sorted({"".join(rnd.choice("abcde") for _ in range(4)) for _ in range(300)})
