@@ -35,6 +35,8 @@ N = 2 * len(ROLES)  # state 2r: first line of role r, 2r + 1: later line
 # Sizes of the features of a line.
 SIZES = (4, 2, 3, 3, 2)
 TURNS_PER_PART = 256
+# What str.strip() leaves, as a Java pattern: a line with such a character has text.
+_TEXT = r"[^\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 _MARKER = re.compile(r"^\W{0,4}(?:(system|instruction)|(user|human|question|q)|(assistant|ai|bot|answer|a))\s?[\]>:\-]+\s*", re.I)
 
 
@@ -130,7 +132,7 @@ def canonical(turns: list[tuple[str, str]]) -> str:
 def parts(df: DataFrame, marked: Column) -> DataFrame:
     """Turns (conv_id, turn, role, text) as parts of transcripts: conv_id, part,
     transcript, roles (per line with text). ``marked`` is a turn as its transcript shows it."""
-    line_count = F.size(F.filter(F.split(F.col("marked"), "\n"), lambda x: F.length(F.trim(x)) > 0))
+    line_count = F.size(F.filter(F.split(F.col("marked"), "\n"), lambda x: x.rlike(_TEXT)))
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(-1))
     rows = df.select("conv_id", turn.alias("turn"), "role", marked.alias("marked")).distinct()
     rows = rows.withColumn("part", F.floor(F.col("turn") / TURNS_PER_PART)).withColumn("n", line_count)

@@ -247,6 +247,17 @@ def test_chat_query(spark, tmp_path):
     assert chat.lines_of("Q: why?\n\n[assistant] so.", True) == [("why?", (2, 0, 0, 1, 1)), ("so.", (3, 1, 0, 2, 0))]
 
 
+def test_chat_roles_stand_beside_their_lines(spark):
+    """Blank lines of any white space: the same lines count in Spark and in Python."""
+    gaps = [chr(i) for i in range(0x110000) if chr(i).isspace()]
+    said = ["User: a\r\n\r\nb", "\t\nAssistant: c\n \t ", *(f"{g}\n{g}d" for g in gaps), "\u200b\n\ufeff\n\x00", "end"]
+    rows = [(1, i, ["user", "assistant"][i % 2], t) for i, t in enumerate(said)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    part = chat.parts(df, F.col("text")).first()
+    want = [r for _, _, r, t in rows for line in t.split("\n") if line.strip()]
+    assert part["roles"] == want and len(chat.lines_of(part["transcript"], True)) == len(want)
+
+
 # -- 5 and 8 ----------------------------------------------------------------------
 
 
