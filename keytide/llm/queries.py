@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import chat, embedding, mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity, twins
+from keytide.llm import (
+    audit, chat, decontaminate, divergence, embedding, mixing, nbest, quality, sharding, simhash, suffix, tokens, toxicity, twins,
+)
 from keytide.llm.text import cut, documents, n_bytes, ship
 from keytide.sources.scratch import scratch_dir
 
@@ -104,6 +106,22 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removed(documents(spark, sf_dir))
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = audit.labelled(audit.failures(documents(spark, sf_dir)), labels,
+                          {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1})
+    return audit.interactions(rows, "ABCDE", {"good_lost": "good", "toxic_lost": "toxic"})
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
@@ -115,5 +133,14 @@ QUERIES = {
     "op8_nbest": op8_nbest,
     "op9_quality": op9_quality,
     "op10_suffix": op10_suffix,
+    "op11_audit": op11_audit,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_divergence": op13_divergence,
+}
+SQL = {
+    "op7_mixing": twins.MIXING,
+    "op9_quality": twins.QUALITY,
+    "op11_audit": twins.AUDIT,
+    "op12_decontaminate": twins.DECONTAMINATE,
+    "op13_divergence": twins.DIVERGENCE,
 }
-SQL = {"op7_mixing": twins.MIXING, "op9_quality": twins.QUALITY}

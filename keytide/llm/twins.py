@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keytide.llm import mixing, quality
+from keytide.llm import audit, decontaminate, divergence, mixing, quality
 from keytide.llm.text import WORD
 
 
@@ -65,3 +65,86 @@ m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND n_words - n_clean_words <= n_words * {quality.MAX_LOSS} AS kept FROM b
 """
+
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TESTS = {
+    "A": f"len(ws) < {audit.MIN_WORDS}",
+    "B": f"100 * len(list_distinct(ws)) < {audit.MIN_DISTINCT} * len(ws)",
+    "C": f"100 * {_count('t', '[A-Z]')} > {audit.MAX_CAPITALS} * length(t)",
+    "D": f"regexp_matches(t, '[{audit.SYMBOLS.decode()}]')",
+    "E": "coalesce(doc_id > first_id, false)",
+}
+
+AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, {_quoted(WORD)}) AS ws, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false)::INT AS good, coalesce(bool_or(toxic = 1), false)::INT AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT part, {" + ".join(f"{1 << i} * ({test})::INT" for i, test in enumerate(_TESTS.values()))} AS mask,
+        coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM w LEFT JOIN l USING (doc_id)),
+h AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+b(x, bit) AS (VALUES {", ".join(f"('{x}', {1 << i})" for i, x in enumerate(_TESTS))}),
+o AS (SELECT b1.x || b2.x || b3.x || b4.x || b5.x AS filter_order, [b1.bit, b2.bit, b3.bit, b4.bit, b5.bit] AS bits
+      FROM b b1, b b2, b b3, b b4, b b5 WHERE b1.bit | b2.bit | b3.bit | b4.bit | b5.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM o, range(1, 6) r(step)),
+c AS (SELECT part, filter_order, step, bit,
+        sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM h, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM c
+"""
+
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_W = decontaminate.WIDTH
+
+DECONTAMINATE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), {_quoted(_ITEM_WORD)}) AS ws
+      FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), {_quoted(_ITEM_WORD)}) AS ws FROM benchmark),
+k AS (SELECT *, least(len(ws), {_W}) AS k FROM i WHERE len(ws) > 0),
+p AS (SELECT item_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS p FROM k),
+x AS (SELECT DISTINCT item_id, k, array_to_string(ws[p:p + k - 1], ' ') AS x FROM p),
+dp AS (SELECT r, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM x) WHERE len(ws) >= k),
+dx AS (SELECT r, k, p, array_to_string(ws[p:p + k - 1], ' ') AS x FROM dp),
+hit AS (SELECT dx.* FROM dx SEMI JOIN x USING (k, x)),
+n AS (SELECT r, count(DISTINCT w)::BIGINT AS n_hit FROM (SELECT r, unnest(generate_series(p, p + k - 1)) AS w FROM hit) GROUP BY r),
+own AS (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hit JOIN x USING (k, x) WHERE item_id IS NOT NULL),
+s AS (SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha FROM own GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN s USING (r)
+"""
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _share(count: str, n: str) -> str:
+    return f"1 + {divergence.SCALE}::HUGEINT * ({count} + {divergence.PRIOR}) // ({n} + {divergence.PRIOR} * v)"
+
+
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+o AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(t, {_LETTERS}), {_quoted(_TERM)})) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS n_lang FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM o SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM groups LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+g AS (SELECT lang, source, term, coalesce(c, 0) AS c, {_share("coalesce(c, 0)", "n")} AS p, {_share("total", "n_lang")} AS q
+      FROM n JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+      FROM g a JOIN g b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::BIGINT AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM g WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
