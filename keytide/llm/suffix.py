@@ -43,6 +43,7 @@ from keytide.llm.text import cut
 
 LENGTH = 400
 GRAM = 100
+PASSAGE, PASSAGE_GRAM = 256, 64  # the same for the removal from a corpus
 MAX_PIECES = 50_000
 _CHUNK = 1 << 20  # bytes hashed at once
 _FLUSH = 4096  # pieces ordered at once
@@ -321,27 +322,28 @@ def _with_spans(df: DataFrame, text: str, **options) -> DataFrame:
 
 
 def removed(df: DataFrame, text: str = "text", **options) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept text of every row; bytes of
+    characters that a span cuts count as kept, but the text is without them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for value, ranges in zip(batch.column(1), batch.column(2)):
                 data = (value.as_py() or "").encode()
-                runs, digest, at = merged(ranges.as_py()), hashlib.sha256(), 0
+                runs, kept, at = merged(ranges.as_py()), [], 0
                 for a, b in runs:
-                    digest.update(data[at:a])
+                    kept.append(data[at:a])
                     at = b
-                digest.update(data[at:])
-                out.append((len(data), sum(b - a for a, b in runs), len(runs), digest.hexdigest()))
-            cols = list(zip(*out)) or [()] * 4
+                left = b"".join([*kept, data[at:]])
+                out.append((len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")))
+            cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), *(pa.array(c, pa.string()) for c in cols[3:])],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
             )
 
     joined = _with_spans(df.select("doc_id", text), text, **options)
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def without(text: str | None, ranges: list[dict] | None) -> str | None:
@@ -359,9 +361,13 @@ def without(text: str | None, ranges: list[dict] | None) -> str | None:
     return b"".join([*out, data[at:]]).decode()
 
 
-def deduplicated(df: DataFrame, **options) -> DataFrame:
-    """``df`` with repeated passages taken out of ``text`` (``n_chars`` follows)."""
-    joined = _with_spans(df, "text", **options)
+def deduplicated(df: DataFrame, length: int = PASSAGE, gram: int = PASSAGE_GRAM, **options) -> DataFrame:
+    """``df`` with repeated passages taken out of ``text`` (``n_chars`` follows).
+
+    The window is shorter than that of :func:`removed`, so that passages of fifty
+    words fill it unless their words have four letters or fewer on the mean.
+    """
+    joined = _with_spans(df, "text", length=length, gram=gram, **options)
     kept = df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -521,7 +521,12 @@ def plain_removal(texts, length):
 def test_repeated_passages(docs, rows, max_pieces):
     want = plain_removal([(r["text"] or "").encode() for r in rows], 400)
     got = suffix.removed(docs, max_pieces=max_pieces).collect()
-    assert bag(got) == bag((r["doc_id"], *w) for r, w in zip(rows, want))
+    assert bag(r[:5] for r in got) == bag((r["doc_id"], *w) for r, w in zip(rows, want))
+    whole = {r["doc_id"]: r["text"] or "" for r in rows}
+    for r in got:
+        assert r["text"] == whole[r["doc_id"]] if not r["n_removed"] else len(r["text"].encode()) <= r["n_bytes"] - r["n_removed"]
+        if r["doc_id"] is not None and hashlib.sha256(r["text"].encode()).hexdigest() != r["kept_sha256"]:
+            assert r["n_removed"]  # a span cut a character
 
 
 def test_short_passages_with_many_hits(spark):
@@ -530,7 +535,21 @@ def test_short_passages_with_many_hits(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = plain_removal([t.encode() for t in texts], 12)
     got = suffix.removed(df, length=12, gram=4).collect()
-    assert bag(got) == bag((i, *w) for i, w in enumerate(want))
+    assert bag(r[:5] for r in got) == bag((i, *w) for i, w in enumerate(want))
+    assert all(hashlib.sha256(r["text"].encode()).hexdigest() == r["kept_sha256"] for r in got)
+
+
+def test_passages_of_fifty_words_go(spark):
+    rnd = random.Random(12)
+    word = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
+    passage = " ".join(word(rnd.randint(2, 7)) for _ in range(58))
+    own = [" ".join(word(6) for _ in range(90)) for _ in range(12)]
+    assert 256 <= len(passage) < 400
+    texts = [f"{o[:200]} {passage} {o[200:]}" if i % 2 else o for i, o in enumerate(own)]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    for r in suffix.deduplicated(df).collect():
+        assert passage not in r["text"] and len(r["text"]) in (len(own[r["doc_id"]]) + 2 * (r["doc_id"] % 2), len(own[r["doc_id"]]))
+        assert r["doc_id"] % 2 or r["text"] == own[r["doc_id"]]
 
 
 def test_suffix_dedup_keeps_characters_whole(docs, none):
@@ -561,7 +580,7 @@ def test_pipeline_stages_agree_with_brute_force(spark, docs, none, tmp_path):
     roots = plain_components(prints, lambda a, b: (a ^ b).bit_count() <= 4)
     assert len(out["SimHash near-dedup"]) == len(set(roots))
     left = [(r["text"] or "").encode() for r in out["SimHash near-dedup"]]
-    gone = sum(w[1] for w in plain_removal(left, 400))
+    gone = sum(w[1] for w in plain_removal(left, suffix.PASSAGE))
     kept = sum(len((r["text"] or "").encode()) for r in out["suffix-array dedup"])
     assert sum(map(len, left)) - gone <= kept <= sum(map(len, left)) - gone + 3 * len(left)
     assert all(r["round_trip"] for r in out["SentencePiece encoding"])
