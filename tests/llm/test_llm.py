@@ -523,9 +523,9 @@ def test_repeated_passages(docs, rows, max_pieces):
     got = suffix.removed(docs, max_pieces=max_pieces).collect()
     assert bag(r[:5] for r in got) == bag((r["doc_id"], *w) for r, w in zip(rows, want))
     whole = {r["doc_id"]: r["text"] or "" for r in rows}
-    for r in got:
+    for r in (r for r in got if r["doc_id"] is not None):
         assert r["text"] == whole[r["doc_id"]] if not r["n_removed"] else len(r["text"].encode()) <= r["n_bytes"] - r["n_removed"]
-        if r["doc_id"] is not None and hashlib.sha256(r["text"].encode()).hexdigest() != r["kept_sha256"]:
+        if hashlib.sha256(r["text"].encode()).hexdigest() != r["kept_sha256"]:
             assert r["n_removed"]  # a span cut a character
 
 
