@@ -325,7 +325,7 @@ def orphans(spark, sf):
     """Files of a write that never published: found, while live ones are not."""
     t = order_table(spark, sf, "c5", deltas=2)
     lost = table(spark, sf, "orders").filter("o_orderstatus = 'P'")
-    lost.write.partitionBy("o_orderpriority").parquet(f"{t.root}/data/__commit=000000000000-lost")
+    lost.write.partitionBy("o_orderpriority").parquet(f"{t.root}/data/__write=lost/__commit=000000000000-lost")
     found = t.find_orphans(timedelta(0))
     return found.groupBy(
         F.regexp_extract("path", "o_orderpriority=([^/]*)/", 1).alias("o_orderpriority")

@@ -11,14 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keytide.functions.columns import NULL_PARTITION, all_of, as_column, parse_partition_desc, quoted
+from keytide.functions.columns import NULL_PARTITION, all_of, as_column, bucket_id, parse_partition_desc, partition_desc, quoted
 from keytide.functions.merge_ops import Custom, MergeOp, resolve_ops
 from keytide.plans import dml
 from keytide.plans import schema as S
 from keytide.plans.merge import SEQ, Versions, fold_versions, overlay
 from keytide.sources import log as L
 from keytide.sources import storage
-from keytide.spec import COMMIT, TableError, TableSpec
+from keytide.sources.scratch import scratch_dir
+from keytide.spec import COMMIT, WRITE, TableError, TableSpec
 
 Where = Column | str | Sequence[Column | str] | None
 Ops = Mapping[str, MergeOp | str] | None
@@ -26,12 +27,12 @@ Ops = Mapping[str, MergeOp | str] | None
 #: changes up to this many rows may be broadcast onto a base of at least this many bytes
 OVERLAY_ROWS = 500_000
 OVERLAY_MIN_BASE = 256 * 2**20
+#: writes, or partitions with changes, up to which bases are merged in place
+MAX_BASES = 16
 #: how many times its compressed size a Parquet file may take in memory
 INFLATED = 10
-#: changed rows per shuffle partition that a hash table may hold
+#: changed rows per bucket that a hash table may hold
 HASH_ROWS = 200_000
-#: more replaced files than this and the whole partitions are rewritten instead
-MAX_SKIPPED_FILES = 10_000
 #: merge positions of one log version; ids have digits for as many versions again
 _ORDERS = 10**9
 #: deltas a partition must exceed before an unforced compaction touches it
@@ -50,10 +51,11 @@ class Commit:
     files: int
     bytes: int
     rows: int
-    skip: tuple[str, ...] = ()
+    dead: tuple[int, ...] = ()
+    holes: tuple[str, ...] = ()
 
     def row(self) -> dict:
-        return {**vars(self), "cols": list(self.cols), "skip": list(self.skip)}
+        return {**vars(self), **{n: list(getattr(self, n)) for n in ("cols", "dead", "holes")}}
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,14 @@ class Partition:
     op: str
     commits: tuple[Commit, ...]
 
+    def base(self) -> tuple[Commit, ...]:
+        """Commits that share no key: the clean ones at the start."""
+        n = next((i for i, c in enumerate(self.commits) if not c.clean), len(self.commits))
+        return self.commits[:n]
+
+    def deltas(self) -> tuple[Commit, ...]:
+        return self.commits[len(self.base()):]
+
 
 @dataclass(frozen=True)
 class State:
@@ -84,7 +94,7 @@ class State:
 def _commits(rows) -> tuple[Commit, ...]:
     return tuple(
         Commit(c["id"], c["dir"], tuple(c["cols"]), c["clean"], c["parts"], c["files"], c["bytes"],
-               c["rows"], tuple(c["skip"] or ()))
+               c["rows"], tuple(c["dead"] or ()), tuple(c["holes"] or ()))
         for c in rows or ()
     )
 
@@ -299,10 +309,15 @@ class KeyedTable:
         chosen, rest = [], []
         for c in conjuncts:
             try:
-                frame = frame.filter(c)
-                chosen.append(c)
+                kept = frame.filter(c)
             except AnalysisException:
                 rest.append(c)
+                continue
+            if self._odd(kept):  # one draw for a partition is not one for each of its rows
+                rest.append(c)
+            else:
+                frame = kept
+                chosen.append(c)
         if chosen:
             kept = {r["__partition"] for r in frame.select("__partition").collect()}
             live = [p for p in live if p.desc in kept]
@@ -312,12 +327,23 @@ class KeyedTable:
         """Whether a condition uses primary key columns alone."""
         keys = T.StructType([spec.field(c) for c in spec.primary_key])
         try:
-            L.local_rows(self.spark, [], keys).filter(cond)
+            return bool(spec.keys) and not self._odd(L.local_rows(self.spark, [], keys).filter(cond))
         except AnalysisException:
             return False
-        return bool(spec.keys)
+
+    def _odd(self, filtered: DataFrame) -> str | None:
+        """What keeps a filter from being a condition on one row; the analysed plan tells,
+        so the spelling of a function does not matter."""
+        plan = filtered._jdf.queryExecution().analyzed()
+        if plan.getClass().getSimpleName() != "Filter":
+            return "the condition is not a condition on one row"
+        condition = plan.condition()
+        if self.spark._jvm.org.apache.spark.sql.catalyst.expressions.SubqueryExpression.hasSubquery(condition):
+            return "the condition may not use a subquery"
+        return None if condition.deterministic() else "the condition must be deterministic"
 
     def _only_range(self, state: State, where: Where, what: str) -> list[Partition]:
+        self._refuse_odd(state, where)
         parts, chosen, rest = self._prune(state, where)
         if rest or not chosen:
             raise TableError(f"{what} needs a condition over the range columns {list(state.spec.range_cols)}")
@@ -335,38 +361,47 @@ class KeyedTable:
         fields = [T.StructField(c, spec.field(c).dataType, True, spec.field(c).metadata) for c in spec.columns]
         return L.local_rows(self.spark, [], T.StructType(fields))
 
-    def _scan(self, spec: TableSpec, picked: Sequence[tuple[Partition, Sequence[Commit]]]) -> Versions | None:
+    def _scan(
+        self, spec: TableSpec, picked: Sequence[tuple[Partition, Sequence[Commit]]], paths: bool = False
+    ) -> Versions | None:
         """Rows of chosen commits of chosen partitions."""
+        pairs = [(p, c) for p, commits in picked for c in commits]
         seen: dict[str, int] = {}
-        for _, commits in picked:
-            for c in commits:
-                seen[c.id] = seen.get(c.id, 0) + 1
-        whole = frozenset(c.id for _, commits in picked for c in commits if seen[c.id] == c.parts)
-        return storage.scan(
-            self.spark, self.root, spec,
-            [(c.id, c.dir, c.cols, c.skip) for _, commits in picked for c in commits], whole,
-        )
+        for _, c in pairs:
+            seen[c.id] = seen.get(c.id, 0) + 1
+        whole = frozenset(c.id for _, c in pairs if seen[c.id] == c.parts)
+        return storage.scan(self.spark, self.root, spec, pairs, whole, paths)
+
+    def _complete_columns(self, df: DataFrame, spec: TableSpec) -> list[Column]:
+        return [
+            F.col(quoted(c)) if c in df.columns else F.lit(None).cast(spec.field(c).dataType).alias(c) for c in spec.columns
+        ]
 
     def _complete(self, df: DataFrame, spec: TableSpec) -> DataFrame:
-        return df.select(
-            *[
-                (F.col(quoted(c)) if c in df.columns else F.lit(None).cast(spec.field(c).dataType).alias(c))
-                for c in spec.columns
-            ]
-        )
+        return df.select(*self._complete_columns(df, spec))
 
-    def _way(self, changes: Sequence[Commit], base_bytes: int) -> str:
-        """How to merge changes into a base; their bytes and rows are in the log."""
+    def _way(self, spec: TableSpec, parts: Sequence[Partition], ops: Mapping[str, MergeOp]) -> tuple[str, bool]:
+        """How to merge changes into the bases of partitions, and whether buckets keep the bases in place.
+
+        Numbers of rows and bytes are in the log. A base stays in place as long as it comes from few
+        writes, and keys beside the buckets are compared with few partitions' changes.
+        """
+        if any(not op.single_is_identity for op in ops.values()) or not all(p.base() for p in parts):
+            return "fold", False
+        changes = [c for p in parts for c in p.deltas()]
         rows = sum(c.rows for c in changes)
-        if rows > HASH_ROWS * int(self.spark.conf.get("spark.sql.shuffle.partitions")):
-            return "fold"
-        if base_bytes < OVERLAY_MIN_BASE:
-            return "full"
+        if rows > HASH_ROWS * spec.buckets:
+            return "fold", False
+        bases = storage.by_writes([(p, c) for p in parts for c in p.base()])
+        in_place = len(bases) <= MAX_BASES and spec.bucket_cols == list(spec.keys) and (
+            not spec.range_cols or len(parts) <= MAX_BASES)
+        if sum(c.bytes for p in parts for c in p.base()) < OVERLAY_MIN_BASE:
+            return "full" if not in_place or len(bases) == 1 else "hash", in_place
         raw = str(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().rstrip("b")
         units = {"k": 2**10, "m": 2**20, "g": 2**30}
         limit = int(raw[:-1]) * units[raw[-1]] if raw[-1:] in units else int(raw)
         small = rows <= OVERLAY_ROWS and sum(c.bytes for c in changes) * INFLATED <= limit
-        return "broadcast" if small else "hash"
+        return "broadcast" if small else "hash", in_place
 
     def _merged(
         self, spec: TableSpec, parts: Sequence[Partition], ops: dict[str, MergeOp], on_keys: Sequence[Column] = ()
@@ -378,36 +413,45 @@ class KeyedTable:
         if not spec.keys:
             return self._complete(self._scan(spec, [(p, p.commits) for p in parts]).rows, spec)
         fold_always = any(not op.single_is_identity for op in ops.values())
-        plain = [p for p in parts if len(p.commits) == 1 and p.commits[0].clean and not fold_always]
+        plain = [p for p in parts if not p.deltas() and not fold_always]
         mixed = [p for p in parts if p not in plain]
         out: list[DataFrame] = []
         if plain:
             out.append(self._complete(self._scan(spec, [(p, p.commits) for p in plain]).rows, spec))
         if mixed:
-            out.append(self._merge_deltas(spec, mixed, ops, fold_always, on_keys))
+            out.append(self._merge_deltas(spec, mixed, ops, on_keys))
         return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
     def _merge_deltas(
-        self, spec: TableSpec, parts: Sequence[Partition], ops: dict[str, MergeOp], fold_always: bool,
-        on_keys: Sequence[Column],
+        self, spec: TableSpec, parts: Sequence[Partition], ops: dict[str, MergeOp], on_keys: Sequence[Column]
     ) -> DataFrame:
         keys = spec.primary_key
-        based = all(p.commits[0].clean for p in parts) and not fold_always
-        deltas = [c for p in parts for c in p.commits[1:]]
-        way = self._way(deltas, sum(p.commits[0].bytes for p in parts)) if based else "fold"
-        if way != "fold":
-            base = self._complete(self._scan(spec, [(p, p.commits[:1]) for p in parts]).rows, spec)
-            changes = self._scan(spec, [(p, p.commits[1:]) for p in parts])
+        way, in_place = self._way(spec, parts, ops)
+        if way == "fold":
+            versions = self._scan(spec, [(p, p.commits) for p in parts])
             for c in on_keys:
-                base, changes = base.filter(c), replace(changes, rows=changes.rows.filter(c))
-            rows = overlay(base, _filled(changes, spec), keys, spec.columns, ops, way, null_keys=False)
-            return self._complete(rows, spec)
-        versions = self._scan(spec, [(p, p.commits) for p in parts])
+                versions = replace(versions, rows=versions.rows.filter(c))
+            present = [c for c in spec.columns if c in versions.rows.columns]
+            known = {c: op for c, op in ops.items() if c in present}
+            return self._complete(fold_versions(versions, keys, present, known), spec)
+        groups = [[(p, p.base()) for p in parts]]
+        if in_place:
+            by_write = storage.by_writes([(p, c) for p in parts for c in p.base()])
+            groups = [[(p, [c]) for p, c in pairs] for pairs in by_write.values()]
+        bases = [self._complete(self._scan(spec, g).rows, spec) for g in groups]
+        changes = self._scan(spec, [(p, p.deltas()) for p in parts])
         for c in on_keys:
-            versions = replace(versions, rows=versions.rows.filter(c))
-        present = [c for c in spec.columns if c in versions.rows.columns]
-        known = {c: op for c, op in ops.items() if c in present}
-        return self._complete(fold_versions(versions, keys, present, known), spec)
+            bases, changes = [b.filter(c) for b in bases], replace(changes, rows=changes.rows.filter(c))
+        buckets = (spec.buckets, spec.bucket_cols) if in_place else None
+        rows = overlay(bases, _filled(changes, spec), keys, spec.columns, ops, way, False, buckets)
+        return self._complete(rows, spec)
+
+    def _placed(self, spec: TableSpec, parts: Sequence[Partition], ops: Mapping[str, MergeOp] | None = None) -> bool:
+        """Whether merged rows come bucket by bucket, so that a write need not place them again."""
+        if not spec.keys or any(not op.single_is_identity for op in (ops or {}).values()):
+            return False
+        mixed = [p for p in parts if p.deltas()]
+        return not mixed or self._way(spec, mixed, ops or {})[1]
 
     def read(self, where: Where = None, ops: Ops = None) -> DataFrame:
         """Current rows, merged per key.
@@ -417,7 +461,7 @@ class KeyedTable:
         """
         state = self.state()
         parts, chosen, rest = self._prune(state, where)
-        on_keys = [*chosen, *[c for c in rest if self._over_keys(state.spec, c)]]
+        on_keys = [*chosen, *[c for c in rest if self._over_keys(state.spec, c)]]  # never a random one: it filters merged rows
         found = resolve_ops(ops, state.spec.schema, state.spec.primary_key)
         df = self._merged(state.spec, parts, found, on_keys)
         for c in [*chosen, *rest]:
@@ -519,6 +563,7 @@ class KeyedTable:
         clean: bool,
         dropped: DataFrame | None = None,
         order: int | None = None,
+        placed: bool = False,
     ) -> tuple[list[dict[str, Commit]], dict[str, dict[str, str]]]:
         """Write each source as a commit; sources with equal columns share one job.
 
@@ -533,13 +578,14 @@ class KeyedTable:
         groups: dict[frozenset[str], list[int]] = {}
         for i, s in enumerate(sources):
             groups.setdefault(frozenset(s.columns), []).append(i)
+        writes = []
         for members in groups.values():
             tagged = None
             for i in members:
                 one = sources[i].withColumn(COMMIT, F.lit(ids[i]))
                 tagged = one if tagged is None else tagged.unionByName(one)
-            _guarded(lambda t=tagged: storage.write_commits(t, self.root, spec))
-        added = storage.commit_files(self.spark, self.root, spec, ids)
+            writes.append(_guarded(lambda t=tagged: storage.write_commits(t, self.root, spec, placed)))
+        added = storage.commit_files(self.spark, self.root, spec, writes)
         if added is not None:
             cols = F.create_map(*[
                 x for i, s in zip(ids, sources) for x in (F.lit(i), F.array(*[F.lit(c) for c in s.columns]))
@@ -596,13 +642,18 @@ class KeyedTable:
         if rows:
             L.publish(self.spark, self.root, state.log_version + 1, rows, state.attempt)
 
-    def _files_of(self, parts: Iterable[Partition]) -> DataFrame | None:
-        """Live file rows of the commits that partitions list now."""
+    def _files_of(
+        self, parts: Iterable[Partition], buckets: Mapping[str, Iterable[int]] | None = None
+    ) -> DataFrame | None:
+        """Live file rows of the commits that partitions list now, or of some of their buckets."""
         pairs = [{"partition": p.desc, "commit_id": c.id} for p in parts for c in p.commits]
         if not pairs:
             return None
         frame = L.local_rows(self.spark, pairs, "partition string, commit_id string")
         ops = L.read_files(self.spark, self.root).join(frame, ["partition", "commit_id"], "left_semi")
+        if buckets is not None:
+            some = [{"partition": d, "bucket": b} for d, found in buckets.items() for b in found]
+            ops = ops.join(L.local_rows(self.spark, some, "partition string, bucket int"), ["partition", "bucket"], "left_semi")
         return L.live_files(ops.withColumn("seq", F.col("log_version")))
 
     def _write(
@@ -617,15 +668,24 @@ class KeyedTable:
         batch: tuple[str, int] | None = None,
         order: int | None = None,
         kept_tail: Mapping[str, tuple[Commit, ...]] | None = None,
+        placed: bool = False,
+        buckets: Mapping[str, Iterable[int]] | None = None,
     ) -> None:
-        """Store sources and publish: ``replaced`` partitions start over, others grow."""
+        """Store sources and publish: ``replaced`` partitions start over, others grow.
+
+        With ``buckets`` only those of the replaced partitions start over: the old commits
+        stay without them, and a clean new commit stands beside the old clean ones.
+        """
         spec, ready = state.spec, []
         for df in sources:
             one, spec = self._prepared(spec, df, merge_schema, partial)
             ready.append(one)
         tails = kept_tail or {}
         gone = [replace(p, commits=tuple(c for c in p.commits if c not in tails.get(p.desc, ()))) for p in replaced]
-        stored, values = self._store(state, spec, ready, clean, self._files_of(gone), order)
+        stored, values = self._store(state, spec, ready, clean, self._files_of(gone, buckets), order, placed)
+        if buckets is not None:
+            self._publish(state, spec, op, _beside(replaced, buckets, stored[0], spec.buckets, state), values, batch)
+            return
         fresh = {p.desc for p in replaced}
         new: dict[str, tuple[Commit, ...]] = {p.desc: () for p in replaced}
         for commits in stored:
@@ -676,6 +736,7 @@ class KeyedTable:
 
     def _only_range_condition(self, state: State, where: Where) -> Column:
         cond = all_of(_as_list(where))
+        self._refuse_odd(state, where)
         try:
             self._partition_frame(state, []).filter(cond)
         except AnalysisException as e:
@@ -737,6 +798,7 @@ class KeyedTable:
         if mode != "rewrite":
             raise TableError(f"mode must be delta or rewrite, not {mode}")
         self._assert_removable(state)
+        self._refuse_odd(state, where)
         parts, chosen, _ = self._prune(state, where)
         if state.spec.range_cols and not chosen and not full_scan:
             raise TableError("a rewriting upsert needs a condition over the range columns")
@@ -771,6 +833,10 @@ class KeyedTable:
         state = self.state()
         self._require_keys(state)
         self._assert_removable(state)
+        self._refuse_odd(state, where)
+        assigned = {dml.first_name(c).lower() for _, sets in matched for c in sets}
+        if moved := [k for k in state.spec.primary_key if k.lower() in assigned]:
+            raise TableError(f"a merge may not assign the key columns {moved}")
         parts, chosen, rest = self._prune(state, where)
         if rest:
             raise TableError("a merge may be limited by range columns only")
@@ -815,81 +881,94 @@ class KeyedTable:
         self._rewrite(state, parts, cond, L.UPDATE, lambda df: dml.updated(df, changes, cond), not moved)
 
     def _refuse_odd(self, state: State, where: Where) -> None:
-        """Aggregates, subqueries and non-deterministic conditions have no row-wise meaning.
-        The analysed plan tells, so the spelling of a function does not matter."""
+        """Aggregates, subqueries and non-deterministic conditions have no row-wise meaning."""
         for c in _as_list(where):
             try:
-                plan = self._empty(state.spec).filter(as_column(c))._jdf.queryExecution().analyzed()
+                odd = self._odd(self._empty(state.spec).filter(as_column(c)))
             except AnalysisException as e:
                 raise TableError(f"the condition cannot be used: {e}") from e
-            if plan.getClass().getSimpleName() != "Filter":
-                raise TableError("the condition is not a condition on one row")
-            condition = plan.condition()
-            subquery = self.spark._jvm.org.apache.spark.sql.catalyst.expressions.SubqueryExpression
-            if subquery.hasSubquery(condition):
-                raise TableError("the condition may not use a subquery")
-            if not condition.deterministic():
-                raise TableError("the condition must be deterministic")
+            if odd:
+                raise TableError(odd)
 
     def _rewrite(
         self, state: State, parts: Sequence[Partition], cond: Column | None, op: str, change, keys_stay: bool = True
     ) -> None:
-        """Replace partitions by their changed rows; without keys only files with matches."""
-        if state.spec.keys or cond is None:
+        """Replace what holds matches by its changed rows: buckets of a keyed table, files of another."""
+        if cond is None:
             merged = self._merged(state.spec, parts, {})
-            self._write(state, [change(merged)], op, clean=bool(state.spec.keys) and keys_stay, replaced=parts)
-            return
-        touched = [
-            r["path"] for r in self._touched(state, parts, cond).select("path").limit(MAX_SKIPPED_FILES + 1).collect()
-        ]
+            self._write(state, [change(merged)], op, clean=bool(state.spec.keys) and keys_stay, replaced=parts,
+                        placed=keys_stay and self._placed(state.spec, parts))
+        elif state.spec.keys:
+            self._rewrite_buckets(state, parts, cond, op, change, keys_stay)
+        else:
+            self._rewrite_files(state, parts, cond, op, change)
+
+    def _rewrite_buckets(
+        self, state: State, parts: Sequence[Partition], cond: Column, op: str, change, keys_stay: bool
+    ) -> None:
+        """Only buckets with matching rows are read again and replaced; their numbers are all the driver sees."""
+        spec = state.spec
+        bucket = bucket_id(spec.bucket_cols, spec.buckets)
+        merged = self._merged(spec, parts, {}, [c for c in [cond] if self._over_keys(spec, c)])
+        desc = partition_desc(spec.range_cols)
+        found = merged.filter(cond).select(desc.alias("partition"), bucket.alias("bucket")).groupBy("partition").agg(
+            F.collect_set("bucket").alias("buckets")
+        )
+        touched = {r["partition"]: sorted(r["buckets"]) for r in found.collect()}
         if not touched:
             return
-        if len(touched) > MAX_SKIPPED_FILES:
-            merged = self._merged(state.spec, parts, {})
-            self._write(state, [change(merged)], op, replaced=parts)
+        by_desc = {p.desc: p for p in parts}
+        if set(touched) - set(by_desc):  # a value that a folder name spells in another way
+            touched = {p.desc: list(range(spec.buckets)) for p in parts}
+        chosen = [by_desc[d] for d in touched]
+        inside = self._in_touched(spec, touched)
+        rows = self._merged(spec, chosen, {}, [inside]).filter(inside)
+        self._write(state, [change(rows)], op, clean=keys_stay, replaced=chosen, buckets=touched,
+                    placed=keys_stay and self._placed(spec, chosen))
+
+    def _in_touched(self, spec: TableSpec, touched: Mapping[str, Sequence[int]]) -> Column:
+        """Whether a row lies in one of the buckets; partitions with the same buckets share a test."""
+        bucket, same = bucket_id(spec.bucket_cols, spec.buckets), {}
+        for desc, buckets in touched.items():
+            same.setdefault(tuple(buckets), []).append(desc)
+        cond = F.lit(False)
+        for buckets, descs in same.items():
+            inside = F.lit(True) if len(buckets) == spec.buckets else bucket.isin(list(buckets))
+            cond = cond | (inside & partition_desc(spec.range_cols).isin(descs) if spec.range_cols else inside)
+        return cond
+
+    def _rewrite_files(self, state: State, parts: Sequence[Partition], cond: Column, op: str, change) -> None:
+        """Files with matching rows are replaced; their paths pass from the scan to the log inside Spark."""
+        spec = state.spec
+        target = scratch_dir(self.spark, "touched-files")
+        self._touched(state, parts, cond).write.parquet(target)
+        touched = self.spark.read.parquet(target).select("path")
+        gone = self.live_files().join(touched, "path", "left_semi")
+        hit = {(r["partition"], r["commit_id"]) for r in gone.select("partition", "commit_id").distinct().collect()}
+        if not hit:
             return
-        by_dir: dict[str, list[str]] = {}
-        for t in touched:
-            by_dir.setdefault(t.rsplit("/", 1)[0], []).append(t)
-        rows = self._file_rows(state.spec, touched)
-        one, spec = self._prepared(state.spec, change(rows), False, False)
-        paths = L.local_rows(self.spark, [{"path": t} for t in touched], "path string")
-        gone = self.live_files().join(paths, "path", "left_semi")
+        holding = [(p, [c for c in p.commits if (p.desc, c.id) in hit]) for p in parts]
+        rows = self._scan(spec, holding, paths=True).rows.join(touched.toDF("__file"), "__file", "left_semi")
+        one, spec = self._prepared(spec, change(self._complete(rows, spec)), False, False)
         stored, values = self._store(state, spec, [one], False, gone)
         new: dict[str, tuple[Commit, ...]] = {}
-        for p in parts:
-            if any(c.dir in by_dir for c in p.commits):
-                new[p.desc] = tuple(
-                    replace(c, skip=(*c.skip, *by_dir.get(c.dir, ()))) for c in p.commits
-                )
+        for p, commits in holding:
+            if commits:
+                new[p.desc] = tuple(replace(c, holes=(*c.holes, state.attempt)) if c in commits else c for c in p.commits)
         for desc, c in stored[0].items():
             old = state.partitions.get(desc)
             new[desc] = (*new.get(desc, old.commits if old else ()), c)
         self._publish(state, spec, op, new, values)
 
-    def _file_rows(self, spec: TableSpec, paths: Sequence[str]) -> DataFrame:
-        """Rows of chosen files of an unkeyed table."""
-        schema = T.StructType([spec.field(c) for c in spec.columns])
-        base = L.data_path(self.root)
-        return (
-            self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{p}" for p in paths])
-            .select(*[F.col(quoted(c)) for c in spec.columns])
-        )
-
     def _touched(self, state: State, parts: Sequence[Partition], cond: Column) -> DataFrame:
-        base = L.data_path(self.root)
-        schema = T.StructType([state.spec.field(c) for c in state.spec.columns])
-        dirs = list(dict.fromkeys(f"{base}/{c.dir}" for p in parts for c in p.commits))
-        skip = [s for p in parts for c in p.commits for s in c.skip]
-        path = storage.relative_path(F.col("_metadata.file_path"))
-        df = self.spark.read.schema(schema).option("basePath", base).parquet(*dirs)
-        if skip:
-            df = df.filter(~path.isin(skip))
-        return df.filter(cond).groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("matches"))
+        found = self._scan(state.spec, [(p, p.commits) for p in parts], paths=True)
+        rows = found.rows.select(F.col("__file").alias("__file"), *self._complete_columns(found.rows, state.spec))
+        return rows.filter(cond).groupBy(F.col("__file").alias("path")).agg(F.count(F.lit(1)).alias("matches"))
 
     def touched_files(self, where: Where) -> DataFrame:
         """Files that hold rows matching a condition, before any merge (U16)."""
         state = self.state()
+        self._refuse_odd(state, where)
         parts, chosen, rest = self._prune(state, where)
         if not parts:
             return L.local_rows(self.spark, [], "path string, matches bigint")
@@ -918,7 +997,8 @@ class KeyedTable:
         back = None
         if commits:
             pairs = L.local_rows(self.spark, [{"commit_id": c.id} for c in commits], "commit_id string")
-            skip = [s for c in commits for s in c.skip]
+            dead = [{"commit_id": c.id, "bucket": b} for c in commits for b in c.dead]
+            holes = [{"partition": partition, "commit_id": c.id, "attempt": a} for c in commits for a in c.holes]
             back = (
                 L.read_files(self.spark, self.root)
                 .filter((F.col("partition") == old.desc) & (F.col("file_op") == "add"))
@@ -926,8 +1006,10 @@ class KeyedTable:
                 .dropDuplicates(["path"])
                 .withColumn("pos", F.lit(1))
             )
-            if skip:
-                back = back.filter(~F.col("path").isin(skip))
+            if dead:
+                back = back.join(L.local_rows(self.spark, dead, "commit_id string, bucket int"), ["commit_id", "bucket"], "left_anti")
+            if holes:
+                back = back.join(L.replaced_files(self.spark, self.root, holes), "path", "left_anti")
         self._log_files(state, back, self._files_of([current]))
         self._publish(state, state.spec, L.ROLLBACK, {partition: commits}, {partition: current.values})
 
@@ -954,7 +1036,8 @@ class KeyedTable:
             todo = [p for p in todo if len(p.commits) - 1 > min_deltas]
         if todo:
             merged = self._merged(state.spec, todo, found)
-            self._write(state, [merged], L.COMPACTION, clean=bool(state.spec.keys), replaced=todo)
+            self._write(state, [merged], L.COMPACTION, clean=bool(state.spec.keys), replaced=todo,
+                        placed=self._placed(state.spec, todo, found))
         return sorted(p.desc for p in todo)
 
     def compact_oldest(self, k: int, where: Where = None, ops: Ops = None) -> list[str]:
@@ -967,6 +1050,7 @@ class KeyedTable:
             raise TableError("folding needs at least two commits")
         state = self.state()
         self._require_keys(state)
+        self._refuse_odd(state, where)
         parts, _, rest = self._prune(state, where)
         if rest:
             raise TableError("a compaction may be limited by range columns only")
@@ -1025,7 +1109,7 @@ class KeyedTable:
             )
         except AnalysisException:
             return L.local_rows(self.spark, [], "path string, size bigint, modified timestamp")
-        path = F.concat(F.lit(f"{COMMIT}="), F.substring_index("path", f"/{COMMIT}=", -1))
+        path = F.concat(F.lit(f"{WRITE}="), F.substring_index("path", f"/{WRITE}=", -1))
         known = L.read_files(self.spark, self.root).select("path").distinct()
         return (
             listed.filter(F.col("modificationTime") < F.lit(cutoff))
@@ -1042,6 +1126,24 @@ class KeyedTable:
         self._publish(state, state.spec.with_schema(schema), L.APPEND, {}, {})
 
 
+def _beside(
+    parts: Sequence[Partition], buckets: Mapping[str, Iterable[int]], stored: Mapping[str, Commit], n: int, state: State
+) -> dict[str, tuple[Commit, ...]]:
+    """Commits of partitions some of whose buckets were written anew."""
+    new: dict[str, tuple[Commit, ...]] = {}
+    for p in parts:
+        gone = set(buckets[p.desc])
+        old = [replace(c, dead=tuple(sorted(gone | set(c.dead)))) for c in p.commits]
+        new[p.desc] = tuple(c for c in old if len(c.dead) < n)
+    for desc, c in stored.items():
+        was = new.get(desc)
+        if was is None:  # rows that moved to another partition
+            was = state.partitions[desc].commits if desc in state.partitions else ()
+        first = len(Partition(desc, {}, 0, "", was).base()) if c.clean else len(was)
+        new[desc] = (*was[:first], c, *was[first:])
+    return new
+
+
 def _filled(versions: Versions, spec: TableSpec) -> Versions:
     """Add table columns that no scanned commit carries, so that plans can name them."""
     missing = {

@@ -31,6 +31,11 @@ def _split(path: str) -> list[str]:
     return [*parts, part]
 
 
+def first_name(path: str) -> str:
+    """The column of an assigned path."""
+    return _split(path)[0]
+
+
 def _assigned(
     current: Column,
     data_type: T.DataType,
@@ -126,11 +131,12 @@ def conditional_merge(
 
     Conditions and expressions see the sides as ``t`` and ``s``. Matched rows
     without a true clause stay; unmatched source rows are inserted whole. Source
-    keys must be unique: a repeated key that meets a target row fails the job.
+    keys must be unique: a repeated key that meets a target row fails the job, and of
+    rows with a new key the one with the largest hash of its values is inserted.
     """
+    whole = F.struct(*[F.col(quoted(c)) for c in source.columns])
     counted = source.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
-        F.max_by(F.struct(*[F.col(quoted(c)) for c in source.columns]), F.lit(1)).alias("__row"),
-        F.count(F.lit(1)).alias("__copies"),
+        F.max_by(whole, F.xxhash64(F.to_json(whole))).alias("__row"), F.count(F.lit(1)).alias("__copies"),
     )
     s = counted.select("__row.*", "__copies", F.lit(True).alias("__s")).alias("s")
     t = target.withColumn("__t", F.lit(True)).alias("t")

@@ -20,17 +20,22 @@ from pyspark.sql import types as T
 
 from keytide.functions.columns import quoted
 from keytide.functions.merge_ops import NULL_TEXT, Custom, Latest, MergeOp, resolve_ops
+from keytide.spec import COMMIT
 
 SEQ = "__seq"
 _CHUNK = "__chunk"
 _HIT = "__hit"
 _TIE = "__tie"
+# Fixed value: digits of the merge position that leads a commit id.
+ORDER_DIGITS = 18
 
 
 @dataclass(frozen=True)
 class Versions:
     """Rows of several commits with a commit sequence and their column sets.
 
+    Stored rows have the id of their commit, whose first digits are the sequence: a
+    column of its own would hide from Spark that a union of buckets is placed by key.
     ``carried`` maps a column set to the sequence numbers of the commits that
     wrote exactly those columns.
     """
@@ -45,13 +50,16 @@ class Versions:
     def all_seqs(self) -> tuple[int, ...]:
         return tuple(sorted(s for seqs in self.carried.values() for s in seqs))
 
+    def seq(self) -> Column:
+        return F.col(SEQ) if SEQ in self.rows.columns else F.substring(COMMIT, 1, ORDER_DIGITS).cast("bigint")
+
     def has(self, carriers: tuple[int, ...]) -> Column:
         if len(carriers) == len(self.all_seqs()):
             return F.lit(True)
-        return F.col(SEQ).isin(list(carriers)) if carriers else F.lit(False)
+        return self.seq().isin(list(carriers)) if carriers else F.lit(False)
 
     def order_parts(self) -> list[Column]:
-        return [F.col(SEQ), *[F.col(quoted(c)) for c in self.order_cols]]
+        return [self.seq(), *[F.col(quoted(c)) for c in self.order_cols]]
 
     def order(self) -> Column:
         parts = self.order_parts()
@@ -180,7 +188,7 @@ def fold_versions(
     ops: dict[str, MergeOp] | None = None,
 ) -> DataFrame:
     """One row per key; every column folded by its operator."""
-    names = [c for c in versions.rows.columns if c != SEQ and c not in keys]
+    names = [c for c in versions.rows.columns if c not in (SEQ, COMMIT, *keys)]
     columns = [c for c in (columns or names) if c not in keys]
     units = _units(versions, columns, ops or {})
     if not units:
@@ -192,30 +200,36 @@ def fold_versions(
 
 
 def overlay(
-    base: DataFrame,
+    bases: DataFrame | Sequence[DataFrame],
     versions: Versions,
     keys: Sequence[str],
     columns: Sequence[str],
     ops: dict[str, MergeOp] | None = None,
     how: str = "full",
     null_keys: bool = True,
+    buckets: tuple[int, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Fold changes and put them on a base that is unique on the key.
+    """Fold changes and put them on bases that are unique on the key, together too.
 
-    ``full`` is one full join. ``hash`` and ``broadcast`` join the changes to the
-    left of nothing but the base and add the keys the base lacks: the base is
+    ``full`` is one full join with one base. ``hash`` and ``broadcast`` join the changes to the
+    left of nothing but the bases and add the keys that they lack: a base is
     read once for its rows and once for its keys, and filters on key columns
-    reach both scans, which a full join would stop. ``broadcast`` leaves the base
-    where it is. All build hash tables from the changes, so the base is never
-    sorted; the caller must have checked how many changes there are. Without
+    reach all scans, which a full join would stop. ``broadcast`` leaves the bases
+    where they are, and so do ``buckets``, their number and columns, when the bases are
+    bucketed relations: the folded changes are dealt to the same buckets, and keys outside of
+    the buckets are compared beside the hash. All build hash tables from the changes, so a base is
+    never sorted; the caller must have checked how many changes there are. Without
     ``null_keys`` the folded changes keep their place for the join.
     """
     if how not in ("full", "hash", "broadcast"):
         raise ValueError(f"no way to join changes called {how}")
+    bases = [bases] if isinstance(bases, DataFrame) else list(bases)
     columns = [c for c in columns if c not in keys]
     units = _units(versions, columns, ops or {})
     types = _types(versions.rows)
     states = _states(versions, keys, units).withColumn(_HIT, F.lit(True))
+    if buckets is not None and how != "broadcast":
+        states = states.repartition(buckets[0], *_key_cols(buckets[1]))
 
     def built(df: DataFrame) -> DataFrame:
         return df.hint("broadcast" if how == "broadcast" else "shuffle_hash")
@@ -226,23 +240,27 @@ def overlay(
     match = None
     for i, k in enumerate(keys):
         old, new = F.col(quoted(k)), F.col(f"__k{i}")
-        term = old.eqNullSafe(new) if null_keys else old == new
+        if buckets is not None and k not in buckets[1]:
+            term = F.array_contains(F.array(old), new)  # an equality would make Spark deal both sides anew by all keys
+        else:
+            term = old.eqNullSafe(new) if null_keys else old == new
         match = term if match is None else match & term
     merged = _finish(units, types, base=True)
     values = [merged[c].alias(c) for c in columns]
-    if how == "full":
+    if how == "full" and len(bases) == 1:
         key = [
             F.when(F.col(_HIT), F.col(f"__k{i}")).otherwise(F.col(quoted(k))).alias(k) for i, k in enumerate(keys)
         ]
-        return base.join(built(renamed(states)), match, "full").select(*key, *values)
-    changed = base.join(built(renamed(states)), match, "left").select(*_key_cols(keys), *values)
-    changed_keys = renamed(states.select(*_key_cols(keys)))
-    known = base.select(*_key_cols(keys)).join(built(changed_keys), match, "left_semi")
+        return bases[0].join(built(renamed(states)), match, "full").select(*key, *values)
+    fresh, out = states, None
+    for base in bases:
+        changed = base.join(built(renamed(states)), match, "left").select(*_key_cols(keys), *values)
+        out = changed if out is None else out.unionByName(changed)
+        changed_keys = renamed(states.select(*_key_cols(keys)))
+        known = base.select(*_key_cols(keys)).join(built(changed_keys), match, "left_semi")
+        fresh = fresh.join(built(renamed(known)), match, "left_anti")
     alone = _finish(units, types)
-    fresh = states.join(built(renamed(known)), match, "left_anti").select(
-        *_key_cols(keys), *[alone[c].alias(c) for c in columns]
-    )
-    return changed.unionByName(fresh)
+    return out.unionByName(fresh.select(*_key_cols(keys), *[alone[c].alias(c) for c in columns]))
 
 
 def merge_deltas(

@@ -34,10 +34,11 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
 
-# clean: keys are unique; parts: partitions the commit wrote; skip: replaced files
+# clean: keys are unique, also among the clean commits before it; parts: partitions the commit wrote;
+# dead: buckets that a later commit replaced; holes: attempts whose file operations replaced files of it
 COMMIT_TYPE = _struct(
     id=_STRING, dir=_STRING, cols=_STRINGS, clean=T.BooleanType(), parts=_LONG, files=_LONG,
-    bytes=_LONG, rows=_LONG, skip=_STRINGS,
+    bytes=_LONG, rows=_LONG, dead=T.ArrayType(T.IntegerType()), holes=_STRINGS,
 )
 VERSION_SCHEMA = _struct(
     log_version=_LONG, kind=_STRING, partition=_STRING, values=_VALUES, version=_LONG, op=_STRING,
@@ -220,14 +221,23 @@ def layout_report(live: DataFrame) -> DataFrame:
     )
 
 
+def replaced_files(spark: SparkSession, root: str, holes: list[dict]) -> DataFrame:
+    """Paths of replaced files; ``holes`` has partition, commit_id and the attempt that replaced some."""
+    attempts = sorted({h["attempt"] for h in holes})
+    ops = spark.read.schema(FILE_SCHEMA).parquet(*[f"{files_path(root)}/{a}" for a in attempts])
+    pairs = local_rows(spark, holes, "partition string, commit_id string, attempt string")
+    return ops.filter("file_op = 'del'").join(pairs, ["partition", "commit_id", "attempt"], "left_semi").select("path")
+
+
 def bucket_of(path: Column) -> Column:
-    found = F.regexp_extract(path, "/__bucket=([0-9]+)/", 1)
+    """Spark's writers put the bucket into the file name."""
+    found = F.regexp_extract(path, r"_([0-9]{5})\.c[0-9]+[^/]*$", 1)
     return F.when(found != "", found).cast("int")
 
 
 __all__ = [
     "APPEND", "COMPACTION", "DELETE", "DROP", "MERGE", "ROLLBACK", "UNPARTITIONED", "UPDATE",
-    "as_of", "bucket_of", "data_path", "exists", "explode_file_ops", "files_path", "history",
-    "local_rows",    "latest_versions", "layout_report", "live_files", "new_attempt", "next_versions", "publish", "read_files",
-    "read_versions", "rolled_back", "size_report", "versions_path", "write_files",
+    "as_of", "bucket_of", "data_path", "exists", "explode_file_ops", "files_path", "history", "local_rows",
+    "latest_versions", "layout_report", "live_files", "new_attempt", "next_versions", "publish", "read_files",
+    "read_versions", "replaced_files", "rolled_back", "size_report", "versions_path", "write_files",
 ]

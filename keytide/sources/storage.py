@@ -19,21 +19,19 @@ from keytide.functions.columns import (
     quoted,
     unescape_path,
 )
-from keytide.plans.merge import SEQ, Versions
-from keytide.sources.log import bucket_of, data_path
-from keytide.spec import BUCKET, COMMIT, TableSpec
+from keytide.plans.merge import ORDER_DIGITS, Versions
+from keytide.sources.log import bucket_of, data_path, replaced_files
+from keytide.spec import BUCKET, COMMIT, WRITE, TableSpec
 
-# Fixed value: digits of the merge position that leads a commit id.
-_ORDER_DIGITS = 18
 
 
 def commit_id(order: int) -> str:
     """Commit ids sort in merge order."""
-    return f"{order:0{_ORDER_DIGITS}d}-{uuid.uuid4().hex[:12]}"
+    return f"{order:0{ORDER_DIGITS}d}-{uuid.uuid4().hex[:12]}"
 
 
 def commit_order(commit: str) -> int:
-    return int(commit[:_ORDER_DIGITS])
+    return int(commit[:ORDER_DIGITS])
 
 
 @dataclass(frozen=True)
@@ -50,37 +48,74 @@ class Part:
 
 
 def hash_bucketed(df: DataFrame, spec: TableSpec, extra: Sequence[str] = ()) -> DataFrame:
-    """Rows placed by (range columns, bucket) and sorted by key inside.
+    """Rows placed by (range columns, bucket).
 
     The rebalance lets adaptive execution cut a bucket or partition that holds
     far more than its share into several files, and join small ones in one task.
     """
     lead = [*extra, *spec.range_cols]
     if spec.keys:
-        df = df.withColumn(BUCKET, bucket_id(spec.keys, spec.buckets))
-        place = [*lead, BUCKET]
-        cols = [F.col(quoted(c)) for c in place]
-        return df.hint("rebalance", *cols).sortWithinPartitions(
-            *cols, *[F.col(quoted(k)) for k in spec.keys]
-        )
+        df = df.withColumn(BUCKET, bucket_id(spec.bucket_cols, spec.buckets))
+        return df.hint("rebalance", *[F.col(quoted(c)) for c in (*lead, BUCKET)]).drop(BUCKET)
     if spec.range_cols:
         cols = [F.col(quoted(c)) for c in lead]
         return df.hint("rebalance", *cols).sortWithinPartitions(*cols)
     return df
 
 
-def write_commits(df: DataFrame, root: str, spec: TableSpec) -> None:
-    """Write rows tagged with their commit in one job."""
-    by = [COMMIT, *spec.range_cols, *([BUCKET] if spec.keys else [])]
-    writer = hash_bucketed(df, spec, [COMMIT]).write.mode("append").partitionBy(*by)
+def _catalog_name() -> str:
+    return f"spark_catalog.default.keytide_{uuid.uuid4().hex}"
+
+
+def write_commits(df: DataFrame, root: str, spec: TableSpec, placed: bool = False) -> str:
+    """Write rows tagged with their commit in one job, into a folder of this write.
+
+    Rows of a keyed table go into Spark buckets, sorted by key. ``placed`` rows lie by bucket
+    already and are not exchanged. The catalog entry that Spark's bucketed writer
+    needs is dropped at once; the files stay.
+    """
+    write = uuid.uuid4().hex
+    target = f"{data_path(root)}/{WRITE}={write}"
+    rows = df if placed else hash_bucketed(df, spec, [COMMIT])
+    writer = rows.write.partitionBy(COMMIT, *spec.range_cols).format("parquet")
     for k, v in spec.write_options.items():
         writer = writer.option(k, v)
-    writer.parquet(data_path(root))
+    if not spec.keys:
+        writer.save(target)
+        return write
+    name = _catalog_name()
+    try:
+        writer.bucketBy(spec.buckets, *spec.bucket_cols).sortBy(*spec.keys).option("path", target).saveAsTable(name)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    return write
+
+
+def _relation(spark: SparkSession, root: str, spec: TableSpec, write: str) -> DataFrame:
+    """One write as a bucketed relation, so that Spark knows how its rows are placed."""
+    columns = [T.StructField(c, spec.field(c).dataType) for c in spec.columns if c not in spec.range_cols]
+    parts = [T.StructField(COMMIT, T.StringType()), *[T.StructField(c, spec.field(c).dataType) for c in spec.range_cols]]
+    names = lambda cols: ", ".join(quoted(c) for c in cols)
+    location = f"{data_path(root)}/{WRITE}={write}".replace("\\", "\\\\").replace("'", "\\'")
+    name = _catalog_name()
+    tracked = "spark.sql.hive.manageFilesourcePartitions"  # off: the folders below the location are the partitions
+    before = spark.conf.get(tracked)
+    spark.conf.set(tracked, "false")
+    try:
+        spark.sql(
+            f"CREATE TABLE {name} ({T.StructType([*columns, *parts]).toDDL()}) USING parquet"
+            f" PARTITIONED BY ({names(f.name for f in parts)}) CLUSTERED BY ({names(spec.bucket_cols)})"
+            f" SORTED BY ({names(spec.keys)}) INTO {spec.buckets} BUCKETS LOCATION '{location}'"
+        )
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.conf.set(tracked, before)
 
 
 def relative_path(file_path: Column) -> Column:
     """Path below the data folder from `_metadata.file_path`, which is a URI."""
-    return unescape_path(F.concat(F.lit(f"{COMMIT}="), F.substring_index(file_path, f"/{COMMIT}=", -1)))
+    return unescape_path(F.concat(F.lit(f"{WRITE}="), F.substring_index(file_path, f"/{WRITE}=", -1)))
 
 
 def _listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
@@ -101,15 +136,15 @@ def _dir_value(path: Column, column: str) -> Column:
     return unescape_path(raw)
 
 
-def commit_files(spark: SparkSession, root: str, spec: TableSpec, commits: Sequence[str]) -> DataFrame | None:
-    """File rows of freshly written commits, relative to the data folder."""
-    if not commits:
+def commit_files(spark: SparkSession, root: str, spec: TableSpec, writes: Sequence[str]) -> DataFrame | None:
+    """File rows of fresh writes, relative to the data folder."""
+    if not writes:
         return None
-    found = _listed(spark, [f"{data_path(root)}/{COMMIT}={c}" for c in commits])
+    found = _listed(spark, [f"{data_path(root)}/{WRITE}={w}" for w in writes])
     if found is None:
         return None
     rows = found.filter(F.col("path").endswith(".parquet")).select("path", F.col("length").alias("size"), "rows")
-    rows = rows.withColumn("commit_id", F.regexp_extract("path", f"^{COMMIT}=([^/]*)/", 1))
+    rows = rows.withColumn("commit_id", F.regexp_extract("path", f"/{COMMIT}=([^/]*)/", 1))
     for c in spec.range_cols:
         rows = rows.withColumn(c, _dir_value(F.col("path"), _escaped_name(c)))
     return rows.select(
@@ -131,9 +166,8 @@ def _escaped_name(name: str) -> str:
 
 def commit_parts(files: DataFrame) -> list[Part]:
     """Totals per commit and partition; this is all the driver sees of a write."""
-    leaf = F.regexp_replace(F.regexp_replace("path", "/[^/]*$", ""), f"/{BUCKET}=[0-9]+$", "")
     rows = (
-        files.withColumn("dir", leaf)
+        files.withColumn("dir", F.regexp_replace("path", "/[^/]*$", ""))
         .groupBy("commit_id", "partition", "dir")
         .agg(
             F.any_value("values").alias("values"),
@@ -150,45 +184,90 @@ def commit_parts(files: DataFrame) -> list[Part]:
     ]
 
 
+def _of_values(spec: TableSpec, chosen: Sequence[dict[str, str]]) -> Column:
+    """Whether the range columns of a row have one of these values, given as folder names have them."""
+    typed = [
+        [F.lit(None if v[c] == NULL_PARTITION else v[c]).cast(spec.field(c).dataType) for c in spec.range_cols] for v in chosen
+    ]
+    if len(spec.range_cols) > 1:
+        return F.struct(*[F.col(quoted(c)) for c in spec.range_cols]).isin(
+            [F.struct(*[x.alias(c) for x, c in zip(row, spec.range_cols)]) for row in typed]
+        )
+    c = spec.range_cols[0]
+    known = [row[0] for row, v in zip(typed, chosen) if v[c] != NULL_PARTITION]
+    among = F.coalesce(F.col(quoted(c)).isin(known), F.lit(False)) if known else F.lit(False)
+    return among | F.col(quoted(c)).isNull() if len(known) < len(chosen) else among
+
+
+def _picked_rows(df: DataFrame, spec: TableSpec, picked: Sequence[tuple], whole: frozenset[str]) -> DataFrame:
+    """Rows of chosen commits in chosen partitions, without their dead buckets."""
+    by_commit: dict[str, list[dict]] = {}
+    for p, c in picked:
+        by_commit.setdefault(c.id, []).append(p.values)
+    complete = [c for c in by_commit if c in whole or not spec.range_cols]
+    cond = F.col(COMMIT).isin(complete) if complete else F.lit(False)
+    for c, values in by_commit.items():
+        if c not in complete:
+            cond = cond | ((F.col(COMMIT) == c) & _of_values(spec, values))
+    df = df.filter(cond)
+    dead: dict[tuple, list[dict]] = {}
+    for p, c in picked:
+        if c.dead:
+            dead.setdefault((c.id, c.dead), []).append(p.values)
+    for (c, buckets), values in dead.items():
+        gone = (F.col(COMMIT) == c) & bucket_id(spec.bucket_cols, spec.buckets).isin(list(buckets))
+        df = df.filter(~(gone & _of_values(spec, values) if spec.range_cols else gone))
+    return df
+
+
+def by_writes(picked: Sequence[tuple]) -> dict[str, list[tuple]]:
+    """(partition, commit) pairs by the write that made the commit."""
+    out: dict[str, list[tuple]] = {}
+    for p, c in picked:
+        out.setdefault(c.dir.split("/", 1)[0].removeprefix(f"{WRITE}="), []).append((p, c))
+    return out
+
+
 def scan(
-    spark: SparkSession,
-    root: str,
-    spec: TableSpec,
-    commits: Iterable[tuple[str, str, Sequence[str], Sequence[str] | None]],
-    whole: frozenset[str] = frozenset(),
+    spark: SparkSession, root: str, spec: TableSpec, picked: Sequence[tuple], whole: frozenset[str] = frozenset(),
+    paths: bool = False,
 ) -> Versions | None:
-    """Rows of chosen commits.
+    """Rows of chosen (partition, commit) pairs, with the id of their commit.
 
-    ``commits`` are (id, dir, columns, replaced files). Commits with equal column
-    sets share one scan; ids in ``whole`` are read by their commit directory.
+    ``whole`` are commits all of whose partitions are chosen. Rows of one write of a keyed
+    table are a bucketed relation; a union would lose the buckets. ``paths`` adds
+    the relative path of a row's file as `__file`.
     """
-    groups: dict[frozenset[str], dict] = {}
-    for cid, directory, cols, skip in commits:
-        g = groups.setdefault(frozenset(cols), {"paths": {}, "seqs": set(), "skip": []})
-        path = f"{COMMIT}={cid}" if cid in whole else directory
-        g["paths"][f"{data_path(root)}/{path}"] = None
-        g["seqs"].add(commit_order(cid))
-        g["skip"].extend(skip or ())
-    rows: DataFrame | None = None
+    if not picked:
+        return None
     carried: dict[frozenset[str], tuple[int, ...]] = {}
-    for cols, g in sorted(groups.items(), key=lambda kv: min(kv[1]["seqs"])):
-        fields = [spec.field(c) for c in spec.columns if c in cols]
-        schema = T.StructType([*fields, T.StructField(COMMIT, T.StringType())])
+    for c in {c.id: c for _, c in picked}.values():
+        cols = frozenset(c.cols)
+        carried[cols] = tuple(sorted((*carried.get(cols, ()), commit_order(c.id))))
+    known = [c for c in spec.columns if any(c in cols for cols in carried)]
+    wanted = [*[F.col(quoted(c)) for c in known], F.col(COMMIT)]
+    writes = by_writes(picked)
+    if spec.keys and len(writes) == 1 and not paths:
+        rows = _picked_rows(_relation(spark, root, spec, *writes), spec, picked, whole).select(*wanted)
+    else:
+        fields = [T.StructField(c, spec.field(c).dataType) for c in spec.columns]
+        schema = T.StructType([*fields, T.StructField(WRITE, T.StringType()), T.StructField(COMMIT, T.StringType())])
+        dirs = dict.fromkeys(
+            f"{data_path(root)}/" + (c.dir.split(f"/{COMMIT}=")[0] + f"/{COMMIT}={c.id}" if c.id in whole else c.dir) for _, c in picked
+        )
+        rows = spark.read.schema(schema).option("basePath", data_path(root)).parquet(*dirs)
         if spec.keys:
-            schema.add(BUCKET, T.IntegerType())
-        df = spark.read.schema(schema).option("basePath", data_path(root)).parquet(*g["paths"])
-        if g["skip"]:
-            df = df.filter(~relative_path(F.col("_metadata.file_path")).isin(g["skip"]))
-        seq = F.substring(COMMIT, 1, _ORDER_DIGITS).cast("bigint").alias(SEQ)
-        df = df.select(*[F.col(quoted(f.name)) for f in fields], seq)
-        carried[cols] = tuple(sorted(g["seqs"]))
-        rows = df if rows is None else rows.unionByName(df, allowMissingColumns=True)
-    if rows is None:
-        return None
-    return Versions(rows, carried, tuple(c for c in spec.order_cols if c in rows.columns))
+            rows = _picked_rows(rows, spec, picked, whole)
+        holes = [{"partition": p.desc, "commit_id": c.id, "attempt": a} for p, c in picked for a in c.holes]
+        path = relative_path(F.col("_metadata.file_path")).alias("__file")
+        rows = rows.select(*wanted, *([path] if holes or paths else []))
+        if holes:
+            rows = rows.join(replaced_files(spark, root, holes).toDF("__file"), "__file", "left_anti")
+        rows = rows.select(*wanted, *([F.col("__file")] if paths else []))
+    return Versions(rows, carried, tuple(c for c in spec.order_cols if c in known))
 
 
 __all__ = [
-    "NULL_PARTITION", "UNPARTITIONED", "Part", "commit_files", "commit_id", "commit_order",
+    "NULL_PARTITION", "UNPARTITIONED", "Part", "by_writes", "commit_files", "commit_id", "commit_order",
     "commit_parts", "hash_bucketed", "scan", "write_commits",
 ]

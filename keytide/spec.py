@@ -7,9 +7,10 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
+WRITE = "__write"
 COMMIT = "__commit"
 BUCKET = "__bucket"
-RESERVED = (COMMIT, BUCKET)
+RESERVED = (WRITE, COMMIT, BUCKET)
 
 
 class TableError(Exception):
@@ -21,8 +22,10 @@ class TableSpec:
     """Schema, partitioning and write rules of one table.
 
     ``range_cols`` are directory partitions, ``keys`` the hash-bucketed columns.
-    The primary key of a row is both together. ``order_cols`` rank rows of one
-    key inside one commit; without them such rows collapse in arbitrary order.
+    The primary key of a row is both together. ``bucket_by`` names the keys whose hash
+    places a row, all of them by default; tables with the same buckets over the columns
+    of a join are joined in place. ``order_cols`` rank rows of one key inside
+    one commit; without them such rows collapse in arbitrary order.
     """
 
     schema: T.StructType
@@ -32,6 +35,7 @@ class TableSpec:
     cdc_col: str | None = None
     append_only: bool = False
     order_cols: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
     write_options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -49,6 +53,8 @@ class TableSpec:
             raise TableError("a column cannot be both range and hash partition")
         if self.keys and (self.buckets is None or self.buckets < 1):
             raise TableError("a table with hash keys needs a positive bucket count")
+        if set(self.bucket_by) - set(self.keys):
+            raise TableError(f"buckets may be made of the keys {list(self.keys)} only")
         if names and len(set(self.range_cols) | set(self.keys)) == len(names):
             raise TableError("not all columns may be partition columns")
         if self.cdc_col is not None and self.cdc_col not in names:
@@ -58,6 +64,10 @@ class TableSpec:
     def primary_key(self) -> list[str]:
         return [*self.range_cols, *self.keys] if self.keys else []
 
+    @property
+    def bucket_cols(self) -> list[str]:
+        return list(self.bucket_by or self.keys)
+
     @property
     def columns(self) -> list[str]:
         """Data columns first, range columns last."""
@@ -84,6 +94,7 @@ class TableSpec:
                 "cdc_col": self.cdc_col,
                 "append_only": self.append_only,
                 "order_cols": list(self.order_cols),
+                "bucket_by": list(self.bucket_by),
                 "write_options": self.write_options,
             }
         )
@@ -99,5 +110,6 @@ class TableSpec:
             cdc_col=d["cdc_col"],
             append_only=d["append_only"],
             order_cols=tuple(d["order_cols"]),
+            bucket_by=tuple(d["bucket_by"]),
             write_options=d["write_options"],
         )

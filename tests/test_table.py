@@ -50,21 +50,23 @@ def test_value_filters_see_merged_rows_under_every_plan(base, frame, rows, monke
 def test_plans_are_chosen_by_logged_sizes(base, frame, monkeypatch):
     base.upsert(frame([(20201101, 1, 11)], F1))
     part = base.state().partitions["range=20201101"]
-    deltas, size = part.commits[1:], part.commits[0].bytes
+    spec = base.spec()
     assert [c.rows for c in part.commits] == [3, 1]
-    assert base._way(deltas, size) == "full"
+    assert base._way(spec, [part], {}) == ("full", True)
     monkeypatch.setattr(table_module, "OVERLAY_MIN_BASE", 0)
-    assert base._way(deltas, size) == "broadcast"
+    assert base._way(spec, [part], {}) == ("broadcast", True)
     monkeypatch.setattr(table_module, "OVERLAY_ROWS", 0)
-    assert base._way(deltas, size) == "hash"
+    assert base._way(spec, [part], {}) == ("hash", True)
+    monkeypatch.setattr(table_module, "MAX_BASES", 0)
+    assert base._way(spec, [part], {}) == ("hash", False)
     monkeypatch.setattr(table_module, "HASH_ROWS", 0)
-    assert base._way(deltas, size) == "fold"
+    assert base._way(spec, [part], {}) == ("fold", False)
 
 
 def test_key_filter_reaches_the_scan_and_compacted_reads_do_not_shuffle(base, frame, monkeypatch):
     base.upsert(frame([(20201101, 1, 11), (20201102, 4, 9)], F1))
     for way in ("hash", "fold", "broadcast"):
-        monkeypatch.setattr(KeyedTable, "_way", lambda *a, w=way: w)
+        monkeypatch.setattr(KeyedTable, "_way", lambda *a, w=way: (w, w != "fold"))
         plan = base.read().filter("hash = 1")._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
         assert plan.count("EqualTo(hash,1)") >= (1 if way == "fold" else 2), way
     pruned = base.read(where="range = 20201102")._jdf.queryExecution().toString()
@@ -198,10 +200,10 @@ def test_file_log_follows_the_snapshot(base, spark, frame):
 
 
 def test_orphans_are_files_nobody_logged(base, spark, frame):
-    frame([(5, 5)], "a int, b int").coalesce(1).write.parquet(f"{base.root}/data/__commit=000000000009-x")
+    frame([(5, 5)], "a int, b int").coalesce(1).write.parquet(f"{base.root}/data/__write=x/__commit=000000000009-x")
     assert base.find_orphans(timedelta(days=1)).count() == 0
     found = [r["path"] for r in base.find_orphans(timedelta(0)).collect()]
-    assert len(found) == 1 and found[0].startswith("__commit=000000000009-x/")
+    assert len(found) == 1 and found[0].startswith("__write=x/__commit=000000000009-x/")
 
 
 def test_drop_partition(base, rows):
