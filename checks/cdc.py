@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.inputs import BUCKETS, CHANGE_OP, EVENT_MS, EVENT_ROW, change_events, scratch, table
+from checks.inputs import BUCKETS, CHANGE_OP, EVENT_MS, EVENT_ROW, bucketed_sql, change_events, scratch, table
 from keytide import KeyedTable
 from keytide.functions import decode as D
 from keytide.functions.columns import route_by_key
@@ -63,11 +63,9 @@ def split(spark, sf):
 
 
 def route(spark, sf):
-    """Every change of a key lands in one bucket, and buckets cover all rows."""
-    e = table(spark, sf, "events")
-    routed = route_by_key(e, ["user_id"], BUCKETS)
-    per_key = routed.groupBy("user_id").agg(F.count_distinct("bucket").alias("buckets"), F.count(F.lit(1)).alias("n"))
-    return per_key.select("user_id", "buckets", "n")
+    """The bucket of every change; all changes of a key have one."""
+    routed = route_by_key(table(spark, sf, "events"), ["user_id"], BUCKETS)
+    return routed.groupBy("user_id", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _encoded(spark, sf):
@@ -163,7 +161,8 @@ SQL = {
 ) WHERE NOT (op = 'delete')""",
     "d7_split_ddl": "SELECT 't' || user_id AS \"table\", CASE WHEN event_type <> 'view' THEN 'row'"
     " WHEN value > 10 THEN 'alter' ELSE 'create' END AS statement, count(*) AS n FROM events GROUP BY ALL",
-    "d8_route_by_key": "SELECT user_id, 1::BIGINT AS buckets, count(*) AS n FROM events GROUP BY user_id",
+    "d8_route_by_key": f"WITH {bucketed_sql('events', 'user_id', BUCKETS, 'b')}"
+    " SELECT user_id, bucket, count(*) AS n FROM b GROUP BY user_id, bucket",
     "d10_schema_from_source": """WITH c AS (
   SELECT p_brand AS table_name, 'c' || p_partkey AS column_name, p_size AS position,
          ['int', 'BIGINT', 'varchar(255)', 'char(3)', 'decimal(10, 2)', 'numeric', 'geometry', 'mediumblob',

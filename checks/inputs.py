@@ -178,3 +178,38 @@ def change_events(spark: SparkSession, sf: str) -> DataFrame:
 CHANGE_OP = "CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END"
 # Milliseconds since 1970 of an event.
 EVENT_MS = "CAST(floor(epoch_us(ts) / 1000.0) AS BIGINT)"
+
+
+# -- buckets --------------------------------------------------------------------
+
+_WORD = 1 << 32
+# The constants of the 32-bit Murmur3 hash, and the seed of bucket numbers.
+_MULTIPLIERS, _FINAL, _ADD, _SEED = (0xCC9E2D51, 0x1B873593), (0x85EBCA6B, 0xC2B2AE35), 0xE6546B64, 42
+
+
+def bucketed_sql(source: str, key: str, buckets: int, name: str) -> str:
+    """CTEs that end in ``name``: the rows of ``source`` with the bucket of a bigint key, step by step."""
+    def turned(x: str, by: int) -> str:
+        return f"((({x} << {by}) | ({x} >> {32 - by})) % {_WORD})"
+
+    first, steps = f"{name}_0", []
+
+    def step(expr: str) -> None:
+        old = f"{name}_{len(steps)}"
+        steps.append(f"{name}_{len(steps) + 1} AS (SELECT * EXCLUDE (h, k), {expr} FROM {old})")
+
+    for half in ("lo", "hi"):
+        step(f"h, ({half} * {_MULTIPLIERS[0]}) % {_WORD} AS k")
+        step(f"h, {turned('k', 15)} AS k")
+        step(f"xor(h, (k * {_MULTIPLIERS[1]}) % {_WORD}) AS h, k")
+        step(f"({turned('h', 13)} * 5 + {_ADD}) % {_WORD} AS h, k")
+    step("xor(h, 8::HUGEINT) AS h, k")
+    step(f"(xor(h, h >> 16) * {_FINAL[0]}) % {_WORD} AS h, k")
+    step(f"(xor(h, h >> 13) * {_FINAL[1]}) % {_WORD} AS h, k")
+    step("xor(h, h >> 16) AS h, k")
+    signed = f"(CASE WHEN h >= {_WORD // 2} THEN h - {_WORD} ELSE h END)"
+    return (
+        f"{first} AS (SELECT *, {key}::HUGEINT % {_WORD} AS lo, {key}::HUGEINT // {_WORD} AS hi, {_SEED}::HUGEINT AS h, 0::HUGEINT AS k"
+        f" FROM {source}), {', '.join(steps)}, {name} AS (SELECT * EXCLUDE (h, k, lo, hi),"
+        f" ((({signed} % {buckets}) + {buckets}) % {buckets})::INT AS bucket FROM {name}_{len(steps)})"
+    )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.inputs import MERGED, ORDER_COLUMNS, order_deltas, order_table, table
-from keytide.operators.bucketed import cobucketed_join
+from checks.inputs import MERGED, ORDER_COLUMNS, order_deltas, order_table, scratch, table
+from keytide import KeyedTable
+from keytide.operators.bucketed import cobucketed_join, join_tables
 from keytide.plans.compare import fingerprint, same_rows
 from keytide.plans.joins import equi_join
 from keytide.plans.merge import merge_deltas
@@ -59,6 +60,16 @@ def cobucketed(spark, sf):
     return cobucketed_join(o, li, _ON, 8).select(*_COLS)
 
 
+def tables_on_buckets(spark, sf):
+    """Two keyed tables, one with changes, joined on the key that places their rows."""
+    o, li = _sides(spark, sf)
+    a = KeyedTable.create(spark, scratch(spark, "j8-o"), o, keys=["o_orderkey"], buckets=8, unique_keys=True)
+    b = KeyedTable.create(spark, scratch(spark, "j8-l"), li, keys=["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], buckets=8,
+                          bucket_by=["l_orderkey"], unique_keys=True)
+    a.upsert(o.filter("o_totalprice > 200000").select("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey")))
+    return join_tables(a, b, _ON).select(*_COLS)
+
+
 def rows_differ(spark, sf):
     o = table(spark, sf, "orders")
     return same_rows(o, merge_deltas(order_deltas(spark, sf), ["o_orderkey"]).select(*o.columns))
@@ -105,6 +116,7 @@ QUERIES = {
     "j6_left_anti": _half("left_anti"),
     "j7_existence": existence,
     "j8_cobucketed": cobucketed,
+    "j8_tables_on_buckets": tables_on_buckets,
     "q1_same_rows": rows_differ,
     "q1_same_rows_after_compaction": rows_equal_after_compaction,
     "q2_fingerprint": checksum,
@@ -138,6 +150,9 @@ SQL = {
     "j7_existence": f"{_SIDES} SELECT o_orderkey, EXISTS (SELECT 1 FROM li WHERE l_orderkey = o_orderkey)"
     " AS has_items FROM o",
     "j8_cobucketed": f"{_SELECT} JOIN li ON o_orderkey = l_orderkey",
+    "j8_tables_on_buckets": f"{_SIDES} SELECT {', '.join(_COLS)} FROM (SELECT * REPLACE"
+    " (CASE WHEN o_totalprice > 200000 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey) FROM o)"
+    " JOIN li ON o_orderkey = l_orderkey",
     "q1_same_rows": _changed_sql(),
     "q2_fingerprint": f"""{MERGED}, plain AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,

@@ -12,7 +12,9 @@ from checks.inputs import (
     ORDER_COLUMNS,
     ORDER_VERSIONS,
     YEARLY,
+    YEARLY_BUCKETS,
     YEARLY_COLUMNS,
+    bucketed_sql,
     merged_sql,
     order_table,
     scratch,
@@ -21,6 +23,8 @@ from checks.inputs import (
     yearly_table,
 )
 from keytide import KeyedTable
+from keytide.functions.columns import bucket_id
+from keytide.sources.log import bucket_of, read_files
 
 _ORDER = ORDER_COLUMNS.split(", ")
 _YEARLY = YEARLY_COLUMNS.split(", ")
@@ -91,6 +95,13 @@ def save_ignore(spark, sf):
     return same.read().select(*_YEARLY)
 
 
+def read_random(spark, sf):
+    """A random condition that every row meets keeps every partition and row."""
+    t = yearly_table(spark, sf, "s2r")
+    t.upsert(yearly(table(spark, sf, "orders")).filter("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("Z")))
+    return t.read("rand(7) < 2 AND o_year >= 1997").select(*_YEARLY)
+
+
 def insert_by_position(spark, sf):
     p = table(spark, sf, "part")
     t = KeyedTable.create(spark, scratch(spark, "s10"), p)
@@ -120,12 +131,12 @@ def create_table(spark, sf):
 
 
 def bucketed_write(spark, sf):
-    """Rows per bucket, read back from the bucket directories."""
-    t = order_table(spark, sf, "s13", deltas=1)
-    files = t.live_files()
-    return files.groupBy("bucket").agg(F.sum("rows").cast("bigint").alias("n")).withColumn(
-        "bucketed", F.col("bucket").isNotNull()
-    ).groupBy("bucketed").agg(F.sum("n").cast("bigint").alias("n"))
+    """Rows and keys of every bucket, as the names of the files tell them apart."""
+    rows = order_table(spark, sf, "s13", deltas=1).read()
+    bucket = bucket_of(F.concat(F.lit("/"), F.col("_metadata.file_name")))
+    return rows.withColumn("bucket", bucket).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")
+    )
 
 
 def publish_partition(spark, sf):
@@ -150,6 +161,7 @@ def filter_after_merge(spark, sf):
 
 def partition_and_data_filter(spark, sf):
     t = yearly_table(spark, sf, "p3")
+    t.upsert(yearly(table(spark, sf, "orders")).filter("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("Z")))
     return t.read().filter("o_year = 1997 and o_orderpriority = '2-HIGH'").select(*_YEARLY)
 
 
@@ -205,6 +217,18 @@ def delete_rows(spark, sf):
     return t.read().select(*_YEARLY)
 
 
+def delete_in_buckets(spark, sf):
+    """Buckets that a delete wrote anew, found in the log, and their rows afterwards."""
+    t = yearly_table(spark, sf, "u8b")
+    t.delete("o_orderkey % 499 = 0")
+    dead = read_files(spark, t.root).filter("file_op = 'del'").select("partition", "bucket")
+    new = t.read().withColumn("bucket", bucket_id(["o_orderkey"], YEARLY_BUCKETS)).groupBy(
+        F.concat(F.lit("o_year="), F.col("o_year").cast("string")).alias("partition"), "bucket"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    left = dead.distinct().join(new, ["partition", "bucket"], "left")
+    return left.select(F.split("partition", "=")[1].cast("bigint").alias("o_year"), "bucket", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def delete_rows_unkeyed(spark, sf):
     t = yearly_table(spark, sf, "u8-unkeyed", keys=False)
     t.delete(["o_year <= 1998", _NULLABLE])
@@ -335,7 +359,9 @@ def orphans(spark, sf):
 QUERIES = {
     "s1_read_table": read_table,
     "s2_read_pruned": read_pruned,
+    "s2_read_random": read_random,
     "s3_read_partition_path": read_partition_path,
+    "u8_delete_in_buckets": delete_in_buckets,
     "s4_read_as_of": read_as_of,
     "s5_read_commits": read_commits,
     "s6_append": append,
@@ -375,6 +401,9 @@ _Y = f"WITH {YEARLY} SELECT {{cols}} FROM yearly"
 _PLAIN = _Y.format(cols=YEARLY_COLUMNS)
 
 
+_LATER = "CASE WHEN o_orderstatus = 'F' THEN 'Z' ELSE o_orderstatus END"
+
+
 def _status(case: str) -> str:
     return YEARLY_COLUMNS.replace("o_orderstatus", f"{case} AS o_orderstatus")
 
@@ -410,14 +439,20 @@ SQL = {
     "s11_insert_overwrite_partition": f"{_PLAIN} WHERE o_year <> 1998 UNION ALL SELECT {ORDER_COLUMNS}, 1998"
     " FROM yearly WHERE o_orderstatus = 'P'",
     "s12_create_table": _PLAIN,
-    "s13_bucketed_write": "SELECT true AS bucketed, count(*) AS n FROM orders",
+    "s13_bucketed_write": f"WITH {bucketed_sql('orders', 'o_orderkey', BUCKETS, 'b')}"
+    " SELECT bucket, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM b GROUP BY bucket",
     "s14_publish_partition": f"WITH {YEARLY} SELECT "
     + _status("CASE WHEN o_totalprice < 50000 THEN 'U' ELSE o_orderstatus END")
     + " FROM yearly WHERE o_year IN (1996, 1997)",
     "p1_projection_without_key": f"{MERGED} SELECT o_orderstatus, o_totalprice FROM merged",
     "p2_filter_after_merge": f"{MERGED} SELECT {ORDER_COLUMNS} FROM merged"
     " WHERE o_totalprice < 200000 AND o_orderstatus <> 'X'",
-    "p3_partition_and_data_filter": f"{_PLAIN} WHERE o_year = 1997 AND o_orderpriority = '2-HIGH'",
+    "p3_partition_and_data_filter": f"WITH {YEARLY} SELECT {_status(_LATER)} FROM yearly"
+    " WHERE o_year = 1997 AND o_orderpriority = '2-HIGH'",
+    "s2_read_random": f"WITH {YEARLY} SELECT {_status(_LATER)} FROM yearly WHERE o_year >= 1997",
+    "u8_delete_in_buckets": f"""WITH {YEARLY}, {bucketed_sql('yearly', 'o_orderkey', YEARLY_BUCKETS, 'b')}
+SELECT o_year, bucket, count(*) FILTER (WHERE o_orderkey % 499 <> 0) AS n FROM b GROUP BY o_year, bucket
+HAVING count(*) FILTER (WHERE o_orderkey % 499 = 0) > 0""",
     "u1_upsert": f"WITH {ORDER_VERSIONS}, {merged_sql(only='seq <= 1')} SELECT {ORDER_COLUMNS} FROM merged",
     "u2_upsert_rewrite": _REWRITE.format(cond="true"),
     "u4_upsert_evolving": f"SELECT {ORDER_COLUMNS}, CASE WHEN o_totalprice > 250000 THEN o_orderpriority || '!' END"
