@@ -160,14 +160,19 @@ def fingerprint_links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     return parts.mapInArrow(_joined, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """id, fp and component_id of every row."""
-    rows = cut(fingerprints(df.select(id_col, text), text, shingle), "fingerprints")
+def _groups(rows: DataFrame, id_col: str) -> DataFrame:
+    """fp, component (of fingerprints) and the smallest id with this fingerprint."""
     fps = rows.groupBy("fp").agg(F.min(id_col).alias("first"))
     linked = components(fingerprint_links(fps.select("fp")))
-    groups = fps.join(linked, fps["fp"] == linked["node"], "left").select(
+    return fps.join(linked, fps["fp"] == linked["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """id, fp and component_id of every row."""
+    rows = cut(fingerprints(df.select(id_col, text), text, shingle), "fingerprints")
+    groups = _groups(rows, id_col)
     least = groups.groupBy("component").agg(F.min("first").alias("component_id"))
     return rows.join(groups.join(least, "component").select("fp", "component_id"), "fp").select(
         id_col, "fp", "component_id"
@@ -175,10 +180,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
 
 
 def deduplicated(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One row per component, the one with the smallest doc_id. Rows that repeat this
-    doc_id are repeats or clashes; one of them stays. Rows without an id all stay."""
-    groups = near_duplicates(df, shingle=shingle)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return df.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(df.columns).unionByName(
-        df.filter("doc_id IS NULL")
+    """One row per component: the smallest doc_id, those without one last, then the smallest
+    hash of the text. Of rows with this doc_id and text the one with the smallest hash of its columns
+    stays, so reruns agree."""
+    body = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = cut(fingerprints(df.select("doc_id", "text", body.alias("body")), "text", shingle), "fingerprints")
+    groups = _groups(rows, "doc_id").select("fp", "component")
+    of_print = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body")).alias("one"))
+    kept = of_print.join(groups, "fp").groupBy("component").agg(F.min("one").alias("one")).select(
+        F.col("one.doc_id").alias("__doc"), F.col("one.body").alias("__body")
     )
+    found = df.join(kept, df["doc_id"].eqNullSafe(F.col("__doc")) & (body == F.col("__body")), "left_semi")
+    cells = F.struct(*df.columns)
+    same = F.struct(F.col("doc_id").alias("__doc"), body.alias("__body"))
+    return found.groupBy(same).agg(F.min_by(cells, F.xxhash64(F.to_json(cells))).alias("__row")).select("__row.*")
