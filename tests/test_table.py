@@ -37,7 +37,7 @@ def test_upsert_partial_columns_needs_schema_merge(base, frame, rows):
 
 @pytest.mark.parametrize("way", ["full", "hash", "broadcast", "fold"])
 def test_value_filters_see_merged_rows_under_every_plan(base, frame, rows, monkeypatch, way):
-    monkeypatch.setattr(KeyedTable, "_way", lambda *a: way)
+    monkeypatch.setattr(KeyedTable, "_way", lambda *a: (way, way == "hash"))
     base.upsert(frame([(20201102, 1, 1)], F1))
     base.upsert(frame([(20201102, 4, 5), (20201101, 9, None)], F1))
     want = [(20201101, 1, 1), (20201101, 2, 2), (20201102, 1, 1)]
