@@ -33,6 +33,19 @@ def append_sink(spark, sf):
     return t.read().select(*_EVENTS)
 
 
+def creating_sink(spark, sf):
+    """No table yet: the first batch creates it; replays of both runs change nothing."""
+    df = _stream(spark, sf).select(*_EVENTS)
+    root = scratch(spark, "t1-new")
+    shape = {"range_cols": ["event_type"], "keys": ["event_id"], "buckets": BUCKETS}
+    for attempt in range(2):
+        _finish(sinks.write_stream(df, root, "t1-new", scratch(spark, f"t1-new-cp{attempt}"), create=shape))
+    t = KeyedTable.for_path(spark, root)
+    last = t.versions().groupBy("partition").agg(F.max("version").alias("version"))
+    at = F.concat(F.lit("event_type="), F.col("event_type"))
+    return t.read().join(last, at == F.col("partition")).select(*_EVENTS, "version")
+
+
 def append_sink_keyed(spark, sf):
     """A keyed table takes appended batches as merges: one row per user remains."""
     df = _stream(spark, sf).select("user_id", "event_id", "event_type")
@@ -141,6 +154,7 @@ def change_stream(spark, sf):
 QUERIES = {
     "s15_t1_append_sink": append_sink,
     "t1_append_sink_keyed": append_sink_keyed,
+    "t1_creating_sink": creating_sink,
     "t2_complete_sink": complete_sink,
     "t3_update_sink": update_sink,
     "t4_windowed_counts": windowed,
@@ -158,6 +172,7 @@ SQL = {
     "s15_t1_append_sink": f"SELECT {_COLS} FROM events",
     "t1_append_sink_keyed": "SELECT user_id, event_id, event_type FROM events"
     " QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1",
+    "t1_creating_sink": f"SELECT {_COLS}, CAST(0 AS BIGINT) AS version FROM events",
     "t2_complete_sink": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "t3_update_sink": "SELECT user_id, count(*) AS n, max(event_id) AS last FROM events GROUP BY user_id",
     "t4_windowed_counts": """WITH w AS (

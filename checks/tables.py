@@ -356,6 +356,22 @@ def orphans(spark, sf):
     ).agg((F.count(F.lit(1)) > 0).alias("found"))
 
 
+def remove_orphans(spark, sf):
+    """Per priority: orders read after a cleanup, whether files of a lost write went, whether any is left."""
+    orders = table(spark, sf, "orders")
+    t = KeyedTable.create(spark, scratch(spark, "c5-remove"), orders, keys=["o_orderkey"], buckets=BUCKETS, unique_keys=True)
+    orders.filter("o_orderstatus = 'P'").write.partitionBy("o_orderpriority").parquet(
+        f"{t.root}/data/__write=lost/__commit=000000000000-lost"
+    )
+    priority = F.regexp_extract("path", "o_orderpriority=([^/]*)/", 1).alias("o_orderpriority")
+    done = t.remove_orphans(timedelta(0), dry_run=False).filter("removed").select(priority, F.lit(1).alias("removed"))
+    left = t.find_orphans(timedelta(0)).select(priority, F.lit(1).alias("remaining"))
+    read = t.read().groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    return read.join(done.distinct(), "o_orderpriority", "left").join(left.distinct(), "o_orderpriority", "left").select(
+        "o_orderpriority", "n", F.col("removed").isNotNull().alias("removed"), F.col("remaining").isNotNull().alias("remaining")
+    )
+
+
 QUERIES = {
     "s1_read_table": read_table,
     "s2_read_pruned": read_pruned,
@@ -395,6 +411,7 @@ QUERIES = {
     "c3_compact_when_deep": compact_when_deep,
     "c4_compact_oldest": compact_oldest,
     "c5_orphans": orphans,
+    "c5_remove_orphans": remove_orphans,
 }
 
 _Y = f"WITH {YEARLY} SELECT {{cols}} FROM yearly"
@@ -503,4 +520,6 @@ HAVING count(*) FILTER (WHERE o_orderkey % 499 = 0) > 0""",
   FROM named GROUP BY o_year, o_orderstatus""",
     "c4_compact_oldest": f"{MERGED} SELECT {ORDER_COLUMNS} FROM merged",
     "c5_orphans": "SELECT o_orderpriority, true AS found FROM orders WHERE o_orderstatus = 'P' GROUP BY o_orderpriority",
+    "c5_remove_orphans": "SELECT o_orderpriority, count(*) AS n, bool_or(o_orderstatus = 'P') AS removed,"
+    " false AS remaining FROM orders GROUP BY o_orderpriority",
 }

@@ -105,6 +105,17 @@ def _as_list(where: Where) -> list[Column | str]:
     return [where] if isinstance(where, (Column, str)) else list(where)
 
 
+def described(
+    schema: T.StructType, range_cols: Sequence[str] = (), keys: Sequence[str] = (), buckets: int | None = None, **props
+) -> TableSpec:
+    """Table description; primary key columns become NOT NULL."""
+    fields = [
+        T.StructField(f.name, f.dataType, f.nullable and f.name not in (*range_cols, *keys), f.metadata)
+        for f in schema.fields
+    ]
+    return TableSpec(T.StructType(fields), tuple(range_cols), tuple(keys), buckets, **props)
+
+
 class KeyedTable:
     """Handle on one table. Every call reads the log anew; nothing is cached.
 
@@ -128,17 +139,6 @@ class KeyedTable:
         L.read_versions(spark, table.root)
         return table
 
-    @staticmethod
-    def _spec_of(
-        schema: T.StructType, range_cols: Sequence[str], keys: Sequence[str], buckets: int | None, props: dict
-    ) -> TableSpec:
-        """Table description; primary key columns become NOT NULL."""
-        fields = [
-            T.StructField(f.name, f.dataType, f.nullable and f.name not in (*range_cols, *keys), f.metadata)
-            for f in schema.fields
-        ]
-        return TableSpec(T.StructType(fields), tuple(range_cols), tuple(keys), buckets, **props)
-
     @classmethod
     def define(
         cls,
@@ -152,7 +152,7 @@ class KeyedTable:
     ) -> KeyedTable:
         """Create an empty table from a schema; primary key columns become NOT NULL."""
         table = cls(spark, root)
-        spec = cls._spec_of(schema, range_cols, keys, buckets, props)
+        spec = described(schema, range_cols, keys, buckets, **props)
         L.publish(spark, table.root, 0, [{"kind": "spec", "spec": spec.to_json()}], L.new_attempt())
         return table
 
@@ -183,7 +183,7 @@ class KeyedTable:
             raise TableError(f"{root} exists")
         df = S.drop_null_type(df)
         table = cls(spark, root)
-        spec = cls._spec_of(df.schema, range_cols, keys, buckets, props)
+        spec = described(df.schema, range_cols, keys, buckets, **props)
         if unique_keys:
             table._assert_unique(spec, df)
         table._write(State(spec, -1, new=True), [df], L.APPEND, clean=unique_keys)
@@ -1098,7 +1098,8 @@ class KeyedTable:
     def find_orphans(self, retention: timedelta = timedelta(days=7)) -> DataFrame:
         """Data files older than the retention that no log entry mentions.
 
-        Deleting them is left to the tools of the storage.
+        The retention must exceed the longest write: files of a write that has not
+        published yet are orphans too.
         """
         cutoff = datetime.now(UTC) - retention
         base = L.data_path(self.root)
@@ -1117,6 +1118,21 @@ class KeyedTable:
             .join(known, "path", "left_anti")
         )
 
+    def remove_orphans(self, retention: timedelta = timedelta(days=7), dry_run: bool = True) -> DataFrame:
+        """Delete orphans in executor tasks and report them: path, size, removed, problem.
+
+        ``dry_run`` only reports. The report is a written table, so nothing is deleted again
+        when it is read. A file that is gone already, as after a lost executor, counts as
+        removed; one that cannot be deleted keeps its reason in ``problem``.
+        """
+        found = self.find_orphans(retention).select("path", "size")
+        if dry_run:
+            return found.select("*", F.lit(False).alias("removed"), F.lit(None).cast("string").alias("problem"))
+        report = found.mapInArrow(storage.remover(L.data_path(self.root)), storage.REMOVED)
+        target = scratch_dir(self.spark, "removed")
+        report.write.parquet(target)
+        return self.spark.read.schema(storage.REMOVED).parquet(target)
+
     # -- schema -------------------------------------------------------------------
 
     def alter(self, changes: Sequence[dict]) -> None:

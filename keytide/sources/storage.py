@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -267,7 +269,39 @@ def scan(
     return Versions(rows, carried, tuple(c for c in spec.order_cols if c in known))
 
 
+REMOVED = "path string, size bigint, removed boolean, problem string"
+
+
+def remover(base: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task that deletes the files of its rows (path, size), paths being relative to ``base``."""
+    # Arrow's name of the object store that Hadoop calls s3a or s3n
+    scheme, colon, rest = base.partition("://")
+    base = f"s3://{rest}" if scheme in ("s3a", "s3n") else base
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, top = fs.FileSystem.from_uri(base)
+        for batch in batches:
+            problems = [_remove(files, f"{top}/{path}") for path in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([p is None for p in problems]), pa.array(problems, pa.string())],
+                names=["path", "size", "removed", "problem"],
+            )
+
+    return run
+
+
+def _remove(files: fs.FileSystem, path: str) -> str | None:
+    """Delete a file; the reason when that fails. What is gone already counts as deleted."""
+    try:
+        files.delete_file(path)
+    except FileNotFoundError:
+        return None
+    except OSError as e:
+        return str(e)
+    return None
+
+
 __all__ = [
-    "NULL_PARTITION", "UNPARTITIONED", "Part", "by_writes", "commit_files", "commit_id", "commit_order",
-    "commit_parts", "hash_bucketed", "scan", "write_commits",
+    "NULL_PARTITION", "REMOVED", "UNPARTITIONED", "Part", "by_writes", "commit_files", "commit_id", "commit_order",
+    "commit_parts", "hash_bucketed", "remover", "scan", "write_commits",
 ]

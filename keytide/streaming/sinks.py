@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from keytide.functions.columns import quoted
-from keytide.operators.table import KeyedTable
+from keytide.operators.table import KeyedTable, State, described
 from keytide.plans import schema as S
 from keytide.spec import TableError, TableSpec
 from keytide.streaming import cdc
@@ -39,14 +39,20 @@ def check_stream(spec: TableSpec, schema: T.StructType, mode: str, range_cols: S
 
 
 def batch_writer(
-    root: str, query_id: str, mode: str = "append", merge_schema: bool = False
+    root: str, query_id: str, mode: str = "append", merge_schema: bool = False, create: TableSpec | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Function for `foreachBatch`: one commit per batch, replays skipped."""
+    """Function for `foreachBatch`: one commit per batch, replays skipped.
+
+    With ``create`` the first batch that finds no table makes it: description, data and
+    the mark of the batch become visible together, as version 0 (T1). Of two streams that
+    both find no table one fails, and goes on into the other's table when it is restarted.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = KeyedTable(batch.sparkSession, root)
-        tag = (query_id, batch_id)
-        state = table.state_before(tag)
+        spark, tag = batch.sparkSession, (query_id, batch_id)
+        table = KeyedTable(spark, root)
+        missing = create is not None and not KeyedTable.exists(spark, root)
+        state = State(create, -1, new=True) if missing else table.state_before(tag)
         if state is None:
             return
         check_stream(state.spec, batch.schema, mode, merge_schema=merge_schema)
@@ -61,12 +67,23 @@ def batch_writer(
 
 
 def write_stream(
-    df: DataFrame, root: str, query_id: str, checkpoint: str, mode: str = "append", merge_schema: bool = False
+    df: DataFrame, root: str, query_id: str, checkpoint: str, mode: str = "append", merge_schema: bool = False,
+    create: Mapping[str, object] | None = None,
 ) -> DataStreamWriter:
-    """Writer of a stream into an existing table (S15); call ``start`` on it."""
-    check_stream(KeyedTable(df.sparkSession, root).spec(), df.schema, mode, merge_schema=merge_schema)
+    """Writer of a stream into a table (S15); call ``start`` on it.
+
+    A missing table is an error unless ``create`` gives its ``range_cols``, ``keys``,
+    ``buckets`` and properties, as for `KeyedTable.define`; an existing table must
+    then have the same range columns and keys.
+    """
+    wanted = None if create is None else described(df.schema, **create)
+    exists = wanted is None or KeyedTable.exists(df.sparkSession, root)
+    spec = KeyedTable(df.sparkSession, root).spec() if exists else wanted
+    check_stream(spec, df.schema, mode, None if wanted is None else wanted.range_cols, merge_schema)
+    if wanted is not None and spec.keys != wanted.keys:
+        raise TableError(f"the table has the keys {spec.keys}, not {wanted.keys}")
     return (
-        df.writeStream.foreachBatch(batch_writer(root, query_id, mode, merge_schema))
+        df.writeStream.foreachBatch(batch_writer(root, query_id, mode, merge_schema, wanted))
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
     )

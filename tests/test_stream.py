@@ -127,3 +127,35 @@ def test_changes_apply_in_event_order_and_route_to_tables(spark, feed, root, row
     assert a.state().partitions["-5"].version == 1
     with pytest.raises(Exception, match="unknown tables"):
         run(f"{root}-cp2", {"d.a": tables["d.a"]})
+
+
+def test_a_stream_creates_its_table_once(spark, feed, root, rows):
+    feed.add({"p": 1, "k": 1, "v": 1}, {"p": 2, "k": 2, "v": 2})
+    feed.add({"p": 1, "k": 1, "v": 3})
+    ddl = "p int, k int, v int"
+    shape = {"range_cols": ["p"], "keys": ["k"], "buckets": 2}
+    for i in range(2):  # the second run replays both batches, the first of them against its own table
+        finish(sinks.write_stream(feed.stream(ddl), root, "q", f"{root}-cp{i}", create=shape))
+    t = KeyedTable.for_path(spark, root)
+    assert rows(t.read(), "p", "k", "v") == [(1, 1, 3), (2, 2, 2)]
+    assert {p.desc: p.version for p in t.state().partitions.values()} == {"p=1": 1, "p=2": 0}
+    assert {r["log_version"] for r in t.versions().collect()} == {0, 1}
+    assert t.spec().primary_key and not t.spec().field("k").nullable
+    with pytest.raises(TableError, match="partitioned by"):
+        sinks.write_stream(feed.stream(ddl), root, "q2", f"{root}-cp2", create={"keys": ["k"], "buckets": 2})
+    with pytest.raises(TableError, match="keys"):
+        sinks.write_stream(feed.stream(ddl), root, "q2", f"{root}-cp2", create={"range_cols": ["p"]})
+    with pytest.raises(TableError):
+        sinks.write_stream(feed.stream(ddl), f"{root}-none", "q2", f"{root}-cp2")
+
+
+@pytest.mark.parametrize("mode", ["complete", "append"])
+def test_created_by_any_mode_and_by_an_empty_batch(spark, feed, root, rows, mode):
+    feed.add({"k": 1})
+    stream = feed.stream("k int").filter("k > 5")
+    df = stream.groupBy("k").agg(F.count(F.lit(1)).alias("n")) if mode == "complete" else stream
+    finish(sinks.write_stream(df, root, "e", f"{root}-cp", mode=mode, create={}))
+    assert rows(KeyedTable.for_path(spark, root).read()) == []
+    feed.add({"k": 7})
+    finish(sinks.write_stream(df, root, "e", f"{root}-cp", mode=mode, create={}))
+    assert rows(KeyedTable.for_path(spark, root).read(), "k") == [(7,)]

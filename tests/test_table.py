@@ -1,10 +1,12 @@
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import keytide.operators.table as table_module
 from keytide import KeyedTable, TableError
+from keytide.sources import storage
 
 F1 = "range int, hash int, value int"
 
@@ -206,6 +208,29 @@ def test_orphans_are_files_nobody_logged(base, spark, frame):
     assert len(found) == 1 and found[0].startswith("__write=x/__commit=000000000009-x/")
 
 
+def test_orphans_are_removed_by_tasks_and_live_files_stay(base, spark, frame, rows):
+    before, live = rows(base.read(), "hash"), _snapshot_paths(base)
+    lost = f"{base.root}/data/__write=x/__commit=000000000009-x"
+    frame([(i, i) for i in range(8)], "a int, b int").repartition(3, "a").write.partitionBy("a").parquet(lost)
+    n = base.find_orphans(timedelta(0)).count()
+    assert n >= 8 and base.remove_orphans(timedelta(days=1), dry_run=False).count() == 0
+    dry = base.remove_orphans(timedelta(0)).collect()
+    assert len(dry) == n and not any(r["removed"] for r in dry) and base.find_orphans(timedelta(0)).count() == n
+    done = base.remove_orphans(timedelta(0), dry_run=False)
+    assert done.count() == n and all(r["removed"] and r["problem"] is None and r["size"] > 0 for r in done.collect())
+    assert base.find_orphans(timedelta(0)).count() == 0
+    assert _snapshot_paths(base) == live and rows(base.read(), "hash") == before
+
+
+def test_a_file_that_cannot_be_removed_is_reported(tmp_path):
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "file").write_text("x")
+    batch = pa.RecordBatch.from_pydict({"path": ["folder", "file", "gone"], "size": [1, 1, 1]})
+    (out,) = storage.remover(str(tmp_path))([batch])
+    assert out["removed"].to_pylist() == [False, True, True]
+    assert out["problem"][0].as_py() and not (tmp_path / "file").exists() and (tmp_path / "folder").exists()
+
+
 def test_drop_partition(base, rows):
     with pytest.raises(TableError, match="not 2"):
         base.drop_partition("range > 0")
