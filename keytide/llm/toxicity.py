@@ -11,9 +11,10 @@ of the text and of its strongest words, which a long harmless text must not dilu
 
 Characters are code points in lower case, of any script, and all grams and words of all
 labelled texts are counted: the model is a Spark table that grows with the texts and is never
-gathered. Texts are packed into blocks of a few megabytes; a block's distinct grams and words are
-joined to the model, and what is found goes back to the block; the units of most blocks, up
-to a fixed number, are broadcast instead. The driver sees these, totals and the grid of the fit. The two weights and the offset of the score are fitted on the
+gathered. Texts are packed into blocks of a few megabytes. Only labelled texts are counted. The units of
+most blocks, up to a fixed number, are broadcast; a block asks the model for the others among its distinct
+grams and words, and what is found goes back to it. A gram that no labelled text has is answered by its
+context, so it needs no row of the model. The driver sees these, totals and the grid of the fit. The two weights and the offset of the score are fitted on the
 labelled texts themselves: the models for that are built without the half of the texts
 that they rate, and texts enter as counts per cell of a fixed grid of the two features.
 If a half lacks a class, the whole model rates the texts that it learned from.
@@ -47,54 +48,10 @@ STEPS, REACH = (0.01, 0.05), (200, 200)
 MODELS = ("whole", "first", "second")
 _KINDS = ("n0", "n1", "n2", "n3")  # counts by 2 * half + toxic
 _GAPS = np.array([i for i in range(0x3001) if chr(i).isspace()], np.uint32)
-_BITS = 5  # of a symbol in the codes of Models
 _PART = 1 << 22  # bytes of a block
 HEAD = 1 << 17  # most frequent units that are broadcast
 
 
-class Models:
-    """Log ratios of all grams over 32 symbols from the counts of both classes, in one dense
-    table: what ``log_ratios`` is held against.
-
-    ``code``: grams seen; ``counts``: rows ordinary, toxic."""
-
-    def __init__(self, code: np.ndarray, counts: np.ndarray, order: int = ORDER, discount: float = DISCOUNT):
-        size = 1 << _BITS
-        lower = np.full(size, 1.0 / size)
-        for k in range(1, order):  # shared model of k symbols, by continuation counts
-            seen = np.unique(code & ((1 << _BITS * (k + 1)) - 1))
-            cont = np.bincount(seen & ((1 << _BITS * k) - 1), minlength=1 << _BITS * k).astype(np.float64)
-            rows = cont.reshape(-1, size)
-            total = rows.sum(axis=1, keepdims=True)
-            kinds = (rows > 0).sum(axis=1, keepdims=True)
-            # the context without its first symbol: rows of the lower model repeat
-            back = np.tile(lower.reshape(-1, size), (max(1, rows.shape[0] // max(1, lower.size // size)), 1)) if k > 1 else lower.reshape(1, size)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                p = np.maximum(rows - discount, 0) / total + discount * kinds / total * back
-            lower = np.where(total > 0, p, back).ravel()
-        # what a class leaves to the shared model, by context
-        context = code >> _BITS
-        n = 1 << _BITS * (order - 1)
-        self.low = np.zeros(n, np.float32)
-        share = []
-        for c, sign in zip(counts, (-1, 1)):
-            total = np.bincount(context, weights=c, minlength=n)
-            kinds = np.bincount(context, weights=c > 0, minlength=n)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                left = np.where(total > 0, discount * kinds / total, 1.0)
-                own = np.maximum(c - discount, 0) / np.maximum(total[context], 1)
-            self.low += (sign * np.log(left)).astype(np.float32)
-            share.append(own + left[context] * lower[code & (n - 1)])
-        self.code = code
-        self.ratio = (np.log(share[1]) - np.log(share[0])).astype(np.float32)
-
-    def dense(self) -> np.ndarray:
-        """Log ratios of all grams; those never seen have the ratio of what is left to them."""
-        table = np.repeat(self.low, 1 << _BITS)
-        table[self.code] = self.ratio
-        return table
-
-
 def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Weights of a logistic model (two features, offset) of counted rows; classes count alike."""
     a = np.column_stack([x, np.ones(len(x))])
@@ -224,11 +181,14 @@ def _unpacked(blob: bytes, kinds: list[dict] | None) -> tuple[list[str | None],
     return texts, kind
 
 
-def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct grams and words of every block with their counts in labelled texts, by 2 * half + toxic."""
+def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams and words of the labelled texts of every block with their counts by 2 * half + toxic."""
     for batch in batches:
-        for block, blob, kinds in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+        for blob, kinds in zip(batch.column(0), batch.column(1).to_pylist()):
             texts, kind = _unpacked(blob.as_py(), kinds)
+            texts, kind = [t for t, k in zip(texts, kind) if k >= 0], kind[kind >= 0]
+            if not texts:
+                continue
             joined, points, starts, ends = laid(texts)
             at, number = distinct(points)
             names, word, first, _ = _words(joined, points)
@@ -236,13 +196,48 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = ends - starts
             places[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = np.repeat(kind, sizes)
             of = kind[np.searchsorted(ends, first, side="right")]
-            for is_word, units, number, of, begin in (
-                (False, [joined[i - ORDER + 1 : i + 1] for i in at.tolist()], number, places, 0), (True, names, word, of, len(at)),
-            ):
-                counts = [np.bincount(number[of == k], minlength=len(units)) for k in range(4)]
+            for is_word, n, number, of in ((False, len(at), number, places), (True, len(names), word, of)):
+                counts = np.array([np.bincount(number[of == k], minlength=n) for k in range(4)], np.int64)
+                seen = np.flatnonzero(counts.any(axis=0))  # grams of the gaps between texts were not
+                units = [names[i] for i in seen] if is_word else [joined[i - ORDER + 1 : i + 1] for i in at[seen].tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(units), is_word)), pa.array(units, pa.string()), *(pa.array(c) for c in counts[:, seen])],
+                    names=["word", "unit", *_KINDS])
+
+
+def _asked(joined: str, at: np.ndarray, names: list[str], head: dict) -> tuple[list[tuple[bool, str]], np.ndarray, np.ndarray]:
+    """Grams, words and contexts of grams, in the order in which a block numbers them; their places
+    in the head, -1 for those not there; the number of every gram's context."""
+    grams = [joined[j - ORDER + 1 : j + 1] for j in at.tolist()]
+    contexts: dict[str, int] = {}
+    after = np.fromiter((contexts.setdefault(g[:-1], len(contexts)) for g in grams), np.int64, len(grams))
+    units = [*((False, g) for g in grams), *((True, w) for w in names), *((False, c) for c in contexts)]
+    place = np.fromiter((head.get(u, -1) for u in units), np.int64, len(units))
+    return units, place, after + len(grams) + len(names)
+
+
+def _asks(common):
+    """What a block must look up in the model: units outside of the head, contexts of such grams among them."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, _ = common.value
+        for batch in batches:
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                joined, points, _, _ = laid(_unpacked(blob.as_py(), None)[0])
+                at, _ = distinct(points)
+                names = _words(joined, points)[0]
+                units, place, after = _asked(joined, at, names, head)
+                lacking = place < 0
+                needed = np.zeros(len(units), bool)
+                needed[after[lacking[: len(at)]]] = True
+                needed[: len(at) + len(names)] = True
+                rows = np.flatnonzero(lacking & needed)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(units), block)), pa.array(np.full(len(units), is_word)), pa.array(units, pa.string()),
-                     pa.array(np.arange(begin, begin + len(units), dtype=np.int32)), *(pa.array(c.astype(np.int64)) for c in counts)], names=["block", "word", "unit", "at", *_KINDS])
+                    [pa.array(np.full(len(rows), block)), pa.array([units[i][0] for i in rows], pa.bool_()),
+                     pa.array([units[i][1] for i in rows], pa.string()), pa.array(rows.astype(np.int32))],
+                    names=["block", "word", "unit", "at"])
+
+    return run
 
 
 def _rated(common, halves: bool):
@@ -258,15 +253,18 @@ def _rated(common, halves: bool):
                 at, number = distinct(points)
                 names, word, first, last = _words(joined, points)
                 # units of the head, then the others by their place in the block; words never heard are in neither
-                units = [*((False, joined[j - ORDER + 1 : j + 1]) for j in at.tolist()), *((True, w) for w in names)]
-                place = np.fromiter((head.get(u, -1) for u in units), np.int64, len(units))
+                _, place, after = _asked(joined, at, names, head)
                 known = batch.column(3)[i].values
                 asked = known.field("at").to_numpy() if known is not None else np.zeros(0, np.int64)
+                found = place >= 0
+                found[asked] = True
+                unseen = np.flatnonzero(~found[: len(at)])
                 x = []
                 for k, model in enumerate(MODELS):
                     value = np.where(place >= 0, values[k][place], 0.0)
                     if len(asked):
                         value[asked] = known.field(model).to_numpy()
+                    value[unseen] = value[after[unseen]]
                     x.append(_features(value[: len(at)][number], value[len(at) :][word], starts, ends, first, last))
                 other = np.where((kind >= 2)[:, None], x[1], x[2]) if halves else x[0]
                 cell = np.clip(np.rint(other / STEPS), [-r for r in REACH], REACH).astype(np.int32)
@@ -277,9 +275,9 @@ def _rated(common, halves: bool):
     return run
 
 
-def _head(units: DataFrame, ratios: DataFrame, most: int) -> tuple[int, dict[tuple[bool, str], int], list[np.ndarray]]:
+def _head(ratios: DataFrame, most: int) -> tuple[int, dict[tuple[bool, str], int], list[np.ndarray]]:
     """In how many blocks a unit must be (a power of two) so that such units are at most ``most``; these with their ratios."""
-    steps = units.groupBy(F.length(F.bin("blocks")).alias("bits")).count().collect()  # 64 rows at most
+    steps = ratios.groupBy(F.length(F.bin("blocks")).alias("bits")).count().collect()  # 64 rows at most
     total, least = 0, 65
     for bits, n in sorted(((r["bits"], r["count"]) for r in steps), reverse=True):
         if total + n > most:
@@ -359,6 +357,18 @@ def log_ratios(units: DataFrame, size: int = 0x110000) -> DataFrame:
     return rated.unionAll(words_of.select(*passed, *heard))
 
 
+def context_ratios(units: DataFrame) -> DataFrame:
+    """Contexts of the grams in ``units`` (word, unit, n0..n3, blocks) with the ratio that a gram has after them which no
+    text of any model holds: that of what the classes leave."""
+    sides = {f"{m}{c}": n for m in MODELS for c, n in enumerate(_sides(m))}
+    held = units.filter("NOT word").groupBy(F.substring("unit", 1, ORDER - 1).alias("unit")).agg(
+        F.max("blocks").alias("blocks"), *(F.sum(n).alias(f"t{x}") for x, n in sides.items()),
+        *(F.sum((n > 0).cast("long")).alias(f"k{x}") for x, n in sides.items()))
+    left = {x: F.when(F.col(f"t{x}") > 0, DISCOUNT * F.col(f"k{x}") / F.col(f"t{x}")).otherwise(F.lit(1.0)) for x in sides}
+    return held.select(F.lit(False).alias("word"), "unit", "blocks",
+                       *((F.log(left[f"{m}1"]) - F.log(left[f"{m}0"])).cast("float").alias(m) for m in MODELS))
+
+
 def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id and score of every row of ``df``. ``labels``: id, toxic. ``learn`` is a condition
     on the id that says whose labels may be used."""
@@ -371,27 +381,22 @@ def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text
     # ids alone meet the labels; one way at every size: labels grow with the documents
     kinds = blocks.select("block", F.posexplode("ids").alias("pos", "id")).join(known.hint("shuffle_hash"), "id")
     kinds = cut(kinds.groupBy("block").agg(F.collect_list(F.struct("pos", "kind")).alias("kinds")), "block-labels")
-    counted = ", ".join(f"{k} long" for k in _KINDS)
-    held = blocks.join(kinds, "block", "left").select("block", "rows", "kinds").mapInArrow(
-        _units, f"block long, word boolean, unit string, at int, {counted}"
+    counted = blocks.join(kinds, "block").select("rows", "kinds").mapInArrow(
+        _counts, f"word boolean, unit string, {', '.join(f'{k} long' for k in _KINDS)}"
     )
-    held = cut(held, "block-units", "zstd")
-    units = held.groupBy("word", "unit").agg(*(F.sum(k).alias(k) for k in _KINDS), F.count("*").alias("blocks"))
-    # a word never heard has nothing to say as a whole
-    units = cut(units.filter("NOT word OR n0 + n1 + n2 + n3 > 0"), "units", "zstd")
+    units = counted.groupBy("word", "unit").agg(*(F.sum(k).alias(k) for k in _KINDS), F.count("*").alias("blocks"))
+    units = cut(units, "units", "zstd")
     sums = units.filter("NOT word").agg(*(F.sum(k).alias(k) for k in _KINDS)).first()
     sums = np.array([x or 0 for x in sums]).reshape(2, 2)
     share = float(sums[:, 1].sum() / sums.sum()) if sums.sum() else 0.5
     if not sums.sum(axis=0).all():
         return df.select(F.col(id_col).cast("long").alias(id_col), F.lit(share).alias("score"))
-    ratios = cut(log_ratios(units), "log-ratios", "zstd")
-    least, *head = _head(units, ratios, HEAD)
+    ratios = cut(log_ratios(units).unionByName(context_ratios(units)), "log-ratios", "zstd")
+    least, *head = _head(ratios, HEAD)
     common = df.sparkSession.sparkContext.broadcast(tuple(head))
-    tail = ratios.filter(F.length(F.bin("blocks")) < least)
-    asked = held.select("block", "word", "unit", "at")
-    if head[0]:
-        asked = asked.join(F.broadcast(ratios.filter(F.length(F.bin("blocks")) >= least).select("word", "unit")), ["word", "unit"], "left_anti")
-    asked = asked.join(tail.drop("blocks"), ["word", "unit"]).groupBy("block").agg(F.collect_list(F.struct("at", *MODELS)).alias("known"))
+    tail = ratios.filter(F.length(F.bin("blocks")) < least).drop("blocks")
+    asked = blocks.select("block", "rows").mapInArrow(_asks(common), "block long, word boolean, unit string, at int")
+    asked = asked.join(tail, ["word", "unit"]).groupBy("block").agg(F.collect_list(F.struct("at", *MODELS)).alias("known"))
     rated = blocks.join(kinds, "block", "left").join(asked, "block", "left").select("ids", "rows", "kinds", "known")
     rated = cut(rated.mapInArrow(_rated(common, bool(sums.all())), "id long, kind int, x double, y double, a int, b int"), "features", "zstd")
     cells = rated.filter("kind >= 0").groupBy("a", "b", (F.col("kind") % 2).alias("toxic")).count().toArrow()

@@ -358,11 +358,57 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity.scores(df.limit(0), known, ~held).count() == 0
 
 
+_BITS = 5  # of a symbol in the codes of Models
+
+
+class Models:
+    """Log ratios of all grams over 32 symbols from the counts of both classes, in one dense
+    table: what the operator's tables are held against.
+
+    ``code``: grams seen; ``counts``: rows ordinary, toxic."""
+
+    def __init__(self, code: np.ndarray, counts: np.ndarray, order: int = toxicity.ORDER, discount: float = toxicity.DISCOUNT):
+        size = 1 << _BITS
+        lower = np.full(size, 1.0 / size)
+        for k in range(1, order):  # shared model of k symbols, by continuation counts
+            seen = np.unique(code & ((1 << _BITS * (k + 1)) - 1))
+            cont = np.bincount(seen & ((1 << _BITS * k) - 1), minlength=1 << _BITS * k).astype(np.float64)
+            rows = cont.reshape(-1, size)
+            total = rows.sum(axis=1, keepdims=True)
+            kinds = (rows > 0).sum(axis=1, keepdims=True)
+            # the context without its first symbol: rows of the lower model repeat
+            back = np.tile(lower.reshape(-1, size), (max(1, rows.shape[0] // max(1, lower.size // size)), 1)) if k > 1 else lower.reshape(1, size)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                p = np.maximum(rows - discount, 0) / total + discount * kinds / total * back
+            lower = np.where(total > 0, p, back).ravel()
+        # what a class leaves to the shared model, by context
+        context = code >> _BITS
+        n = 1 << _BITS * (order - 1)
+        self.low = np.zeros(n, np.float32)
+        share = []
+        for c, sign in zip(counts, (-1, 1)):
+            total = np.bincount(context, weights=c, minlength=n)
+            kinds = np.bincount(context, weights=c > 0, minlength=n)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                left = np.where(total > 0, discount * kinds / total, 1.0)
+                own = np.maximum(c - discount, 0) / np.maximum(total[context], 1)
+            self.low += (sign * np.log(left)).astype(np.float32)
+            share.append(own + left[context] * lower[code & (n - 1)])
+        self.code = code
+        self.ratio = (np.log(share[1]) - np.log(share[0])).astype(np.float32)
+
+    def dense(self) -> np.ndarray:
+        """Log ratios of all grams; those never seen have the ratio of what is left to them."""
+        table = np.repeat(self.low, 1 << _BITS)
+        table[self.code] = self.ratio
+        return table
+
+
 def test_models_are_distributions():
     rng = np.random.default_rng(1)
     code = np.unique(rng.integers(0, 1 << 20, 4000)).astype(np.int32)
     counts = rng.integers(0, 5, (2, len(code))).astype(float) + [[0.0], [1.0]]
-    m = toxicity.Models(code, counts)
+    m = Models(code, counts)
     assert np.isfinite(m.dense()).all()
     # a class that has seen nothing of a context keeps the shared model, so ratios there are the other's
     assert m.dense().shape == (1 << 20,)
@@ -419,8 +465,14 @@ def test_log_ratios_match_the_dense_models(spark):
     n = np.array(counts, float).T
     for model, sides in (("whole", n[:2] + n[2:]), ("first", n[:2]), ("second", n[2:])):
         seen = sides.sum(axis=0) > 0
-        dense = toxicity.Models(code[seen], sides[:, seen]).dense()
+        dense = Models(code[seen], sides[:, seen]).dense()
         assert np.allclose([got[g][model] for g in grams], dense[code], atol=1e-4)
+    low = {r["unit"]: r for r in toxicity.context_ratios(table.withColumn("blocks", F.lit(1))).collect()}
+    assert set(low) == {g[:3] for g in grams}
+    for model, sides in (("whole", n[:2] + n[2:]), ("first", n[:2]), ("second", n[2:])):
+        seen = sides.sum(axis=0) > 0
+        m = Models(code[seen], sides[:, seen])
+        assert np.allclose([low[g[:3]][model] for g in grams], m.low[code >> _BITS], atol=1e-4)
 
 
 def test_grams_of_many_characters_are_exact():
