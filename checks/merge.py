@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.inputs import (
     ACCESS_COLUMNS,
@@ -17,7 +18,7 @@ from checks.inputs import (
     scratch,
     table,
 )
-from keytide import Concat, Custom, KeyedTable, register_merge_op
+from keytide import Concat, Custom, KeyedTable, Running, register_merge_op
 from keytide.plans.merge import merge_deltas, premerge
 
 _KEY = ["o_orderkey"]
@@ -84,6 +85,41 @@ def own_operator(spark, sf):
     return merge_deltas(access_batches(spark, sf), ["uuid"], {"name": "longest"}).select("uuid", "name")
 
 
+def _turn(state, price):
+    """(last price, last direction, changes of direction) after one more price."""
+    last, way, turns = state
+    if last is None or price is None or price == last:
+        return price if price is not None else last, way, turns
+    now = price > last
+    return price, now, turns + (way is not None and now != way)
+
+
+_TURNS = Running(lambda: (None, None, 0), _turn, lambda state: state[2])
+
+
+def running_fold(spark, sf):
+    """How often the prices of a customer's orders change their direction, beside the newest status and a sum:
+    a fold that no pieces could be put together for."""
+    o = table(spark, sf, "orders").select(
+        "o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("turns"),
+        F.lit(1).cast("bigint").alias("orders"),
+    )
+    ops = {"turns": _TURNS, "orders": "sum"}
+    return merge_deltas([o], ["o_custkey"], ops, ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderstatus", "turns", "orders")
+
+
+def running_fold_of_a_table(spark, sf):
+    """Directions of one column over all commits of a table; a commit without the column is no step."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("turns"))
+    by_month = [o.join(table(spark, sf, "orders").filter(F.month("o_orderdate") == m).select("o_orderkey"), "o_orderkey") for m in range(1, 7)]
+    deltas = [d.groupBy("o_custkey").agg(F.max("turns").alias("turns")) for d in by_month]
+    first, *rest = [*deltas[:3], o.groupBy("o_custkey").agg(F.count("*").alias("orders")), *deltas[3:]]
+    schema = T.StructType([o.schema["o_custkey"], o.schema["turns"], T.StructField("orders", T.LongType())])
+    t = KeyedTable.define(spark, scratch(spark, "m8-running"), schema, keys=["o_custkey"], buckets=BUCKETS)
+    t.bulk_upsert([first, *rest])
+    return t.read(ops={"turns": _TURNS}).select("o_custkey", "turns", "orders")
+
+
 def compacted_ops(spark, sf):
     t = _access_table(spark, sf, "m9")
     t.compact(ops={"requests": "sum", "name": "non_null"})
@@ -166,6 +202,15 @@ def _premerged_table_sql() -> str:
     )
 
 
+def _turns_sql(rows: str, order: str) -> str:
+    """Changes of direction of ``p`` along an order, by key; steps without a direction are passed over."""
+    return (
+        f"ways AS (SELECT *, sign(p - lag(p) OVER (PARTITION BY o_custkey ORDER BY {order})) AS way FROM {rows}),"
+        f" pairs AS (SELECT *, lag(way) OVER (PARTITION BY o_custkey ORDER BY {order}) AS before FROM ways WHERE way <> 0),"
+        " turned AS (SELECT o_custkey, count(*) FILTER (WHERE way <> before) AS turns FROM pairs GROUP BY o_custkey)"
+    )
+
+
 QUERIES = {
     "m1_latest_wins": latest,
     "m2_sum": summed,
@@ -176,6 +221,8 @@ QUERIES = {
     "m6_operator_per_column": per_column,
     "m7_read_time_operators": read_time_ops,
     "m8_own_operator": own_operator,
+    "m8_running_fold": running_fold,
+    "m8_running_fold_of_a_table": running_fold_of_a_table,
     "m9_compaction_operators": compacted_ops,
     "m9_sum_after_compaction": sum_after_compaction,
     "u3_partial_columns": partial_columns,
@@ -199,6 +246,14 @@ SQL = {
     "m7_read_time_operators": _access(requests=_SUM, name=_NON_NULL),
     "m8_own_operator": f"WITH {access_sql()} SELECT uuid, arg_max(name, {{'n': length(name), 'v': name}}) AS name"
     " FROM batches GROUP BY uuid",
+    "m8_running_fold": "WITH prices AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS p FROM orders), "
+    + _turns_sql("prices", "o_orderdate, o_orderkey")
+    + " SELECT o_custkey, arg_max(o_orderstatus, {'d': o_orderdate, 'k': o_orderkey}) AS o_orderstatus, count(*) AS orders,"
+    " coalesce(any_value(turns), 0) AS turns FROM orders LEFT JOIN turned USING (o_custkey) GROUP BY o_custkey",
+    "m8_running_fold_of_a_table": "WITH steps AS (SELECT o_custkey, month(o_orderdate) AS m, max(CAST(round(o_totalprice * 100) AS BIGINT)) AS p"
+    " FROM orders WHERE month(o_orderdate) <= 6 GROUP BY ALL), " + _turns_sql("steps", "m")
+    + " SELECT o_custkey, CASE WHEN bool_or(month(o_orderdate) <= 6) THEN coalesce(any_value(turns), 0) END AS turns,"
+    " count(*) AS orders FROM orders LEFT JOIN turned USING (o_custkey) GROUP BY o_custkey",
     "m9_compaction_operators": _access(requests=_SUM, name=_NON_NULL),
     "m9_sum_after_compaction": f"WITH {access_sql()} SELECT uuid, {_SUM} FROM batches GROUP BY uuid",
     "u3_partial_columns": f"{MERGED} SELECT {ORDER_COLUMNS} FROM merged",

@@ -6,6 +6,7 @@ from keytide.functions.merge_ops import (
     Latest,
     MergeOp,
     NonNull,
+    Running,
     Sum,
     register_merge_op,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "Latest",
     "MergeOp",
     "NonNull",
+    "Running",
     "Sum",
     "TableError",
     "TableSpec",

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: descriptor of the only partition of a table without range columns.
 UNPARTITIONED = "-5"
@@ -27,6 +28,19 @@ def all_of(conditions: Iterable[Column | str]) -> Column | None:
     return functools.reduce(lambda a, b: a & b, cols) if cols else None
 
 
+def _hashable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_hashable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _hashable(data_type.elementType)
+    return not isinstance(data_type, T.MapType)
+
+
+def content_hash(df: DataFrame) -> Column:
+    """Hash of a row's values: an order of ties that a task which runs again repeats."""
+    return F.xxhash64(*[F.col(quoted(f.name)) for f in df.schema.fields if _hashable(f.dataType)])
+
+
 def bucket_id(keys: Sequence[str], buckets: int) -> Column:
     """Murmur3 (seed 42) bucket of the key, the same number `repartition` would pick."""
     return F.pmod(F.hash(*[F.col(quoted(k)) for k in keys]), F.lit(buckets))
@@ -66,10 +80,3 @@ def parse_partition_desc(desc: Column) -> Column:
 def unescape_path(value: Column) -> Column:
     """Undo the %XX escapes of partition directory names (a plus sign is literal)."""
     return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
-
-
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """NULL-safe equality of all key columns."""
-    return functools.reduce(
-        lambda a, b: a & b, [left[quoted(k)].eqNullSafe(right[quoted(k)]) for k in keys]
-    )

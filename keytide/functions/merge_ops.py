@@ -199,6 +199,23 @@ class Custom(MergeOp):
         return self._apply(F.filter(F.array(base, state), lambda x: x.isNotNull()))
 
 
+class Running(MergeOp):
+    """A user's own fold that takes the versions of a key one by one, oldest first.
+
+    ``start()`` gives the state before the first version, ``step(state, value)`` the one after
+    the next, ``value(state)`` what the key gets, of the column's type. The fold need not be
+    associative, so its result is no version that later ones could be added to: it is for reads
+    and in-memory merges, and compactions refuse it. The versions of one key pass through one
+    task as a sorted stream of which a single state is kept; a fold whose pieces can be put together
+    is better written as `Custom`, which deals a hot key to many tasks.
+    """
+
+    single_is_identity = False
+
+    def __init__(self, start: Callable[[], object], step: Callable[[object, object], object], value: Callable[[object], object]):
+        self.start, self.step, self.value = start, step, value
+
+
 _REGISTRY: dict[str, MergeOp] = {
     "latest": Latest(),
     "sum": Sum(),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keytide.functions.columns import NULL_PARTITION, all_of, as_column, bucket_id, parse_partition_desc, partition_desc, quoted
-from keytide.functions.merge_ops import Custom, MergeOp, resolve_ops
+from keytide.functions.merge_ops import Custom, MergeOp, Running, resolve_ops
 from keytide.plans import dml
 from keytide.plans import schema as S
 from keytide.plans.merge import SEQ, Versions, fold_versions, overlay
@@ -1027,6 +1027,7 @@ class KeyedTable:
         state = self.state()
         parts = [self._one_partition(state, where, "compaction")] if _as_list(where) else state.live()
         found = resolve_ops(ops, state.spec.schema, state.spec.primary_key)
+        self._refuse_running(found)
         fold_always = any(not op.single_is_identity for op in found.values())
         todo = [
             p for p in parts
@@ -1055,6 +1056,7 @@ class KeyedTable:
         if rest:
             raise TableError("a compaction may be limited by range columns only")
         found = resolve_ops(ops, state.spec.schema, state.spec.primary_key)
+        self._refuse_running(found)
         if any(isinstance(op, Custom) for op in found.values()):
             raise TableError("a user's own operator may not fold only a part of the commits")
         todo = [p for p in parts if len(p.commits) > 1]
@@ -1070,6 +1072,11 @@ class KeyedTable:
         self._write(state, [merged], L.COMPACTION, clean=True, replaced=todo, order=order, kept_tail=tails)
         return sorted(p.desc for p in todo)
 
+    @staticmethod
+    def _refuse_running(found: Mapping[str, MergeOp]) -> None:
+        if any(isinstance(op, Running) for op in found.values()):
+            raise TableError("what a running fold gives is no version that a compaction could store")
+
     def _fold_one(self, state: State, desc: str, k: int, found: dict[str, MergeOp]) -> list[str]:
         """Partitions whose commits interleave in merge order are folded one by one."""
         state = self.state()

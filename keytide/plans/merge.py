@@ -1,25 +1,28 @@
 """Merge-on-read: fold ordered versions of keyed rows into one row per key.
 
-Three plans give the same rows and differ in what they move:
+Plans give the same rows and differ in what they move:
 
 * `fold_versions` - one shuffle on the key, partial aggregates before it;
 * `fold_in_chunks` - for operators whose state grows with the versions of a key:
   versions are range-split by (key, order) first, so a hot key spans many tasks;
+* `fold_in_order` - for folds that must see every version in turn: sorted versions pass a Python
+  state one by one;
 * `overlay` - changes are folded alone and joined onto a base that is unique on
   the key; when they are few, by a checked size, the base is not even shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keytide.functions.columns import quoted
-from keytide.functions.merge_ops import NULL_TEXT, Custom, Latest, MergeOp, resolve_ops
+from keytide.functions.columns import all_of, content_hash, quoted
+from keytide.functions.merge_ops import NULL_TEXT, Custom, Latest, MergeOp, Running, resolve_ops
 from keytide.spec import COMMIT
 
 SEQ = "__seq"
@@ -121,6 +124,15 @@ def _apply_custom(df: DataFrame, units: Iterable[_Unit]) -> DataFrame:
 
 
 def _states(versions: Versions, keys: Sequence[str], units: Sequence[_Unit]) -> DataFrame:
+    running = [u for u in units if isinstance(u.op, Running)]
+    if running:
+        states = fold_in_order(versions, keys, running)
+        rest = [u for u in units if not isinstance(u.op, Running)]
+        if not rest:
+            return states
+        others = _states(versions, keys, rest).withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+        same = [F.col(quoted(k)).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        return states.join(others, all_of(same)).drop(*[f"__k{i}" for i in range(len(keys))])
     if any(u.op.grows for u in units):
         return fold_in_chunks(versions, keys, units)
     return versions.rows.groupBy(*_key_cols(keys)).agg(
@@ -128,12 +140,48 @@ def _states(versions: Versions, keys: Sequence[str], units: Sequence[_Unit]) ->
     )
 
 
-def _hashable(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.StructType):
-        return all(_hashable(f.dataType) for f in data_type.fields)
-    if isinstance(data_type, T.ArrayType):
-        return _hashable(data_type.elementType)
-    return not isinstance(data_type, T.MapType)
+def fold_in_order(versions: Versions, keys: Sequence[str], units: Sequence[_Unit]) -> DataFrame:
+    """Values per key, each version passed to the folds in its turn.
+
+    A window sorts the versions of a key, spilling what memory does not hold, and marks the
+    first and the last; Python holds one state per fold, whatever the number of versions.
+    A version whose commit lacks the column is no step; a key without steps gets NULL.
+    """
+    rows = versions.rows.withColumn(_TIE, content_hash(versions.rows))
+    turn = Window.partitionBy(*_key_cols(keys)).orderBy(*versions.order_parts(), F.col(_TIE))
+    marked = rows.select(
+        *_key_cols(keys), *[u.value().alias(u.state) for u in units],
+        *[versions.has(u.carriers).alias(f"__has{i}") for i, u in enumerate(units)],
+        (F.row_number().over(turn) == 1).alias("__first"), F.lead(_TIE).over(turn).isNull().alias("__last"),
+    )
+    n, folds = len(keys), [(u.op.start, u.op.step, u.op.value) for u in units]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, seen = [None] * len(folds), [False] * len(folds)
+        for batch in batches:
+            values = [batch.column(n + i).to_pylist() for i in range(len(folds))]
+            has = [batch.column(n + len(folds) + i).to_pylist() for i in range(len(folds))]
+            first, last = batch.column(n + 2 * len(folds)).to_pylist(), batch.column(n + 2 * len(folds) + 1).to_pylist()
+            ends, out = [], [[] for _ in folds]
+            for at in range(batch.num_rows):
+                if first[at]:
+                    states, seen = [start() for start, _, _ in folds], [False] * len(folds)
+                for i, (_, step, value) in enumerate(folds):
+                    if has[i][at]:
+                        states[i], seen[i] = step(states[i], values[i][at]), True
+                    if last[at]:
+                        out[i].append(value(states[i]) if seen[i] else None)
+                if last[at]:
+                    ends.append(at)
+            picked = pa.array(ends, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(k).take(picked) for k in range(n)],
+                 *[pa.array(out[i], batch.column(n + i).type) for i in range(len(folds))]],
+                names=batch.schema.names[: n + len(folds)],
+            )
+
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in marked.schema.fields[: n + len(units)]])
+    return marked.mapInArrow(run, schema)
 
 
 def fold_in_chunks(versions: Versions, keys: Sequence[str], units: Sequence[_Unit]) -> DataFrame:
@@ -144,9 +192,8 @@ def fold_in_chunks(versions: Versions, keys: Sequence[str], units: Sequence[_Uni
     has. The hash also orders versions that tie; it depends on values alone, so a
     task that runs again places its rows as before.
     """
-    tie = F.xxhash64(*[F.col(quoted(f.name)) for f in versions.rows.schema.fields if _hashable(f.dataType)])
     ordered = (
-        versions.rows.withColumn(_TIE, tie)
+        versions.rows.withColumn(_TIE, content_hash(versions.rows))
         .repartitionByRange(*_key_cols(keys), *versions.order_parts(), F.col(_TIE))
         .withColumn(_CHUNK, F.spark_partition_id())
     )

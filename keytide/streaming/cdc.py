@@ -77,20 +77,16 @@ def kind_rank(kind: Column) -> Column:
 
 def order_changes(
     df: DataFrame, keys: Sequence[str], time_col: str, kind_col: str = "kind",
-    ties: Sequence[str] = (), slot_seconds: int = 3600, name: str = "rank",
+    ties: Sequence[str] = (), name: str = "rank",
 ) -> DataFrame:
     """Position of every change of a key by event time, then kind (D3).
 
-    Ranks are counted per time slot, so a key with very many changes is ordered
-    by many tasks.
+    A key with very many changes is ordered by many tasks, also when they all
+    have one time; a NULL time comes first. Rows are placed in a job of its own.
     """
     t = F.col(quoted(time_col))
-    seconds = F.unix_seconds(t.cast("timestamp")) if not isinstance(
-        df.schema[time_col].dataType, (T.LongType, T.IntegerType)
-    ) else F.floor(t / 1000)
-    slot = F.floor(seconds / slot_seconds)
     order = [t, kind_rank(F.col(quoted(kind_col))), *[F.col(quoted(c)) for c in ties]]
-    return split_rank(df, keys, order, slot, name)
+    return split_rank(df, keys, order, name)
 
 
 def latest_changes(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from keytide import KeyedTable, TableError
 from keytide.functions import decode as D
 from keytide.functions.columns import bucket_id
+from keytide.plans.rank import in_order
 from keytide.streaming import cdc, sinks
 
 
@@ -40,7 +41,7 @@ def test_changes_of_a_hot_key_are_ranked_across_slots(spark):
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id"),
         (F.hash("id") % 1000000).cast("bigint").alias("t"), F.element_at(F.array(*map(F.lit, cdc.KINDS)), (F.col("id") % 4 + 1).cast("int")).alias("kind"),
     )
-    got = cdc.order_changes(df, ["k"], "t", ties=["id"], slot_seconds=10).collect()
+    got = cdc.order_changes(df, ["k"], "t", ties=["id"]).collect()
     by_key = {}
     for r in got:
         by_key.setdefault(r["k"], []).append(r)
@@ -50,6 +51,38 @@ def test_changes_of_a_hot_key_are_ranked_across_slots(spark):
         assert [r["rank"] for r in group] == list(range(1, len(group) + 1))
 
 
+def test_one_moment_of_a_hot_key_is_ranked_by_many_tasks(spark):
+    """All changes of a key in one millisecond, some of them equal in every column; a NULL key and NULL times beside it."""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    n = 4000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 4 != 0, F.lit(7)).when(F.col("id") % 8 == 0, F.col("id")).alias("k"),
+        F.when(F.col("id") % 16 != 0, F.lit(1700000000000)).cast("bigint").alias("t"),
+        F.lit("+I").alias("kind"), (F.col("id") - F.col("id") % 3).alias("seq"),
+    )
+    spark.conf.set(coalesce, "false")
+    try:
+        placed = in_order(df, ["k"], [F.col("t"), F.col("seq")])
+        assert placed.filter("k = 7").select(F.shiftright("__at", 33)).distinct().count() > 1
+        got = cdc.order_changes(df, ["k"], "t", ties=["seq"]).collect()
+    finally:
+        spark.conf.unset(coalesce)
+    by_key = {}
+    for r in got:
+        by_key.setdefault(r["k"], []).append(r)
+    assert len(got) == n and len(by_key[7]) == 3000
+    for group in by_key.values():
+        group.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in group] == list(range(1, len(group) + 1))
+        order = [(r["t"] is not None, r["t"] or 0, r["seq"]) for r in group]
+        assert order == sorted(order)
+
+
+def test_ranks_of_no_rows(spark):
+    none = spark.range(0).select(F.col("id").alias("k"), F.col("id").alias("t"), F.lit("+I").alias("kind"))
+    assert cdc.order_changes(none, ["k"], "t").collect() == []
+
+
 CDC = "range string, hash string, op string"
 
 

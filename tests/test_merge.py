@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from keytide import register_merge_op
+from keytide import KeyedTable, Running, TableError, register_merge_op
 from keytide.plans import merge as M
 from keytide.plans.merge import merge_deltas, premerge, stack
 
@@ -41,6 +41,48 @@ def test_python_fold(frame, rows):
     assert rows(merge_deltas([a, b, c], ["k"], {"c": "joined_up"})) == [(1, "a/b/c"), (2, "-")]
 
 
+def spaced_out():
+    """Digits of all versions with the number of the step in between: no two pieces can be put together."""
+    return Running(lambda: ("", 0), lambda s, v: (f"{s[0]}{s[1]}{v or '-'}", s[1] + 1), lambda s: s[0])
+
+
+def test_running_folds_see_every_version_in_turn(frame, rows):
+    a = frame([(1, "a", "p", 1), (2, None, "q", 2), (None, "n", "r", 3)], "k int, c string, d string, s int")
+    b = frame([(1, "b"), (3, "x")], "k int, c string")
+    c = frame([(1, 10), (4, 4)], "k int, s int")  # no step for c and d
+    e = frame([(1, "z", "w"), (None, "m", None)], "k int, c string, d string")
+    got = rows(merge_deltas([a, b, c, e], ["k"], {"c": spaced_out(), "d": spaced_out(), "s": "sum"}), "k", "c", "d", "s")
+    assert got == [
+        (1, "0a1b2z", "0p1w", 11), (2, "0-", "0q", 2), (3, "0x", None, None), (4, None, None, 4), (None, "0n1m", "0r1-", 3),
+    ]
+    only = rows(merge_deltas([a.select("k", "c"), b], ["k"], {"c": spaced_out()}))
+    assert only == [(1, "0a1b"), (2, "0-"), (3, "0x"), (None, "0n")]
+    assert rows(merge_deltas([a.limit(0), b.limit(0)], ["k"], {"c": spaced_out()})) == []
+
+
+def test_running_fold_of_a_long_key(spark):
+    """More versions of one key than an Arrow batch holds, beside many short ones."""
+    n = 25_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"), F.col("id").alias("at"))
+    mixed = Running(lambda: 7, lambda s, v: (s * 31 + v) % 1_000_003, lambda s: s)
+    got = {r["k"]: r["v"] for r in merge_deltas([df.repartition(5)], ["k"], {"v": mixed}, ["at"]).collect()}
+    want = {}
+    for i in range(n):
+        k = 0 if i % 3 == 0 else i
+        want[k] = (want.get(k, 7) * 31 + i) % 1_000_003
+    assert got == want
+
+
+def test_running_folds_are_read_and_not_stored(spark, frame, root, rows):
+    t = KeyedTable.create(spark, root, frame([(1, "a"), (2, "b")], "k int, c string"), keys=["k"], buckets=2, unique_keys=True)
+    assert rows(t.read(ops={"c": spaced_out()})) == [(1, "0a"), (2, "0b")]
+    t.upsert(frame([(1, "x")], "k int, c string"))
+    assert rows(t.read(ops={"c": spaced_out()})) == [(1, "0a1x"), (2, "0b")]
+    for compact in (lambda: t.compact(ops={"c": spaced_out()}), lambda: t.compact_oldest(2, ops={"c": spaced_out()})):
+        with pytest.raises(TableError, match="running fold"):
+            compact()
+
+
 def test_operator_map_is_checked(frame):
     a = frame([(1, "a")], "k int, c string")
     with pytest.raises(ValueError, match="unknown column"):
