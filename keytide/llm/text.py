@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,6 +67,18 @@ def cut(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_in_buckets(df: DataFrame, label: str, column: str, codec: str) -> DataFrame:
+    """Like `cut`, dealt to as many buckets of a column as shuffles have partitions, so that
+    joins on it leave these rows where they are. The catalog entry goes as soon as the plan knows it."""
+    spark, name = df.sparkSession, f"keytide_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").options(path=scratch_dir(spark, label), compression=codec)
+    try:
+        writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).saveAsTable(name)
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -12,8 +12,8 @@ of the text and of its strongest words, which a long harmless text must not dilu
 Characters are code points in lower case, of any script, and all grams and words of all
 labelled texts are counted: the model is a Spark table that grows with the texts and is never
 gathered. Texts are packed into blocks of a few megabytes. Only labelled texts are counted. The units of
-most blocks, up to a fixed number, are broadcast; a block asks the model for the others among its distinct
-grams and words, and what is found goes back to it. A gram that no labelled text has is answered by its
+most blocks, up to a fixed number, are broadcast, with a bit table of fixed size of all others; a block asks the
+model for those of its distinct grams and words that may be there, and what is found goes back to it. A gram that no labelled text has is answered by its
 context, so it needs no row of the model. The driver sees these, totals and the grid of the fit. The two weights and the offset of the score are fitted on the
 labelled texts themselves: the models for that are built without the half of the texts
 that they rate, and texts enter as counts per cell of a fixed grid of the two features.
@@ -29,15 +29,17 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keytide.llm.text import cut
+from keytide.llm.text import cut, cut_in_buckets
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -49,7 +51,18 @@ MODELS = ("whole", "first", "second")
 _KINDS = ("n0", "n1", "n2", "n3")  # counts by 2 * half + toxic
 _GAPS = np.array([i for i in range(0x3001) if chr(i).isspace()], np.uint32)
 _PART = 1 << 22  # bytes of a block
-HEAD = 1 << 17  # most frequent units that are broadcast
+HEAD = 1 << 18  # most frequent units that are broadcast
+_BITS, _PROBES = 1 << 25, (0, 25)  # of the bit table of the others: its size, where its hashes begin
+
+
+class Head(NamedTuple):
+    """What is broadcast: places of the most frequent grams (contexts among them) and words, their ratios by
+    model, and two bits for each other unit of the model, by the XXH64 of its letters."""
+
+    grams: dict[str, int]
+    words: dict[str, int]
+    values: list[np.ndarray]
+    bits: np.ndarray
 
 
 def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -205,22 +218,25 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["word", "unit", *_KINDS])
 
 
-def _asked(joined: str, at: np.ndarray, names: list[str], head: dict) -> tuple[list[tuple[bool, str]], np.ndarray, np.ndarray]:
+def _asked(joined: str, at: np.ndarray, names: list[str], head: Head) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Grams, words and contexts of grams, in the order in which a block numbers them; their places
     in the head, -1 for those not there; the number of every gram's context."""
     grams = [joined[j - ORDER + 1 : j + 1] for j in at.tolist()]
     contexts: dict[str, int] = {}
     after = np.fromiter((contexts.setdefault(g[:-1], len(contexts)) for g in grams), np.int64, len(grams))
-    units = [*((False, g) for g in grams), *((True, w) for w in names), *((False, c) for c in contexts)]
-    place = np.fromiter((head.get(u, -1) for u in units), np.int64, len(units))
+    units = [*grams, *names, *contexts]
+    short, words = head.grams.get, head.words.get
+    place = np.fromiter((
+        *(short(u, -1) for u in grams), *(words(u, -1) for u in names), *(short(u, -1) for u in contexts)), np.int64, len(units))
     return units, place, after + len(grams) + len(names)
 
 
 def _asks(common):
-    """What a block must look up in the model: units outside of the head, contexts of such grams among them."""
+    """What a block must look up in the model: units outside of the head, contexts of such grams among
+    them, but for those that the bit table knows not to be there."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, _ = common.value
+        head, digest = common.value, xxhash.xxh64_intdigest
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 joined, points, _, _ = laid(_unpacked(blob.as_py(), None)[0])
@@ -232,9 +248,14 @@ def _asks(common):
                 needed[after[lacking[: len(at)]]] = True
                 needed[: len(at) + len(names)] = True
                 rows = np.flatnonzero(lacking & needed)
+                hashes = np.fromiter((digest(units[i], 42) for i in rows.tolist()), np.uint64, len(rows))
+                for shift in _PROBES:
+                    bit = (hashes >> np.uint64(shift)) & np.uint64(_BITS - 1)
+                    may = (head.bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                    rows, hashes = rows[may], hashes[may]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), block)), pa.array([units[i][0] for i in rows], pa.bool_()),
-                     pa.array([units[i][1] for i in rows], pa.string()), pa.array(rows.astype(np.int32))],
+                    [pa.array(np.full(len(rows), block)), pa.array((rows >= len(at)) & (rows < len(at) + len(names))),
+                     pa.array([units[i] for i in rows.tolist()], pa.string()), pa.array(rows.astype(np.int32))],
                     names=["block", "word", "unit", "at"])
 
     return run
@@ -245,7 +266,8 @@ def _rated(common, halves: bool):
     of the other half, or by the whole one unless both ``halves`` have both classes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, values = common.value
+        head = common.value
+        values = head.values
         for batch in batches:
             for i in range(batch.num_rows):
                 texts, kind = _unpacked(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
@@ -275,8 +297,9 @@ def _rated(common, halves: bool):
     return run
 
 
-def _head(ratios: DataFrame, most: int) -> tuple[int, dict[tuple[bool, str], int], list[np.ndarray]]:
-    """In how many blocks a unit must be (a power of two) so that such units are at most ``most``; these with their ratios."""
+def _head(ratios: DataFrame, most: int) -> tuple[int, Head]:
+    """In how many blocks a unit must be (a power of two) so that such units are at most ``most``; these with their
+    ratios, and the bit table of the others."""
     steps = ratios.groupBy(F.length(F.bin("blocks")).alias("bits")).count().collect()  # 64 rows at most
     total, least = 0, 65
     for bits, n in sorted(((r["bits"], r["count"]) for r in steps), reverse=True):
@@ -284,8 +307,20 @@ def _head(ratios: DataFrame, most: int) -> tuple[int, dict[tuple[bool, str], int
             break
         total, least = total + n, bits
     table = ratios.filter(F.length(F.bin("blocks")) >= least).select("word", "unit", *MODELS).toArrow()
-    names = zip(table["word"].to_pylist(), table["unit"].to_pylist())
-    return least, {u: i for i, u in enumerate(names)}, [np.append(table[m].to_numpy(), 0.0) for m in MODELS]
+    grams, words = {}, {}
+    for i, (word, unit) in enumerate(zip(table["word"].to_pylist(), table["unit"].to_pylist())):
+        (words if word else grams)[unit] = i
+    hashed = F.xxhash64("unit")
+    bit = F.explode(F.array(*(F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit(_BITS - 1)) + 1 for shift in _PROBES)))
+    parts = (
+        ratios.filter(F.length(F.bin("blocks")) < least).select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()  # of 4 kB, _BITS bits at most
+    )
+    bits = np.zeros(_BITS // 8, np.uint8)
+    for r in parts:
+        piece = np.frombuffer(r["bits"], np.uint8)
+        bits[(r["part"] - 1) * len(piece) : r["part"] * len(piece)] = piece
+    return least, Head(grams, words, [np.append(table[m].to_numpy(), 0.0) for m in MODELS], bits)
 
 
 def _sides(model: str) -> tuple[Column, Column]:
@@ -377,7 +412,7 @@ def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text
         .select(F.col(id_col).alias("id"), (F.crc32(F.col(id_col).cast("string")) % 5 % 2 * 2 + F.col("__toxic")).cast("int").alias("kind"))
     )
     rows = df.select(F.col(id_col).cast("long").alias("id"), text)
-    blocks = cut(rows.mapInArrow(_blocks, "block long, ids array<long>, rows binary"), "text-blocks", "zstd")
+    blocks = cut_in_buckets(rows.mapInArrow(_blocks, "block long, ids array<long>, rows binary"), "text-blocks", "block", "zstd")
     # ids alone meet the labels; one way at every size: labels grow with the documents
     kinds = blocks.select("block", F.posexplode("ids").alias("pos", "id")).join(known.hint("shuffle_hash"), "id")
     kinds = cut(kinds.groupBy("block").agg(F.collect_list(F.struct("pos", "kind")).alias("kinds")), "block-labels")
@@ -392,8 +427,8 @@ def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text
     if not sums.sum(axis=0).all():
         return df.select(F.col(id_col).cast("long").alias(id_col), F.lit(share).alias("score"))
     ratios = cut(log_ratios(units).unionByName(context_ratios(units)), "log-ratios", "zstd")
-    least, *head = _head(ratios, HEAD)
-    common = df.sparkSession.sparkContext.broadcast(tuple(head))
+    least, head = _head(ratios, HEAD)
+    common = df.sparkSession.sparkContext.broadcast(head)
     tail = ratios.filter(F.length(F.bin("blocks")) < least).drop("blocks")
     asked = blocks.select("block", "rows").mapInArrow(_asks(common), "block long, word boolean, unit string, at int")
     asked = asked.join(tail, ["word", "unit"]).groupBy("block").agg(F.collect_list(F.struct("at", *MODELS)).alias("known"))

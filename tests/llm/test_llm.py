@@ -453,6 +453,20 @@ def test_toxicity_when_a_half_lacks_a_class(spark):
     assert sum((got[i] >= 0.5) == t for i, t in labels) >= 0.97 * len(labels)
 
 
+def test_toxicity_does_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    """Units found by the join and by the bit table, in many small blocks, give the scores of those in the head."""
+    rnd = random.Random(4)
+    text.ship(spark)
+    letters = "abcdefghéßдо猫𝒳"
+    rows = [(i, " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(1, 7))) for _ in range(60))) for i in range(120)]
+    rows += [(500, None), (501, ""), (None, rows[3][1])]
+    labels = [(i, int(i % 4 == 0)) for i in range(0, 120, 2)]
+    df, known = spark.createDataFrame(rows, "doc_id long, text string").repartition(6), spark.createDataFrame(labels, "doc_id long, toxic int")
+    want = bag((r["doc_id"], r["score"]) for r in toxicity.scores(df, known, F.lit(True)).collect())
+    monkeypatch.setattr(toxicity, "HEAD", 40)
+    assert bag((r["doc_id"], r["score"]) for r in toxicity.scores(df, known, F.lit(True)).collect()) == want
+
+
 def test_log_ratios_match_the_dense_models(spark):
     rnd = random.Random(5)
     grams = sorted({"".join(rnd.choice("abcde") for _ in range(4)) for _ in range(300)})
