@@ -33,6 +33,8 @@ MAX_BASES = 16
 INFLATED = 10
 #: changed rows per bucket that a hash table may hold
 HASH_ROWS = 200_000
+#: bytes of a bucket up to which one task folds it where it lies
+FOLD_BYTES = 16 * 2**20
 #: merge positions of one log version; ids have digits for as many versions again
 _ORDERS = 10**9
 #: deltas a partition must exceed before an unforced compaction touches it
@@ -362,7 +364,7 @@ class KeyedTable:
         return L.local_rows(self.spark, [], T.StructType(fields))
 
     def _scan(
-        self, spec: TableSpec, picked: Sequence[tuple[Partition, Sequence[Commit]]], paths: bool = False
+        self, spec: TableSpec, picked: Sequence[tuple[Partition, Sequence[Commit]]], paths: bool = False, bucketed: bool = True
     ) -> Versions | None:
         """Rows of chosen commits of chosen partitions."""
         pairs = [(p, c) for p, commits in picked for c in commits]
@@ -370,7 +372,7 @@ class KeyedTable:
         for _, c in pairs:
             seen[c.id] = seen.get(c.id, 0) + 1
         whole = frozenset(c.id for _, c in pairs if seen[c.id] == c.parts)
-        return storage.scan(self.spark, self.root, spec, pairs, whole, paths)
+        return storage.scan(self.spark, self.root, spec, pairs, whole, paths, bucketed)
 
     def _complete_columns(self, df: DataFrame, spec: TableSpec) -> list[Column]:
         return [
@@ -428,7 +430,9 @@ class KeyedTable:
         keys = spec.primary_key
         way, in_place = self._way(spec, parts, ops)
         if way == "fold":
-            versions = self._scan(spec, [(p, p.commits) for p in parts])
+            # large buckets are dealt anew: partial aggregates and shuffles cut their work into tasks of bounded size
+            in_buckets = sum(c.bytes for p in parts for c in p.commits) <= FOLD_BYTES * spec.buckets
+            versions = self._scan(spec, [(p, p.commits) for p in parts], bucketed=in_buckets)
             for c in on_keys:
                 versions = replace(versions, rows=versions.rows.filter(c))
             present = [c for c in spec.columns if c in versions.rows.columns]

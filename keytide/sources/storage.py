@@ -232,13 +232,13 @@ def by_writes(picked: Sequence[tuple]) -> dict[str, list[tuple]]:
 
 def scan(
     spark: SparkSession, root: str, spec: TableSpec, picked: Sequence[tuple], whole: frozenset[str] = frozenset(),
-    paths: bool = False,
+    paths: bool = False, bucketed: bool = True,
 ) -> Versions | None:
     """Rows of chosen (partition, commit) pairs, with the id of their commit.
 
     ``whole`` are commits all of whose partitions are chosen. Rows of one write of a keyed
-    table are a bucketed relation; a union would lose the buckets. ``paths`` adds
-    the relative path of a row's file as `__file`.
+    table are a bucketed relation, unless ``bucketed`` is False; a union would lose the buckets.
+    ``paths`` adds the relative path of a row's file as `__file`.
     """
     if not picked:
         return None
@@ -249,7 +249,7 @@ def scan(
     known = [c for c in spec.columns if any(c in cols for cols in carried)]
     wanted = [*[F.col(quoted(c)) for c in known], F.col(COMMIT)]
     writes = by_writes(picked)
-    if spec.keys and len(writes) == 1 and not paths:
+    if bucketed and spec.keys and len(writes) == 1 and not paths:
         rows = _picked_rows(_relation(spark, root, spec, *writes), spec, picked, whole).select(*wanted)
     else:
         fields = [T.StructField(c, spec.field(c).dataType) for c in spec.columns]

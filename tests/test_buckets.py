@@ -228,3 +228,16 @@ def test_unequal_buckets_exchange_one_side(spark, root):
 def test_buckets_are_made_of_keys(spark, root, frame):
     with pytest.raises(table_module.TableError):
         KeyedTable.create(spark, root, frame([(1, 2)], "k int, v int"), keys=["k"], buckets=2, bucket_by=["v"])
+
+
+def test_large_buckets_are_not_folded_by_one_task_each(spark, root, monkeypatch):
+    deltas = [spark.range(n).selectExpr("cast(id as int) k", f"cast(id + {n} as int) v", f"concat('w', {n}) w") for n in (300, 200)]
+    t = KeyedTable.define(spark, root, deltas[0].schema, keys=["k"], buckets=2)
+    t.bulk_upsert(deltas)
+    want = sorted((k, k + (200 if k < 200 else 300), "w200" if k < 200 else "w300") for k in range(300))
+    summed = sorted((k, 2 * k + 500 if k < 200 else k + 300) for k in range(300))
+    assert not exchanges(t.read())
+    monkeypatch.setattr(table_module, "FOLD_BYTES", 0, raising=False)
+    assert exchanges(t.read())
+    assert sorted(tuple(r) for r in t.read().select("k", "v", "w").collect()) == want
+    assert sorted(tuple(r) for r in t.read(ops={"v": "sum"}).select("k", "v").collect()) == summed
