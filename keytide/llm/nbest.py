@@ -10,8 +10,11 @@ are the N best.
 No piece crosses a pre-token, so the lattice of a text is a chain of the lattices of
 its pre-tokens. A worker keeps the best segmentation of those it met last, in two
 generations of bounded size, and searches others again: one search costs less than
-sending a rare pre-token through a join. The N best segmentations of a text come
-from the N - 1 places whose second choice costs least; their further choices are searched then.
+sending a rare pre-token through a join. Only the cost of a pre-token's second choice is
+kept beside its best: the least that an edge beside the best path loses against it, for that
+is the first hypothesis that the backward search would leave the path by. The N best
+segmentations of a text come from the N - 1 places whose second choice costs least; all choices
+there are searched then. Every one of the N is written out with all its ids and decoded as a whole.
 
 Scores are the model's own piece scores (whole numbers for this model, so sums are
 exact). Characters without a piece become their bytes at ``UNKNOWN`` below the lowest
@@ -34,6 +37,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers  # noqa: F401  (its files are read through the processor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +54,7 @@ _NO_GAP, _LOWEST = 1 << 62, -(1 << 62)
 _EDGE = 0  # key of a trie node's piece; all other keys are characters
 
 Best = list[tuple[int, tuple[int, ...]]]  # score, ids
-# A kept pre-token: best score, its packed ids, cost of the second choice, whether the best decodes to it.
-Kept = tuple[int, bytes, int, bool]
+Kept = tuple[int, bytes, int]  # of a pre-token: best score, its packed ids, cost of the second choice
 
 
 class _Generation(dict):
@@ -81,7 +84,7 @@ class Lattice:
             node[_EDGE] = edge
         self.bytes = [p.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown = min(s for _, s, _ in self.pieces.values() if s > BARRED) - UNKNOWN
-        self.spelled = _piece_bytes(model)
+        self.model = model
         self.forget(0)
 
     def forget(self, n: int) -> None:
@@ -140,26 +143,58 @@ class Lattice:
                         open_.pop()
         return out
 
-    def choices_of(self, word: str) -> tuple[list[tuple[int, bytes]], bool]:
-        """Scores and packed ids of the n best segmentations of a pre-token; whether all decode to it."""
-        ways = self.search(word.replace(" ", "▁"), self.held)
-        return [(score, _packed(ids)) for score, ids in ways], all(self.spells(ids, word) for _, ids in ways)
-
-    def spells(self, ids: tuple[int, ...], word: str) -> bool:
-        return b"".join(map(self.spelled.__getitem__, ids)) == word.encode()
+    def first(self, word: str) -> tuple[int, tuple[int, ...], int]:
+        """Score and ids of the best segmentation of a pre-token, and what the second best costs more."""
+        size, root, pieces, unknown = len(word), self.root, self.pieces, self.unknown
+        best = [_LOWEST] * (size + 1)
+        best[0] = 0
+        second = [_LOWEST] * (size + 1)  # best score through any other piece that ends here
+        into: list = [None] * (size + 1)  # start and piece of the best path; of equal ones the longest
+        for at in range(size):
+            here, end, node = best[at], at, root
+            while end < size:
+                node = node.get(word[end])
+                if node is None:
+                    break
+                end += 1
+                edge = node[_EDGE]
+                if edge is not None:
+                    through = here + edge[1]
+                    if through > best[end]:
+                        second[end], best[end], into[end] = best[end], through, (at, edge[2])
+                    elif through > second[end]:
+                        second[end] = through
+            if word[at] not in pieces:
+                through = here + unknown
+                if through > best[at + 1]:
+                    second[at + 1], best[at + 1] = best[at + 1], through
+                    into[at + 1] = (at, tuple(self.bytes[b] for b in word[at].encode()))
+                elif through > second[at + 1]:
+                    second[at + 1] = through
+        parts, gap, end = [], _NO_GAP, size
+        while end:
+            if second[end] > _LOWEST and best[end] - second[end] < gap:
+                gap = best[end] - second[end]
+            end, ids = into[end]
+            parts.append(ids)
+        if len(parts) == 1:
+            return best[size], parts[0], gap
+        return best[size], tuple(i for ids in reversed(parts) for i in ids), gap
+
+    def choices_of(self, word: str) -> list[tuple[int, bytes]]:
+        """Scores and packed ids of the n best segmentations of a pre-token."""
+        return [(score, _packed(ids)) for score, ids in self.search(word.replace(" ", "▁"), self.held)]
 
     def word(self, word: str) -> Kept:
         """A pre-token that is not among the young ones: its best segmentation and the gap to the second."""
         found = self.old.get(word)
         if found is None:
-            ways = self.search(word.replace(" ", "▁"), min(self.held, 2))
-            gap = ways[0][0] - ways[1][0] if len(ways) > 1 else _NO_GAP
-            found = (ways[0][0], _packed(ways[0][1]), gap, self.spells(ways[0][1], word))
+            score, ids, gap = self.first(word.replace(" ", "▁"))
+            found = (score, _packed(ids), gap)
         return found
 
-    def ways(self, text: str, n: int) -> tuple[list[Kept], list[tuple[int, list[tuple[int, bytes]]]], bool]:
-        """Kept pre-tokens of a text; its n best segmentations as score and (place, packed ids)
-        where it leaves the best; whether all of them decode to the text. Only the n - 1 places
+    def ways(self, text: str, n: int) -> list[tuple[int, bytes]]:
+        """Scores and packed ids of the n best segmentations of a text. Only the n - 1 places
         with the cheapest second choice can matter."""
         if n != self.held:
             self.forget(n)
@@ -170,36 +205,32 @@ class Lattice:
                 self.young, self.old = _Generation(self.word), self.young
             words.extend(map(self.young.__getitem__, tokens[lo:lo + _ROUND]))
         total = sum(map(_SCORE, words))
-        back = all(map(_BACK, words)) and (not text or "".join(tokens) == " " + text.replace("▁", " "))
         places: list[int] = []
         if n > 1 and words:
             gaps = np.fromiter(map(_GAP, words), np.int64, len(words))
             places = np.argpartition(gaps, n - 2)[: n - 1].tolist() if len(words) >= n else list(range(len(words)))
-        choices = {}
-        for i in places:
-            choices[i], spelled = self.choices(tokens[i])
-            back = back and spelled
+        choices = {i: self.choices(tokens[i]) for i in places}
         found: list[tuple[int, tuple[tuple[int, int], ...]]] = [(0, ())]
         for i in sorted(places):
             found = heapq.nsmallest(n, (
                 (cost + choices[i][0][0] - score, (*made, (i, k)) if k else made)
                 for cost, made in found for k, (score, _) in enumerate(choices[i])
             ))
-        return words, [(total - cost, [(i, choices[i][k][1]) for i, k in made]) for cost, made in found], back
+        parts, out = list(map(_IDS, words)), []
+        for cost, made in found:
+            for i, k in made:
+                parts[i] = choices[i][k][1]
+            out.append((total - cost, b"".join(parts)))
+            for i, _ in made:
+                parts[i] = words[i][1]
+        return out
 
     def text(self, text: str, n: int = N_BEST) -> Best:
         """N best segmentations of a text with all their ids."""
-        words, ways, _ = self.ways(text, n)
-        out = []
-        for score, made in ways:
-            parts = [w[1] for w in words]
-            for i, ids in made:
-                parts[i] = ids
-            out.append((score, tuple(np.frombuffer(b"".join(parts), "<i4").tolist())))
-        return out
+        return [(score, tuple(np.frombuffer(ids, "<i4").tolist())) for score, ids in self.ways(text, n)]
 
 
-_SCORE, _IDS, _GAP, _BACK = map(operator.itemgetter, range(4))
+_SCORE, _IDS, _GAP = map(operator.itemgetter, range(3))
 
 
 def _packed(ids: tuple[int, ...]) -> bytes:
@@ -223,64 +254,76 @@ def _piece_bytes(model: str = MODEL) -> list[bytes]:
 
 def decode(ids: Iterable[int], model: str = MODEL) -> str:
     """The text of ids, without the space that encoding puts before it."""
-    table = _piece_bytes(model)
-    return b"".join([table[i] for i in ids])[1:].decode()
+    return b"".join(map(_piece_bytes(model).__getitem__, ids))[1:].decode()
+
+
+def _encoded(batches: Iterable[pa.RecordBatch], at: int, n: int, model: str, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Batches with the ids of the n best segmentations of column ``at``, their scores, the text that each decodes to
+    and whether all of these are the text. A worker may ``keep`` its pre-tokens for its next task."""
+    search = lattice(model)
+    added = [("nbest", pa.list_(pa.list_(pa.int32()))), ("scores", pa.list_(pa.int64())), ("decoded", pa.list_(pa.string())), ("back", pa.bool_())]
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):  # id lists of a few texts at a time
+            part = batch.slice(lo, 256)
+            out: list[list] = [[], [], [], []]
+            for value in part.column(at).to_pylist():
+                row = None, None, None, None
+                if value is not None:
+                    ways = search.ways(value, n)
+                    ids = [np.frombuffer(packed, "<i4") for _, packed in ways]
+                    decoded = [decode(x.tolist(), model) for x in ids]
+                    plain = value.replace("▁", " ")
+                    row = ids, [score for score, _ in ways], decoded, all(d == plain for d in decoded)
+                for column, v in zip(out, row):
+                    column.append(v)
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, *(pa.array(column, kind) for column, (_, kind) in zip(out, added))],
+                names=[*part.schema.names, *(name for name, _ in added)],
+            )
+    if not keep:
+        search.forget(0)  # an idle worker keeps nothing
 
 
-def encode(df: DataFrame, text: str = "text", n: int = N_BEST, model: str = MODEL) -> DataFrame:
+def encode(df: DataFrame, text: str = "text", n: int = N_BEST, model: str = MODEL, every: bool = False) -> DataFrame:
     """``df`` with ids (best segmentation), scores (of the n best) and back (whether
-    decoding every one of them gives the text)."""
-    if clash := {"ids", "scores", "back"} & set(df.columns):
+    decoding every one of them gives the text). With ``every``, nbest (ids of all n) and
+    decoded (the text that each of them gives) follow."""
+    names = ["ids", "scores", "back", *(["nbest", "decoded"] if every else [])]
+    if clash := set(names) & set(df.columns):
         raise ValueError(f"columns {sorted(clash)} exist already")
-    added = T.StructType.fromDDL("ids array<int>, scores array<bigint>, back boolean")
-    schema = T.StructType(df.schema.fields + added.fields)
+    added = T.StructType.fromDDL("ids array<int>, scores array<bigint>, back boolean, nbest array<array<int>>, decoded array<string>")
+    schema = T.StructType(df.schema.fields + [added[c] for c in names])
     at = df.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = lattice(model)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):  # id lists of a few texts at a time
-                part = batch.slice(lo, 256)
-                ids, scores, back = [], [], []
-                for value in part.column(at).to_pylist():
-                    if value is None:
-                        ids.append(None), scores.append(None), back.append(None)
-                        continue
-                    words, ways, whole = search.ways(value, n)
-                    packed = b"".join(map(_IDS, words))
-                    ids.append(np.frombuffer(packed, "<i4"))
-                    scores.append([s for s, _ in ways])
-                    back.append(whole)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.int64())), pa.array(back, pa.bool_())],
-                    names=[*part.schema.names, "ids", "scores", "back"],
-                )
-        search.forget(0)  # an idle worker keeps nothing
+        for part in _encoded(batches, at, n, model):
+            columns = {c: part.column(c) for c in part.schema.names}
+            columns["ids"] = pc.list_element(part.column("nbest"), 0)
+            yield pa.RecordBatch.from_arrays([columns[c] for c in schema.names], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N_BEST, model: str = MODEL) -> DataFrame:
-    """id, n_pieces, ids_crc32 (of 32-bit little-endian ids), scores and back, without the ids."""
+    """id, n_pieces and ids_crc32 (of 32-bit little-endian ids) of the best segmentation, scores, round_trip, and of each of the n
+    best nbest_crc32 (of its ids) and decoded_crc32 (of the text it decodes to), without ids and texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = lattice(model)
-        for batch in batches:
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        for part in _encoded(batches, 1, n, model, keep=True):
             out = []
-            for value in batch.column(1):
-                value = value.as_py()
-                if value is None:
-                    out.append((0, 0, None, True))
+            for ways, scores, decoded, back in zip(*(part.column(i) for i in range(2, 6))):
+                if not ways.is_valid:
+                    out.append((0, 0, None, True, None, None))
                     continue
-                words, ways, whole = search.ways(value, n)
-                packed = b"".join(map(_IDS, words))
-                out.append((len(packed) // 4, zlib.crc32(packed), [s for s, _ in ways], whole))
-            cols = list(zip(*out)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))],
-                                             names=["doc_id", "n_pieces", "ids_crc32", "scores", "round_trip"])
-        search.forget(0)  # an idle worker keeps nothing
+                ids = [np.ascontiguousarray(w.values.to_numpy(), "<i4") for w in ways]
+                crcs = [zlib.crc32(x) for x in ids]
+                out.append((len(ids[0]), crcs[0], scores.as_py(), back.as_py(), crcs, [zlib.crc32(d.as_buffer()) for d in decoded]))
+            cols = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                                             names=["doc_id", "n_pieces", "ids_crc32", "scores", "round_trip", "nbest_crc32", "decoded_crc32"])
 
     return df.select(F.col(id_col).cast("long"), text).mapInArrow(
-        run, "doc_id long, n_pieces long, ids_crc32 long, scores array<bigint>, round_trip boolean"
+        run, "doc_id long, n_pieces long, ids_crc32 long, scores array<bigint>, round_trip boolean, "
+        "nbest_crc32 array<bigint>, decoded_crc32 array<bigint>"
     )

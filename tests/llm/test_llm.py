@@ -329,6 +329,35 @@ def test_encoding_round_trip(docs, rows, none):
         nbest.encode(docs.withColumn("ids", F.lit(1)))
 
 
+@pytest.mark.parametrize("t", ["the cat", "of  a é\n中", "thndo in", " ", "x\n", "▁a", "unbelievably 12345 ~~~"])
+def test_kept_gap_is_that_of_the_second_best(t):
+    lattice = nbest.Lattice()
+    for word in {w.replace(" ", "▁") for w in tokens.pretokens(t)}:
+        ways = lattice.search(word, 2)
+        gap = ways[0][0] - ways[1][0] if len(ways) > 1 else nbest._NO_GAP
+        assert lattice.first(word) == (*ways[0], gap)
+
+
+def test_every_one_of_the_n_best_is_written_out_and_decoded(spark):
+    texts = ["the cat sat on the mat", "of  a é\n中", "", None, "▁a b", "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    lattice = nbest.Lattice()
+    want = {i: None if t is None else lattice.text(t) for i, t in enumerate(texts)}
+    for r in nbest.encode(docs, every=True).collect():
+        if (ways := want[r["doc_id"]]) is None:
+            assert (r["nbest"], r["decoded"]) == (None, None)
+            continue
+        assert [tuple(x) for x in r["nbest"]] == [ids for _, ids in ways] and r["scores"] == [s for s, _ in ways]
+        assert r["ids"] == r["nbest"][0] and r["decoded"] == [r["text"].replace("▁", " ")] * len(ways)
+    for r in nbest.digests(docs).collect():
+        if (ways := want[r["doc_id"]]) is None:
+            assert (r["nbest_crc32"], r["decoded_crc32"], r["n_pieces"]) == (None, None, 0)
+            continue
+        crcs = [zlib.crc32(np.array(ids, "<i4").tobytes()) for _, ids in ways]
+        assert r["nbest_crc32"] == crcs and r["ids_crc32"] == crcs[0] and r["n_pieces"] == len(ways[0][1]) and r["round_trip"]
+        assert r["decoded_crc32"] == [zlib.crc32(texts[r["doc_id"]].replace("▁", " ").encode())] * len(ways)
+
+
 # -- 6 ----------------------------------------------------------------------------
 
 
