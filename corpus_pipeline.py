@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keytide.llm import mixing, nbest, quality, simhash, suffix
-from keytide.llm.text import cut, documents, ship
+from keytide.llm.text import cut, documents, few_rows, ship
 
 ORACLE_SQL = None  # fingerprints, suffix orders and lattices are not for SQL; tests hold the stages against brute force
 
@@ -24,12 +24,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
     ship(spark)
+    few_rows(spark)
     return simhash.deduplicated(docs)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand in several places go."""
     ship(spark)
+    few_rows(spark)
     return suffix.deduplicated(docs)
 
 
@@ -41,6 +43,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of the best segmentation; ``round_trip`` says that decoding gives the text."""
     ship(spark)
+    few_rows(spark)
     return nbest.encode(docs).select(
         "doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_pieces"), "ids",
         F.col("scores")[0].alias("score"), F.col("back").alias("round_trip"),

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece  # noqa: F401
 import xxhash
@@ -358,6 +359,33 @@ def test_every_one_of_the_n_best_is_written_out_and_decoded(spark):
         assert r["decoded_crc32"] == [zlib.crc32(texts[r["doc_id"]].replace("▁", " ").encode())] * len(ways)
 
 
+def _batch_sizes(spark):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    return [r["n"] for r in spark.range(5000).coalesce(1).mapInArrow(run, "n long").collect()]
+
+
+@pytest.mark.parametrize("step", ["simhash_stage", "suffix_stage", "encoding_stage", "op6"])
+def test_python_steps_over_texts_take_few_rows_at_once(spark, step):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(1, "a b c", "en", "s", 5), (2, "d e", "en", "s", 3)], DOC)
+    try:
+        spark.conf.set(name, "10000")
+        if step == "op6":
+            toxicity.scores(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"), F.lit(True)).count()
+        else:
+            getattr(corpus_pipeline, step)(spark, docs, "").count()
+        assert max(_batch_sizes(spark)) <= 1000 and sum(_batch_sizes(spark)) == 5000
+        spark.conf.set(name, "7")
+        text.few_rows(spark)
+        assert max(_batch_sizes(spark)) == 7
+    finally:
+        spark.conf.set(name, before)
+
+
 # -- 6 ----------------------------------------------------------------------------
 
 
