@@ -11,7 +11,7 @@ of the text and of its strongest words, which a long harmless text must not dilu
 
 Characters are code points in lower case, of any script, and all grams and words of all
 labelled texts are counted: the model is a Spark table that grows with the texts and is never
-gathered. Texts are packed into blocks of a few megabytes. Only labelled texts are counted. The units of
+gathered. Texts are packed into blocks of two megabytes. Only labelled texts are counted. The units of
 most blocks, up to a fixed number, are broadcast, with a bit table of fixed size of all others; a block asks the
 model for those of its distinct grams and words that may be there, and what is found goes back to it. A gram that no labelled text has is answered by its
 context, so it needs no row of the model. The driver sees these, totals and the grid of the fit. The two weights and the offset of the score are fitted on the
@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keytide.llm.text import cut, cut_in_buckets
+from keytide.llm.text import cut, cut_in_buckets, few_rows
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -50,7 +50,7 @@ STEPS, REACH = (0.01, 0.05), (200, 200)
 MODELS = ("whole", "first", "second")
 _KINDS = ("n0", "n1", "n2", "n3")  # counts by 2 * half + toxic
 _GAPS = np.array([i for i in range(0x3001) if chr(i).isspace()], np.uint32)
-_PART = 1 << 22  # bytes of a block
+_PART = 1 << 21  # bytes of a block; numbering its grams takes about sixty times as much memory
 HEAD = 1 << 18  # most frequent units that are broadcast
 _BITS, _PROBES = 1 << 25, (0, 25)  # of the bit table of the others: its size, where its hashes begin
 
@@ -411,6 +411,7 @@ def scores(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text
         labels.filter("toxic IN (0, 1)").filter(learn).groupBy(id_col).agg(F.max("toxic").cast("int").alias("__toxic"))
         .select(F.col(id_col).alias("id"), (F.crc32(F.col(id_col).cast("string")) % 5 % 2 * 2 + F.col("__toxic")).cast("int").alias("kind"))
     )
+    few_rows(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("id"), text)
     blocks = cut_in_buckets(rows.mapInArrow(_blocks, "block long, ids array<long>, rows binary"), "text-blocks", "block", "zstd")
     # ids alone meet the labels; one way at every size: labels grow with the documents
