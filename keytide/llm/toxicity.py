@@ -49,7 +49,9 @@ STEPS, REACH = (0.01, 0.05), (200, 200)
 # What is learned from: all labelled texts, or those of one half.
 MODELS = ("whole", "first", "second")
 _KINDS = ("n0", "n1", "n2", "n3")  # counts by 2 * half + toxic
-_GAPS = np.array([i for i in range(0x3001) if chr(i).isspace()], np.uint32)
+_INSIDE = np.array([not chr(i).isspace() for i in range(0x3002)], np.int8)  # all later points are inside of words as the last one
+_MARKS = "".join(c for c in map(chr, range(128)) if unicodedata.category(c)[0] in "PSC")
+_TABLE = 1 << 23  # codes that are numbered by a table of all; more are sorted
 _PART = 1 << 21  # bytes of a block; numbering its grams takes about sixty times as much memory
 HEAD = 1 << 18  # most frequent units that are broadcast
 _BITS, _PROBES = 1 << 25, (0, 25)  # of the bit table of the others: its size, where its hashes begin
@@ -92,29 +94,34 @@ def laid(texts: list[str | None]) -> tuple[str, np.ndarray, np.ndarray, np.ndarr
 
 
 def distinct(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One place of every distinct gram of ORDER code points, and the number of the gram that ends at each place."""
-    present = np.zeros(0x110000, bool)
-    present[points] = True
-    ids = (np.cumsum(present) - 1).astype(np.uint64)
-    if ids[-1] < 1 << 64 // ORDER:
-        bits, of, n = max(1, int(ids[-1]).bit_length()), ids[points], len(points) - ORDER + 1
-        code = np.zeros(n, np.uint64)
-        for k in range(ORDER):
-            code = (code << np.uint64(bits)) | of[k : k + n]
-    else:  # more characters than fit: pairs are numbered first
-        wide = points.astype(np.uint64)
-        pair = np.unique((wide[:-1] << np.uint64(21)) | wide[1:], return_inverse=True)[1].astype(np.uint64)
-        code = (pair[:-2] << np.uint64(32)) | pair[2:]
-    by = np.argsort(code)
-    code = code[by]
-    new = np.concatenate([[True], code[1:] != code[:-1]])
+    """One place of every distinct gram of ORDER code points, and the number of the gram that ends at each place.
+    Shorter grams are numbered first and prolonged by a point each, so that the codes stay small."""
+    of, size = _numbered(points.astype(np.int64), 0x110000)
+    code, total = of, size
+    for k in range(1, ORDER):
+        code, total = _numbered(code[:-1] * size + of[k:], total * size)
     number = np.zeros(len(points), np.int64)
-    number[by + ORDER - 1] = np.cumsum(new) - 1
-    return by[new] + ORDER - 1, number
+    number[ORDER - 1 :] = code
+    at = np.zeros(total, np.int64)
+    at[code] = np.arange(ORDER - 1, len(points))
+    return at, number
+
+
+def _numbered(code: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
+    """Numbers of codes below ``limit`` in their order, and how many codes differ."""
+    if limit <= _TABLE:
+        present = np.zeros(limit, bool)
+        present[code] = True
+        ids = np.cumsum(present, dtype=np.int32)
+        return (ids[code] - 1).astype(np.int64), int(ids[-1])
+    known, number = np.unique(code, return_inverse=True)
+    return number, len(known)
 
 
 def _bare(word: str) -> str:
     """A word without the marks around it; a word of marks only stays."""
+    if word.isascii():
+        return word.strip(_MARKS) or word
     a, b = 0, len(word)
     while a < b and unicodedata.category(word[a])[0] in "PSC":
         a += 1
@@ -125,14 +132,14 @@ def _bare(word: str) -> str:
 
 def _words(joined: str, points: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Distinct bare words; number, first and last place of every word in order."""
-    raw: dict[str, int] = {}
-    of = np.fromiter((raw.setdefault(w, len(raw)) for w in joined.split()), np.int64)
+    raw = pa.array(joined.split(), pa.string()).dictionary_encode()
     bare: dict[str, int] = {}
-    number = np.fromiter((bare.setdefault(_bare(w), len(bare)) for w in raw), np.int64, len(raw))
-    inside = np.ones(len(points), np.int8)
-    inside[np.isin(points, _GAPS)] = 0
-    edge = np.diff(np.concatenate([[0], inside, [0]]))
-    return list(bare), number[of], np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+    words = raw.dictionary.to_numpy(zero_copy_only=False)
+    number = np.fromiter((bare.setdefault(_bare(w), len(bare)) for w in words), np.int64, len(words))
+    inside = np.zeros(len(points) + 2, np.int8)
+    inside[1:-1] = _INSIDE[np.minimum(points, len(_INSIDE) - 1)]
+    edge = np.diff(inside)
+    return list(bare), number[raw.indices.to_numpy()], np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
 def _features(ratio: np.ndarray, whole: np.ndarray, starts, ends, first, last) -> np.ndarray:
@@ -145,13 +152,17 @@ def _features(ratio: np.ndarray, whole: np.ndarray, starts, ends, first, last) -
     out[:, 0] = (running[ends] - running[starts] + np.bincount(of, whole, len(starts))) / length
     # words with the gap after them; words never cross texts, for gaps stand between
     value = (running[last + 2] - running[first] + whole) / np.sqrt(last - first + 2)
-    by = np.lexsort((-value, of))
-    of, value = of[by], value[by]
-    begin = np.searchsorted(of, np.arange(len(starts)))
-    count = np.searchsorted(of, np.arange(len(starts)), side="right") - begin
-    for k in range(TOP_WORDS):
-        has = count > k
-        out[has, 1] += value[begin[has] + k] / TOP_WORDS
+    begin = np.flatnonzero(np.diff(of, prepend=-1))
+    for _ in range(TOP_WORDS):  # the strongest word of each text, then it makes room for the next
+        if not len(value):
+            break
+        rows, top = of[begin], np.maximum.reduceat(value, begin)
+        out[rows, 1] += top / TOP_WORDS
+        strongest = np.flatnonzero(value == np.repeat(top, np.diff(begin, append=len(value))))
+        left = np.ones(len(value), bool)
+        left[strongest[np.diff(of[strongest], prepend=-1) > 0]] = False
+        value, of = value[left], of[left]
+        begin = np.flatnonzero(np.diff(of, prepend=-1))
     return out
 
 

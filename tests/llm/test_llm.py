@@ -553,6 +553,30 @@ def test_grams_of_many_characters_are_exact():
     assert len(at) == 69999 and number[-1] == number[8] and number[-2] == number[7]
 
 
+def test_features_of_a_block_need_no_sort(monkeypatch):
+    def refused(*_, **__):
+        raise AssertionError("sorted")
+
+    for name in ("argsort", "lexsort", "unique"):
+        monkeypatch.setattr(np, name, refused)
+    rng = random.Random(6)
+    texts = [None, "", "...", "a", *("".join(rng.choices("abc.\u00e9 \n", k=rng.randrange(60))) for _ in range(40))]
+    joined, points, starts, ends = toxicity.laid(texts)
+    at, number = toxicity.distinct(points)
+    grams = [joined[i - 3 : i + 1] for i in range(3, len(joined))]
+    assert [joined[i - 3 : i + 1] for i in at.tolist()] == sorted(set(grams))
+    assert [sorted(set(grams))[i] for i in number[3:].tolist()] == grams
+    names, word, first, last = toxicity._words(joined, points)
+    assert [names[i] for i in word.tolist()] == [w.strip(".") or w for w in joined.split()]
+    assert [joined[a : b + 1] for a, b in zip(first.tolist(), last.tolist())] == joined.split()
+    whole = np.array([rng.randrange(-9, 9) for _ in word], float)  # equal ones among them
+    got = toxicity._features(np.zeros(len(points)), whole, starts, ends, first, last)
+    for row, a, b in zip(got, starts, ends):
+        mine = [(v, e - s + 2) for v, s, e in zip(whole, first, last) if a <= s < b]
+        top = sorted((v / np.sqrt(n) for v, n in mine), reverse=True)[: toxicity.TOP_WORDS]
+        assert np.allclose(row, [sum(v for v, _ in mine) / max(b - a, 1), sum(top) / toxicity.TOP_WORDS])
+
+
 # -- 7 ----------------------------------------------------------------------------
 
 
