@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from keytide.operators.bucketed import cobucketed_join
 from keytide.plans.compare import fingerprint, same_rows
-from keytide.plans.joins import HOW, equi_join
+from keytide.plans.joins import _ADVISORY, HOW, PART, equi_join
 
 
 @pytest.mark.parametrize("residual", [False, True])
@@ -47,3 +47,11 @@ def test_fingerprint_ignores_order_only(frame):
     assert fingerprint(a).first() == fingerprint(a.orderBy(F.desc("v")).select("v", "k")).first()
     assert fingerprint(a).first() != fingerprint(frame([(1, "x"), (2, "y"), (None, None)], "k int, v string")).first()
     assert fingerprint(a).first() != fingerprint(a.union(a)).first()
+
+
+def test_joins_lower_the_size_of_partitions_unless_it_was_set(spark):
+    for size, want in ((None, PART), ("40MB", "40MB")):
+        s = spark.newSession()
+        s.conf.unset(_ADVISORY) if size is None else s.conf.set(_ADVISORY, size)
+        joined = equi_join(s.range(3).toDF("a"), s.range(1, 4).toDF("b"), [("a", "b")], "full")
+        assert s.conf.get(_ADVISORY) == want and joined.count() == 4
