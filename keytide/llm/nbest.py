@@ -9,8 +9,8 @@ are the N best.
 
 No piece crosses a pre-token, so the lattice of a text is a chain of the lattices of
 its pre-tokens. A worker keeps the best segmentation of those it met last, in two
-generations of bounded size, and searches others again: one search costs less than
-sending a rare pre-token through a join. Only the cost of a pre-token's second choice is
+generations of bounded size, and searches others again, thousands side by side: one search
+costs less than sending a rare pre-token through a join. Only the cost of a pre-token's second choice is
 kept beside its best: the least that an edge beside the best path loses against it, for that
 is the first hypothesis that the backward search would leave the path by. The N best
 segmentations of a text come from the N - 1 places whose second choice costs least; all choices
@@ -50,6 +50,8 @@ UNKNOWN = 10
 BARRED = -1_000_000_000  # fixed value: the model's score of pieces that merges never make
 _KEPT = 200_000  # pre-tokens in each of a worker's two generations
 _ROUND = 50_000  # pre-tokens looked up between two looks at the size of a generation
+_GROUP = 1 << 18  # characters of texts that are looked up together
+_LONG, _ABREAST = 100, 5_000  # pre-tokens searched side by side: how long and how many at most
 _NO_GAP, _LOWEST = 1 << 62, -(1 << 62)
 _EDGE = 0  # key of a trie node's piece; all other keys are characters
 
@@ -57,18 +59,6 @@ Best = list[tuple[int, tuple[int, ...]]]  # score, ids
 Kept = tuple[int, bytes, int]  # of a pre-token: best score, its packed ids, cost of the second choice
 
 
-class _Generation(dict):
-    """Kept pre-tokens; others are looked up elsewhere and kept."""
-
-    def __init__(self, find: Callable[[str], Kept]):
-        super().__init__()
-        self.find = find
-
-    def __missing__(self, word: str) -> Kept:
-        found = self[word] = self.find(word)
-        return found
-
-
 class Lattice:
     """Pieces of a model with their ids and scores."""
 
@@ -83,14 +73,29 @@ class Lattice:
                 node = node.setdefault(character, {_EDGE: None})
             node[_EDGE] = edge
         self.bytes = [p.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.byte_ids = np.array(self.bytes, np.int32)
+        # the trie once more as arrays: children of the root by point, all others by node and point
+        nodes, below = [self.root], []
+        for at, node in enumerate(nodes):  # grows as it goes
+            for key, child in node.items():
+                if key != _EDGE:
+                    below.append((at << 21 | ord(key), len(nodes)))
+                    nodes.append(child)
+        self.steps, self.children = np.array([(-1, 0), *sorted(below)], np.int64).T.copy()
+        self.heads = np.zeros(0x110000, np.int32)  # node 0, the root, is no child: it stands for none
+        of_root = self.steps[1:] < 1 << 21
+        self.heads[self.steps[1:][of_root]] = self.children[1:][of_root]
+        self.node_piece = np.array([-1 if n[_EDGE] is None else n[_EDGE][0] for n in nodes], np.int32)
+        self.node_score = np.array([0 if n[_EDGE] is None else n[_EDGE][1] for n in nodes], np.int64)
         self.unknown = min(s for _, s, _ in self.pieces.values() if s > BARRED) - UNKNOWN
         self.model = model
         self.forget(0)
 
     def forget(self, n: int) -> None:
         """Keep nothing, and from now on keep searches for the n best."""
-        self.held, self.old = n, {}
-        self.young = _Generation(self.word)
+        self.held: int = n
+        self.young: dict[str, Kept] = {}
+        self.old: dict[str, Kept] = {}
         self.choices = functools.lru_cache(_ROUND // 10)(self.choices_of)
 
     def search(self, word: str, n: int) -> Best:
@@ -185,25 +190,116 @@ class Lattice:
         """Scores and packed ids of the n best segmentations of a pre-token."""
         return [(score, _packed(ids)) for score, ids in self.search(word.replace(" ", "▁"), self.held)]
 
-    def word(self, word: str) -> Kept:
-        """A pre-token that is not among the young ones: its best segmentation and the gap to the second."""
-        found = self.old.get(word)
-        if found is None:
-            score, ids, gap = self.first(word.replace(" ", "▁"))
-            found = (score, _packed(ids), gap)
-        return found
-
-    def ways(self, text: str, n: int) -> list[tuple[int, bytes]]:
-        """Scores and packed ids of the n best segmentations of a text. Only the n - 1 places
-        with the cheapest second choice can matter."""
-        if n != self.held:
-            self.forget(n)
-        tokens = pretokens(text)
+    def firsts(self, words: list[str]) -> list[Kept]:
+        """What `first` finds for each of many pre-tokens, side by side: edges of all their lattices
+        by the place that they start from, as far as the longest of them goes."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        points = np.frombuffer("".join(words).replace(" ", "▁").encode("utf-32-le"), np.uint32).astype(np.int64)
+        of = np.repeat(np.arange(len(words)), sizes)  # the pre-token of a character
+        ends = np.cumsum(sizes)
+        begins, limit = (ends - sizes)[of], ends[of]
+        # edges: the character that each starts at, its length and the trie's node of its piece, 0 for bytes
+        at, node, found = np.arange(len(points)), self.heads[points].astype(np.int64), []
+        lacks = self.node_piece[node] < 0
+        found.append((at[lacks], np.ones(lacks.sum(), np.int64), np.zeros(lacks.sum(), np.int64)))
+        at, node, depth = at[node > 0], node[node > 0], 0
+        while len(at):
+            depth += 1
+            ended = self.node_piece[node] >= 0
+            found.append((at[ended], np.full(ended.sum(), depth), node[ended]))
+            on = at + depth < limit[at]
+            at, node = at[on], node[on]
+            step = node << 21 | points[at + depth]
+            place = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            on = self.steps[place] == step
+            at, node = at[on], self.children[place[on]]
+        at, length, node = map(np.concatenate, zip(*found))
+        place = at - begins[at]
+        by = np.argsort(place, kind="stable")
+        at, length, node = at[by], length[by], node[by]
+        start = at + of[at]  # places between characters: one more than characters in every pre-token
+        end = start + length
+        score = np.where(node > 0, self.node_score[node], self.unknown)
+        best = np.full(len(points) + len(words), _LOWEST)
+        first = ends - sizes + np.arange(len(words))
+        best[first] = 0
+        second, into = np.full(len(best), _LOWEST), np.zeros(len(best), np.int64)
+        cuts = np.cumsum(np.bincount(place)).tolist()
+        for lo, hi in zip([0, *cuts], cuts):  # edges from one place of a pre-token all end at different ones
+            to = end[lo:hi]
+            through, had = best[start[lo:hi]] + score[lo:hi], best[to]
+            better = through > had
+            second[to] = np.maximum(second[to], np.where(better, had, through))
+            best[to] = np.maximum(through, had)
+            into[to[better]] = np.flatnonzero(better) + lo
+        # back along the best paths of all
+        last = first + sizes
+        gap, now, who, path = np.full(len(words), _NO_GAP), last, np.arange(len(words)), []
+        while len(now):
+            other = second[now] > _LOWEST
+            gap[who[other]] = np.minimum(gap[who[other]], (best[now] - second[now])[other])
+            edge = into[now]
+            path.append(edge)
+            now = start[edge]
+            on = now > first[who]
+            now, who = now[on], who[on]
+        edges = np.concatenate(path)
+        edges = edges[np.argsort(start[edges])]
+        plain = node[edges] > 0
+        counts = np.ones(len(edges), np.int64)
+        strange = points[at[edges[~plain]]]
+        counts[~plain] = 1 + (strange >= 0x80) + (strange >= 0x800) + (strange >= 0x10000)
+        ids, is_plain = np.empty(counts.sum(), "<i4"), np.repeat(plain, counts)
+        ids[is_plain] = self.node_piece[node[edges[plain]]]
+        ids[~is_plain] = self.byte_ids[np.frombuffer(strange.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)]
+        upto = (4 * np.cumsum(np.bincount(of[at[edges]], counts, len(words)).astype(np.int64))).tolist()
+        packed = ids.tobytes()
+        return list(zip(best[last].tolist(), (packed[lo:hi] for lo, hi in zip([0, *upto], upto)), gap.tolist()))
+
+    def learn(self, tokens: list[str]) -> None:
+        """Have every pre-token among the young ones: from the old ones or searched."""
+        young, old = self.young, self.old
+        unknown: list[str] = []
+        for word in dict.fromkeys(tokens):
+            if word not in young:
+                found = old.get(word)
+                if found is not None:
+                    young[word] = found
+                elif len(word) <= _LONG:
+                    unknown.append(word)
+                else:
+                    score, ids, gap = self.first(word.replace(" ", "▁"))
+                    young[word] = score, _packed(ids), gap
+        unknown.sort(key=len)
+        for lo in range(0, len(unknown), _ABREAST):
+            words = unknown[lo:lo + _ABREAST]
+            young.update(zip(words, self.firsts(words)))
+
+    def kept(self, tokens: list[str]) -> list[Kept]:
+        """Of every pre-token its best segmentation and the gap to the second."""
         words: list[Kept] = []
         for lo in range(0, len(tokens), _ROUND):
             if len(self.young) >= _KEPT:
-                self.young, self.old = _Generation(self.word), self.young
-            words.extend(map(self.young.__getitem__, tokens[lo:lo + _ROUND]))
+                self.young, self.old = {}, self.young
+            some = tokens[lo:lo + _ROUND]
+            self.learn(some)
+            words.extend(map(self.young.__getitem__, some))
+        return words
+
+    def ways(self, texts: list[str], n: int) -> Iterator[list[tuple[int, bytes]]]:
+        """Scores and packed ids of the n best segmentations of each text."""
+        if n != self.held:
+            self.forget(n)
+        tokens = [pretokens(t) for t in texts]
+        words = self.kept([w for some in tokens for w in some])
+        at = 0
+        for some in tokens:
+            yield self.ways_of(some, words[at : at + len(some)], n)
+            at += len(some)
+
+    def ways_of(self, tokens: list[str], words: list[Kept], n: int) -> list[tuple[int, bytes]]:
+        """The n best segmentations of a text by those of its pre-tokens. Only the n - 1 places
+        with the cheapest second choice can matter."""
         total = sum(map(_SCORE, words))
         places: list[int] = []
         if n > 1 and words:
@@ -227,7 +323,7 @@ class Lattice:
 
     def text(self, text: str, n: int = N_BEST) -> Best:
         """N best segmentations of a text with all their ids."""
-        return [(score, tuple(np.frombuffer(ids, "<i4").tolist())) for score, ids in self.ways(text, n)]
+        return [(score, tuple(np.frombuffer(ids, "<i4").tolist())) for score, ids in next(self.ways([text], n))]
 
 
 _SCORE, _IDS, _GAP = map(operator.itemgetter, range(3))
@@ -257,6 +353,19 @@ def decode(ids: Iterable[int], model: str = MODEL) -> str:
     return b"".join(map(_piece_bytes(model).__getitem__, ids))[1:].decode()
 
 
+def _looked_up(search: Lattice, values: list[str | None], n: int) -> Iterator[tuple[str | None, list[tuple[int, bytes]] | None]]:
+    """Texts with their segmentations, looked up in groups of about _GROUP characters."""
+    lo = size = 0
+    for hi, value in enumerate(values, 1):
+        size += len(value or "")
+        if size >= _GROUP or hi == len(values):
+            some = values[lo:hi]
+            ways = search.ways([v for v in some if v is not None], n)
+            for v in some:
+                yield v, None if v is None else next(ways)
+            lo, size = hi, 0
+
+
 def _encoded(batches: Iterable[pa.RecordBatch], at: int, n: int, model: str, keep: bool = False) -> Iterator[pa.RecordBatch]:
     """Batches with the ids of the n best segmentations of column ``at``, their scores, the text that each decodes to
     and whether all of these are the text. A worker may ``keep`` its pre-tokens for its next task."""
@@ -266,10 +375,9 @@ def _encoded(batches: Iterable[pa.RecordBatch], at: int, n: int, model: str, kee
         for lo in range(0, batch.num_rows, 256):  # id lists of a few texts at a time
             part = batch.slice(lo, 256)
             out: list[list] = [[], [], [], []]
-            for value in part.column(at).to_pylist():
+            for value, ways in _looked_up(search, part.column(at).to_pylist(), n):
                 row = None, None, None, None
-                if value is not None:
-                    ways = search.ways(value, n)
+                if ways is not None:
                     ids = [np.frombuffer(packed, "<i4") for _, packed in ways]
                     decoded = [decode(x.tolist(), model) for x in ids]
                     plain = value.replace("▁", " ")

@@ -339,6 +339,26 @@ def test_kept_gap_is_that_of_the_second_best(t):
         assert lattice.first(word) == (*ways[0], gap)
 
 
+def test_pre_tokens_searched_side_by_side_are_those_searched_alone(monkeypatch):
+    rng, lattice = random.Random(8), nbest.Lattice()
+    letters = " aeinrstthe.,!0123\u2581\u00e9\u4e16\u754c\U0001f600\x07"
+    words = sorted({"".join(rng.choices(letters, k=rng.randrange(1, 14))) for _ in range(600)} | {" " * 90, "the" * 33})
+    want = []
+    for word in words:
+        score, ids, gap = lattice.first(word.replace(" ", "\u2581"))
+        want.append((score, nbest._packed(ids), gap))
+    assert lattice.firsts(words) == want and lattice.firsts(words[5:6]) == want[5:6]
+    long = "x\u00e9" * 200
+    monkeypatch.setattr(nbest, "_GROUP", 5)
+    found = list(nbest._looked_up(lattice, ["a b", None, "", long, "the the"], 1))
+    assert [w if w is None else [len(w), w[0][0]] for _, w in found] == [
+        None if t is None else [1, lattice.text(t, 1)[0][0]] for t in ["a b", None, "", long, "the the"]]
+    monkeypatch.setattr(lattice, "first", None)  # only long ones are searched alone
+    lattice.forget(1)
+    assert len(next(lattice.ways(["the end of the lattice"], 1))) == 1
+
+
+
 def test_every_one_of_the_n_best_is_written_out_and_decoded(spark):
     texts = ["the cat sat on the mat", "of  a é\n中", "", None, "▁a b", "x"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
